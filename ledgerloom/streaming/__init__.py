@@ -1,0 +1 @@
+"""The workload is batch only: no source, rule or report is defined on a stream."""
