@@ -37,10 +37,10 @@ def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: b
     Only keys that occur more than once leave the aggregation, combined map-side. The rows
     themselves are not shuffled unless those keys are too many to broadcast.
     """
-    repeated = (rows.groupBy(*keys).agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+    repeated = (rows.groupBy(*keys).agg(F.min(order).alias("_earliest"), F.count("*").alias("_n"))
                 .filter("_n > 1"))
-    found = lookup(rows, repeated, {k: k for k in keys}, {"_first": "_first"}, small)
-    return found.withColumn(flag, F.col("_first").isNull() | (F.col("_first") == F.col(order))).drop("_first")
+    found = lookup(rows, repeated, {k: k for k in keys}, {"_earliest": "_earliest"}, small)
+    return found.withColumn(flag, F.col("_earliest").isNull() | (F.col("_earliest") == F.col(order))).drop("_earliest")
 
 
 def accept_within_cap(rows: DataFrame, keys: list[str], order: str, amount: str, cap: str, flag: str,
@@ -57,35 +57,35 @@ def accept_within_cap(rows: DataFrame, keys: list[str], order: str, amount: str,
     positive = F.greatest(F.col(amount), F.lit(0)).cast(MONEY)
     tight = (
         rows.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"), F.max(F.col(cap).cast(MONEY)).alias("_cap"), F.sum(positive).alias("_gross"))
-        .filter(F.col("_gross") > F.col("_cap"))
-        .select(*keys, "_rows", "_cap")
+        .agg(F.count("*").alias("_group_rows"), F.max(F.col(cap).cast(MONEY)).alias("_limit"), F.sum(positive).alias("_gross"))
+        .filter(F.col("_gross") > F.col("_limit"))
+        .select(*keys, "_group_rows", "_limit")
     )
     tight = cut(tight)
     size = tight.agg(F.count("*").alias("groups"),
-                     F.sum(F.when(F.col("_rows") > fold_rows, F.col("_rows"))).alias("long")).first()
+                     F.sum(F.when(F.col("_group_rows") > fold_rows, F.col("_group_rows"))).alias("long")).first()
     if small is None:
         small = size["groups"] <= SMALL_GROUPS
-    sized = lookup(rows, tight, {k: k for k in keys}, {"_rows": "_rows", "_cap": "_cap"}, small)
+    sized = lookup(rows, tight, {k: k for k in keys}, {"_group_rows": "_group_rows", "_limit": "_limit"}, small)
 
-    whole = sized.filter(F.col("_rows").isNull()).drop("_rows", "_cap").withColumn(flag, F.lit(True))
-    short = _accept_short(sized.filter(F.col("_rows") <= fold_rows), keys, order, amount, flag)
+    whole = sized.filter(F.col("_group_rows").isNull()).drop("_group_rows", "_limit").withColumn(flag, F.lit(True))
+    short = _accept_short(sized.filter(F.col("_group_rows") <= fold_rows), keys, order, amount, flag)
     result = whole.unionByName(short)
     if size["long"] is None:
         return result
     chunks = -(-size["long"] // chunk_rows)
     return result.unionByName(
-        _accept_long(sized.filter(F.col("_rows") > fold_rows), keys, order, amount, flag, chunks))
+        _accept_long(sized.filter(F.col("_group_rows") > fold_rows), keys, order, amount, flag, chunks))
 
 
 def _accept_short(rows: DataFrame, keys: list[str], order: str, amount: str, flag: str) -> DataFrame:
-    columns = [c for c in rows.columns if c not in ("_rows", "_cap")]
+    columns = [c for c in rows.columns if c not in ("_group_rows", "_limit")]
     entry = F.struct(F.col(order).alias("o"), F.col(amount).cast(MONEY).alias("a"), F.struct(*columns).alias("r"))
-    groups = rows.groupBy(*keys, "_cap").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
+    groups = rows.groupBy(*keys, "_limit").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
 
     def step(state: Column, e: Column) -> Column:
         paid = (state["paid"] + e["a"]).cast(MONEY)
-        fits = paid <= F.col("_cap")
+        fits = paid <= F.col("_limit")
         return F.struct(F.when(fits, paid).otherwise(state["paid"]).alias("paid"),
                         F.concat(state["flags"], F.array(fits)).alias("flags"))
 
@@ -166,7 +166,7 @@ def _whole_units(money: Column) -> Column:
     return (money.cast("decimal(28,10)") * shift).cast("decimal(38,0)").cast("string")
 
 
-SUMMARY_TYPE = "_key string, _chunk int, _cap string, k int, total string, high string, low string, least string"
+SUMMARY_TYPE = "_key string, _chunk int, _limit string, k int, total string, high string, low string, least string"
 PASSED_TYPE = "_key string, _after int, _room string"
 ENTERED_TYPE = "_key string, _chunk int, _room string, _open boolean"
 
@@ -177,11 +177,11 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     def report(head: tuple, amounts: list[int]) -> pd.DataFrame:
         rows = [(*head, k, *map(str, sums), None if least is None else str(least))
                 for k, *sums, least in summarise_chunk(amounts)]
-        return pd.DataFrame(rows, columns=["_key", "_chunk", "_cap", "k", "total", "high", "low", "least"])
+        return pd.DataFrame(rows, columns=["_key", "_chunk", "_limit", "k", "total", "high", "low", "least"])
 
     head, held = None, []
     for batch in batches:
-        for group, part in batch.groupby(["_key", "_chunk", "_cap"], sort=False):
+        for group, part in batch.groupby(["_key", "_chunk", "_limit"], sort=False):
             if head is not None and head != group:
                 yield report(head, held)
                 held = []
@@ -199,7 +199,7 @@ def _chain(key: tuple, summaries: pd.DataFrame, passed: pd.DataFrame) -> pd.Data
         table.setdefault(int(chunk), {})[int(k)] = (
             int(total), int(high), int(low), None if pd.isna(least) else int(least))
     after = {int(c): int(r) for c, r in zip(passed["_after"], passed["_room"])}
-    todo, room = sorted(table.items()), int(summaries["_cap"].iloc[0])
+    todo, room = sorted(table.items()), int(summaries["_limit"].iloc[0])
     entered: list[tuple[int, int]] = []
     while True:
         found, stop = walk_chunks(todo, room)
@@ -219,16 +219,16 @@ def _pass_chunk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _accept_long(rows: DataFrame, keys: list[str], order: str, amount: str, flag: str, chunks: int) -> DataFrame:
-    columns = [c for c in rows.columns if c not in ("_rows", "_cap")]
+    columns = [c for c in rows.columns if c not in ("_group_rows", "_limit")]
     ordered = (
-        rows.select(*columns, F.to_json(F.struct(*keys)).alias("_key"), _whole_units(F.col("_cap")).alias("_cap"),
+        rows.select(*columns, F.to_json(F.struct(*keys)).alias("_key"), _whole_units(F.col("_limit")).alias("_limit"),
                     _whole_units(F.col(amount)).alias("_units"))
         .repartitionByRange(chunks, "_key", order).sortWithinPartitions("_key", order)
     )
     # The cut fixes which rows make up a chunk for every pass below.
     ordered = cut(ordered).select("*", F.spark_partition_id().alias("_chunk"),
                                   F.monotonically_increasing_id().alias("_place"))
-    summaries = cut(ordered.select("_key", "_chunk", "_cap", "_units").mapInPandas(_summaries, SUMMARY_TYPE))
+    summaries = cut(ordered.select("_key", "_chunk", "_limit", "_units").mapInPandas(_summaries, SUMMARY_TYPE))
     passed = rows.sparkSession.createDataFrame([], PASSED_TYPE)
     while True:
         entered = cut(summaries.groupBy("_key").cogroup(passed.groupBy("_key")).applyInPandas(_chain, ENTERED_TYPE))
