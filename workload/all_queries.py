@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import reports  # noqa: F401
+from workload import consolidation, reports  # noqa: F401
