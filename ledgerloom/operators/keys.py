@@ -15,18 +15,16 @@ ROW_BITS = 33
 def assign_keys(rows: DataFrame, key: str, order: list[str], first: int = 1) -> DataFrame:
     """Number the rows ``first, first + 1, ...`` by ``order``, which is unique.
 
-    The rows are range-sorted once and fixed. Their place within a partition is free, so
-    only the row counts of the partitions are added up, and no window runs over the data.
+    The rows are range-sorted once and written with their place, so only the row counts of
+    the partitions are added up, and no window runs over the data.
     """
-    ordered = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order))
-    placed = ordered.withColumn("_place", F.monotonically_increasing_id())
-    placed = placed.withColumns({
-        "_part": F.shiftright("_place", ROW_BITS),
-        "_row": F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1)),
-    })
-    counts = ordered.groupBy(F.spark_partition_id().cast("bigint").alias("_part")).agg(F.count("*").alias("_n"))
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = cut(ordered.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", ROW_BITS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     # One row per partition.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    numbered = placed.join(F.broadcast(offsets), "_part")
-    return numbered.select((F.col("_offset") + F.col("_row") + first).alias(key), *rows.columns)
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    row = F.col("_place").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return numbered.select((F.col("_offset") + row + first).alias(key), *rows.columns)

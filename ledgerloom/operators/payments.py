@@ -20,15 +20,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.joins import lookup
-from ledgerloom.session import cut
+from ledgerloom.session import cut, pin
 
 MONEY = "decimal(38,10)"
 # Longest group that is folded as one array.
 FOLD_ROWS = 4096
 # Rows of a long group that one task goes through.
 CHUNK_ROWS = 1_000_000
-# Up to this many groups with their caps are broadcast.
-SMALL_GROUPS = 50_000
 
 
 def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: bool | None = None) -> DataFrame:
@@ -38,7 +36,8 @@ def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: b
     themselves are not shuffled unless those keys are too many to broadcast.
     """
     repeated = (rows.groupBy(*keys).agg(F.min(order).alias("_earliest"), F.count("*").alias("_n"))
-                .filter("_n > 1"))
+                .filter("_n > 1").select(*keys, "_earliest"))
+    repeated = cut(repeated)
     found = lookup(rows, repeated, {k: k for k in keys}, {"_earliest": "_earliest"}, small)
     return found.withColumn(flag, F.col("_earliest").isNull() | (F.col("_earliest") == F.col(order))).drop("_earliest")
 
@@ -62,18 +61,15 @@ def accept_within_cap(rows: DataFrame, keys: list[str], order: str, amount: str,
         .select(*keys, "_group_rows", "_limit")
     )
     tight = cut(tight)
-    size = tight.agg(F.count("*").alias("groups"),
-                     F.sum(F.when(F.col("_group_rows") > fold_rows, F.col("_group_rows"))).alias("long")).first()
-    if small is None:
-        small = size["groups"] <= SMALL_GROUPS
+    long_rows = tight.filter(F.col("_group_rows") > fold_rows).agg(F.sum("_group_rows")).first()[0]
     sized = lookup(rows, tight, {k: k for k in keys}, {"_group_rows": "_group_rows", "_limit": "_limit"}, small)
 
     whole = sized.filter(F.col("_group_rows").isNull()).drop("_group_rows", "_limit").withColumn(flag, F.lit(True))
     short = _accept_short(sized.filter(F.col("_group_rows") <= fold_rows), keys, order, amount, flag)
     result = whole.unionByName(short)
-    if size["long"] is None:
+    if long_rows is None:
         return result
-    chunks = -(-size["long"] // chunk_rows)
+    chunks = -(-long_rows // chunk_rows)
     return result.unionByName(
         _accept_long(sized.filter(F.col("_group_rows") > fold_rows), keys, order, amount, flag, chunks))
 
@@ -225,8 +221,8 @@ def _accept_long(rows: DataFrame, keys: list[str], order: str, amount: str, flag
                     _whole_units(F.col(amount)).alias("_units"))
         .repartitionByRange(chunks, "_key", order).sortWithinPartitions("_key", order)
     )
-    # The cut fixes which rows make up a chunk for every pass below.
-    ordered = cut(ordered).select("*", F.spark_partition_id().alias("_chunk"),
+    # Every pass below sees the same rows in a chunk.
+    ordered = pin(ordered).select("*", F.spark_partition_id().alias("_chunk"),
                                   F.monotonically_increasing_id().alias("_place"))
     summaries = cut(ordered.select("_key", "_chunk", "_limit", "_units").mapInPandas(_summaries, SUMMARY_TYPE))
     passed = rows.sparkSession.createDataFrame([], PASSED_TYPE)

@@ -10,16 +10,17 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import events as ev
 from ledgerloom.operators.joins import flag_known, latest_by_key, lookup
 from ledgerloom.operators.payments import accept_within_cap, mark_first
-from ledgerloom.plans.staging import accepted, stage
+from ledgerloom.plans.staging import accepted, rejected, stage
 from ledgerloom.sources.extracts import TABLES, by_table
 from ledgerloom.sources.files import SEQUENCE
+from ledgerloom.session import cut
 
 IDENTITY = ["source_system", "source_id"]
 
 
 def staged_table(raw: dict[str, DataFrame], table: str) -> DataFrame:
     """All sources of one target table, before any check against other tables."""
-    parts = [stage(raw[e.name], e) for e in by_table(table) if e.name in raw]
+    parts = [stage(raw[e.name], e) for e in by_table(table)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -54,49 +55,60 @@ def check_payments(payments: DataFrame, invoices: DataFrame, **sizes: int) -> Da
 
     A repeat is judged against every earlier payment, also one that the cap rejects. Both
     checks only look at rows that passed the ones before, and keep their cleaning events.
+    They go over their rows more than once, hence the cut after the cleaning.
     """
-    checked = require_parent(payments, invoices, "invoice_code", ev.ORPHAN_PAYMENT)
-    out = checked.filter(F.col("_reject").isNotNull())
+    totals = latest_by_key(accepted(invoices), IDENTITY, SEQUENCE, ["total_amount"])
+    checked = lookup(payments, totals, {"source_system": "source_system", "invoice_code": "source_id"},
+                     {"_total": "total_amount"})
+    # Accepted invoices always have a total, so its absence means there is no such invoice.
+    orphan = ev.event(ev.EXCLUDED, ev.ORPHAN_PAYMENT, "invoice_code", F.col("invoice_code"))
+    checked = cut(_reject(checked, F.col("_total").isNull(), ev.ORPHAN_PAYMENT, orphan, keep_events=False))
 
-    alive = checked.filter(F.col("_reject").isNull()).withColumns({
+    alive = accepted(checked).withColumns({
         "_method": F.coalesce("payment_method", F.lit("")), "_reference": F.coalesce("reference_number", F.lit(""))})
     alive = mark_first(alive, DEDUPE_KEY, SEQUENCE, "_first")
     repeat = ev.event(ev.EXCLUDED, ev.DUPLICATE_PAYMENT, "dedupe_key", _printed_key())
     alive = _reject(alive, ~F.col("_first"), ev.DUPLICATE_PAYMENT, repeat, keep_events=True)
     alive = alive.drop("_first", "_method", "_reference")
-    repeats = alive.filter(F.col("_reject").isNotNull())
 
-    totals = latest_by_key(accepted(invoices), IDENTITY, SEQUENCE, ["total_amount"])
-    capped = lookup(alive.filter(F.col("_reject").isNull()), totals,
-                    {"source_system": "source_system", "invoice_code": "source_id"}, {"_cap": "total_amount"})
-    capped = accept_within_cap(capped, ["source_system", "invoice_code"], SEQUENCE, "amount", "_cap", "_fits", **sizes)
+    capped = accept_within_cap(accepted(alive), ["source_system", "invoice_code"], SEQUENCE, "amount", "_total",
+                               "_fits", **sizes)
     over = ev.event(ev.EXCLUDED, ev.OVER_CAP, "amount", F.col("amount_text"))
-    capped = _reject(capped, ~F.col("_fits"), ev.OVER_CAP, over, keep_events=True).drop("_cap", "_fits")
-    return out.unionByName(repeats).unionByName(capped)
+    capped = _reject(capped, ~F.col("_fits"), ev.OVER_CAP, over, keep_events=True).drop("_fits")
+    return rejected(checked).unionByName(rejected(alive)).unionByName(capped).drop("_total")
+
 
+PARENT = {"Invoices": "Customers", "InvoiceLines": "Invoices", "Payments": "Invoices"}
 
-def conform(raw: dict[str, DataFrame], stage_to: str | None = None) -> dict[str, DataFrame]:
-    """Staged rows of all six tables, with verdict and events.
 
-    With ``stage_to`` each table is written once and read back before the next one uses it:
-    every extract is scanned once, and a lost executor costs at most one table's work.
+def conform(raw: dict[str, DataFrame], tables: tuple[str, ...] = TABLES,
+            stage_to: str | None = None) -> dict[str, DataFrame]:
+    """Staged rows of the wanted tables and of those they depend on, with verdict and events.
+
+    Each table is written once, to ``stage_to`` or the shared folder, and read back before
+    the next one uses it: every extract is scanned once, and a lost executor costs at most
+    one table's work.
     """
-    done: dict[str, DataFrame] = {}
+    wanted = set(tables)
+    for child in reversed(TABLES):
+        if child in wanted and child in PARENT:
+            wanted.add(PARENT[child])
 
-    def keep(table: str, rows: DataFrame) -> None:
-        if stage_to is not None:
+    done: dict[str, DataFrame] = {}
+    for table in [t for t in TABLES if t in wanted]:
+        rows = staged_table(raw, table)
+        # Children are held against the invoices that were accepted, so exclusions cascade.
+        if table == "Invoices":
+            rows = require_parent(rows, done["Customers"], "customer_code", ev.ORPHAN_INVOICE)
+        elif table == "InvoiceLines":
+            rows = require_parent(rows, done["Invoices"], "invoice_code", ev.ORPHAN_LINE)
+        elif table == "Payments":
+            rows = check_payments(rows, done["Invoices"])
+        if stage_to is None:
+            done[table] = cut(rows)
+        else:
             rows.write.mode("overwrite").parquet(f"{stage_to}/{table}")
-            rows = rows.sparkSession.read.parquet(f"{stage_to}/{table}")
-        done[table] = rows
-
-    for table in ("Customers", "Suppliers", "Products"):
-        keep(table, staged_table(raw, table))
-    keep("Invoices", require_parent(staged_table(raw, "Invoices"), done["Customers"], "customer_code",
-                                    ev.ORPHAN_INVOICE))
-    # Children are held against the invoices that were accepted, so exclusions cascade.
-    keep("InvoiceLines", require_parent(staged_table(raw, "InvoiceLines"), done["Invoices"], "invoice_code",
-                                        ev.ORPHAN_LINE))
-    keep("Payments", check_payments(staged_table(raw, "Payments"), done["Invoices"]))
+            done[table] = rows.sparkSession.read.schema(rows.schema).parquet(f"{stage_to}/{table}")
     return done
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,21 +39,30 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return configure(spark)
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's shared checkpoint folder; make one up only on a single machine."""
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's checkpoint folder; one is made up only on a single machine."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="ledgerloom-checkpoint-")
-    context.setCheckpointDir(shared)
+        shared = tempfile.mkdtemp(prefix="ledgerloom-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared)
+    return shared.rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise a frame on shared storage, so its partitions and row order are fixed
-    and the loss of an executor costs one read instead of the whole lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """Write a frame to the shared folder and go on from there. What follows reads only the
+    columns it needs, knows the true size, and does not repeat the work before the cut, also
+    not when an executor is lost."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def pin(df: DataFrame) -> DataFrame:
+    """Like ``cut``, and also keeps which partition a row is in and the order there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

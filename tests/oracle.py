@@ -17,6 +17,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "labels conversations").split()
 
 
+SECONDS: dict[str, float] = {}
+
+
 def duck(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -40,7 +43,9 @@ def _rows(t: pa.Table) -> list[str]:
 
 def differences(spark, con, name: str, folder: str) -> list[str]:
     """Empty when both agree on columns, types, row count and values."""
+    start = time.time()
     got = SPARK[name](spark, folder).toArrow()
+    SECONDS[name] = time.time() - start
     want = con.execute(ORACLE[name]).to_arrow_table()
     found = []
     if sorted(got.column_names) != sorted(want.column_names):
@@ -78,5 +83,5 @@ if __name__ == "__main__":
         except Exception as error:  # noqa: BLE001
             diff = [f"{type(error).__name__}: {str(error)[:1500]}"]
         bad += bool(diff)
-        print(f"{'FAIL' if diff else 'ok  '} {query} {time.time() - start:.1f}s", *diff, sep="\n     ", flush=True)
+        print(f"{'FAIL' if diff else 'ok  '} {query} {time.time() - start:.1f}s, Spark {SECONDS.get(query, 0):.1f}s", *diff, sep="\n     ", flush=True)
     print("failed:", bad)

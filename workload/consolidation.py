@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import events as ev
+from ledgerloom.operators.keys import assign_keys
 from ledgerloom.plans import conform as job
-from ledgerloom.plans.publish import KEYS, build_table, key_map, reconcile, resolve
-from ledgerloom.plans.staging import STAGED_ONLY, accepted, staged_types
+from ledgerloom.plans.publish import KEYS, reconcile, resolve
+from ledgerloom.plans.staging import accepted, staged_types
 from workload.expected import ALL_EVENTS, consolidation
-from workload.raw_extracts import raw_extracts
+from workload.raw_extracts import RawExtracts
 from workload.registry import query
 
 STAGED = {"Customers": "customers_", "Suppliers": "suppliers_", "Products": "products_", "Invoices": "invoices_",
@@ -22,17 +23,7 @@ def _columns(table: str) -> list[str]:
 
 
 def _conformed(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    raw = raw_extracts(spark, folder)
-    rows = job.staged_table(raw, table)
-    if table in ("Customers", "Suppliers", "Products"):
-        return rows
-    customers = job.staged_table(raw, "Customers")
-    invoices = job.require_parent(job.staged_table(raw, "Invoices"), customers, "customer_code", ev.ORPHAN_INVOICE)
-    if table == "Invoices":
-        return invoices
-    if table == "InvoiceLines":
-        return job.require_parent(rows, invoices, "invoice_code", ev.ORPHAN_LINE)
-    return job.check_payments(rows, invoices)
+    return job.conform(RawExtracts(spark, folder), (table,))[table]
 
 
 def _register(table: str, name: str) -> None:
@@ -50,7 +41,7 @@ for _table, _name in (("Customers", "customers"), ("Suppliers", "suppliers"), ("
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return job.quality_events(job.conform(raw_extracts(spark, folder)))
+    return job.quality_events(job.conform(RawExtracts(spark, folder)))
 
 
 @query("quality_events", consolidation(
@@ -73,7 +64,7 @@ def quality_by_table(spark: SparkSession, folder: str) -> DataFrame:
     f'SELECT "table", source_system, source_id, reject AS reason FROM {t} WHERE reject = \'Registro sin ID de origen\''
     for t in ("customers_", "products_", "invoices_raw", "lines_raw"))))
 def missing_id_excluded(spark: SparkSession, folder: str) -> DataFrame:
-    raw = raw_extracts(spark, folder)
+    raw = RawExtracts(spark, folder)
     parts = [job.staged_table(raw, t).select("table", "source_system", "source_id", "_reject")
              for t in ("Customers", "Products", "Invoices", "InvoiceLines")]
     rows = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
@@ -114,7 +105,6 @@ SUPPLIER_KEYS = """
     """SELECT row_number() OVER (ORDER BY source_system, _seq) AS invoice_id, invoice_number, source_system, source_id
        FROM invoices_ WHERE reject IS NULL"""))
 def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
-    from ledgerloom.operators.keys import assign_keys
     rows = accepted(_conformed(spark, folder, "Invoices"))
     keyed = assign_keys(rows.select("invoice_number", "source_system", "source_id", "_seq"), KEYS["Invoices"],
                         ["source_system", "_seq"])
@@ -128,7 +118,6 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
           ON k.source_system = p.source_system AND k.source_id = p.supplier_code
         WHERE p.reject IS NULL"""))
 def fk_resolve(spark: SparkSession, folder: str) -> DataFrame:
-    from ledgerloom.operators.keys import assign_keys
     suppliers = accepted(_conformed(spark, folder, "Suppliers")).select("source_system", "source_id", "_seq")
     keyed = assign_keys(suppliers, "supplier_id", ["source_system", "_seq"])
     products = accepted(_conformed(spark, folder, "Products")).select("source_system", "source_id", "supplier_code")
@@ -138,5 +127,5 @@ def fk_resolve(spark: SparkSession, folder: str) -> DataFrame:
 @query("reconcile_counts", consolidation(" UNION ALL ".join(
     f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {t} WHERE reject IS NULL" for n, t in STAGED.items())))
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
-    staged = job.conform(raw_extracts(spark, folder))
+    staged = job.conform(RawExtracts(spark, folder))
     return reconcile({name: accepted(rows) for name, rows in staged.items()})
