@@ -46,7 +46,7 @@ def differences(spark, con, name: str, folder: str) -> list[str]:
     start = time.time()
     got = SPARK[name](spark, folder).toArrow()
     SECONDS[name] = time.time() - start
-    want = con.execute(ORACLE[name]).to_arrow_table()
+    want = con.sql(ORACLE[name]).to_arrow_table()
     found = []
     if sorted(got.column_names) != sorted(want.column_names):
         return [f"columns {sorted(got.column_names)} != {sorted(want.column_names)}"]

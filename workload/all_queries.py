@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import consolidation, generation, mutation, reports  # noqa: F401
+from workload import cleaning, consolidation, generation, mutation, profiling, reports  # noqa: F401
