@@ -1,7 +1,7 @@
 """Cleaning rules as Column expressions.
 
-Each rule that can be audited returns ``Cleaned(value, event)``; the event is NULL on rows
-the rule left alone, and ``None`` when the rule never reports anything.
+Each rule that can be audited returns ``Cleaned(value, events)``; the events are an array of
+one, NULL on rows the rule left alone, and ``None`` when the rule never reports anything.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ _SPACES = r"(?U)[\s\x1c-\x1f]+"
 @dataclass(frozen=True)
 class Cleaned:
     value: Column
-    event: Column | None = None
+    events: Column | None = None
 
 
 def raw_text(column: Column) -> Column:
@@ -52,8 +52,8 @@ def required_text(column: Column, field: str, text: Column | None = None) -> Cle
     raw = raw_text(column)
     return Cleaned(
         F.when(text == "", F.lit(TEXT_DEFAULT)).otherwise(text),
-        F.when(text == "", ev.event(ev.DEFAULTED, ev.EMPTY_TEXT, field, raw, TEXT_DEFAULT))
-        .when(text != raw, ev.event(ev.CLEANED, ev.WHITESPACE, field, raw, text)),
+        ev.reported((text == "", ev.event(ev.DEFAULTED, ev.EMPTY_TEXT, field, raw, TEXT_DEFAULT)),
+                    (text != raw, ev.event(ev.CLEANED, ev.WHITESPACE, field, raw, text))),
     )
 
 
@@ -63,7 +63,7 @@ def optional_text(column: Column, field: str, text: Column | None = None) -> Cle
     raw = raw_text(column)
     return Cleaned(
         null_if_empty(text),
-        F.when((text != raw) & (raw != ""), ev.event(ev.CLEANED, ev.WHITESPACE, field, raw, text)),
+        ev.reported(((text != raw) & (raw != ""), ev.event(ev.CLEANED, ev.WHITESPACE, field, raw, text))),
     )
 
 
@@ -71,7 +71,7 @@ def email(column: Column, field: str = "email", text: Column | None = None) -> C
     text = F.lower(clean_text(column) if text is None else text)
     return Cleaned(
         F.when(text == "", F.lit(EMAIL_DEFAULT)).otherwise(text),
-        F.when(text == "", ev.event(ev.DEFAULTED, ev.EMPTY_EMAIL, field, raw_text(column), EMAIL_DEFAULT)),
+        ev.reported((text == "", ev.event(ev.DEFAULTED, ev.EMPTY_EMAIL, field, raw_text(column), EMAIL_DEFAULT))),
     )
 
 
@@ -82,12 +82,12 @@ def date(column: Column, field: str, pattern: str, required: bool = True, text:
     if not required:
         return Cleaned(
             parsed,
-            F.when((text != "") & parsed.isNull(), ev.event(ev.CLEANED, ev.BAD_OPTIONAL_DATE, field, raw, "")),
+            ev.reported(((text != "") & parsed.isNull(), ev.event(ev.CLEANED, ev.BAD_OPTIONAL_DATE, field, raw, ""))),
         )
     return Cleaned(
         F.coalesce(parsed, F.lit(DATE_DEFAULT).cast("date")),
-        F.when(text == "", ev.event(ev.DEFAULTED, ev.EMPTY_DATE, field, raw, DATE_DEFAULT))
-        .when(parsed.isNull(), ev.event(ev.DEFAULTED, ev.BAD_DATE, field, raw, DATE_DEFAULT)),
+        ev.reported((text == "", ev.event(ev.DEFAULTED, ev.EMPTY_DATE, field, raw, DATE_DEFAULT)),
+                    (parsed.isNull(), ev.event(ev.DEFAULTED, ev.BAD_DATE, field, raw, DATE_DEFAULT))),
     )
 
 
@@ -105,7 +105,8 @@ def decimal(column: Column, field: str, source: str, text: Column | None = None)
     parsed = digits.try_cast(STAGING_DECIMAL)
     return Cleaned(
         F.coalesce(parsed, F.lit(0).cast(STAGING_DECIMAL)),
-        F.when((digits != "") & parsed.isNull(), ev.event(ev.DEFAULTED, ev.BAD_DECIMAL, field, raw_text(column), "0")),
+        ev.reported(((digits != "") & parsed.isNull(),
+                     ev.event(ev.DEFAULTED, ev.BAD_DECIMAL, field, raw_text(column), "0"))),
     )
 
 

@@ -54,11 +54,20 @@ def event(action: str, reason: str, field: str = "", original: Column | str | No
     )
 
 
+def reported(*cases: tuple[Column, Column]) -> Column:
+    """The event of the first case that holds, as an array of one; NULL when none does.
+
+    Arrays that are put together with ``concat`` stay inside generated code, which filtering
+    an array of optional events would not."""
+    found = F
+    for condition, record in cases:
+        found = found.when(condition, F.array(record))
+    return found
+
+
 def event_list(events: list[Column]) -> Column:
-    """The events that happened, as one array per row; absent ones are NULL and dropped."""
-    if not events:
-        return no_events()
-    return F.array_compact(F.array(*events))
+    """The events that happened on a row."""
+    return F.concat(*[F.coalesce(e, no_events()) for e in events]) if events else no_events()
 
 
 def no_events() -> Column:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.session import estimated_bytes
+
 # At most this many keys are salted, so only a list of that length is ever broadcast.
 MAX_HOT_KEYS = 1000
 HOT_SLOTS = 256
@@ -18,8 +20,7 @@ def fits_broadcast(df: DataFrame) -> bool:
     spark = df.sparkSession
     setting = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size <= limit
+    return estimated_bytes(df) <= limit
 
 
 def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[tuple]:

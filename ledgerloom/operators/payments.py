@@ -32,13 +32,14 @@ CHUNK_ROWS = 1_000_000
 def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: bool | None = None) -> DataFrame:
     """Flag the first row of every key; keys are not NULL and ``order`` is unique.
 
-    Only keys that occur more than once leave the aggregation, combined map-side. The rows
+    Keys are counted first, which is combined map-side and needs no sorting. Only the rows
+    of keys that occur more than once are then searched for the first one. The rows
     themselves are not shuffled unless those keys are too many to broadcast.
     """
-    repeated = (rows.groupBy(*keys).agg(F.min(order).alias("_earliest"), F.count("*").alias("_n"))
-                .filter("_n > 1").select(*keys, "_earliest"))
-    repeated = cut(repeated)
-    found = lookup(rows, repeated, {k: k for k in keys}, {"_earliest": "_earliest"}, small)
+    repeated = cut(rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys))
+    earliest = cut(rows.select(*keys, order).join(repeated, keys, "left_semi")
+                   .groupBy(*keys).agg(F.min(order).alias("_earliest")))
+    found = lookup(rows, earliest, {k: k for k in keys}, {"_earliest": "_earliest"}, small)
     return found.withColumn(flag, F.col("_earliest").isNull() | (F.col("_earliest") == F.col(order))).drop("_earliest")
 
 

@@ -27,7 +27,7 @@ def staged_table(raw: dict[str, DataFrame], table: str) -> DataFrame:
 def _reject(rows: DataFrame, condition: Column, reason: str, event: Column, keep_events: bool) -> DataFrame:
     """Exclude the rows not yet excluded for which ``condition`` holds."""
     hit = F.col("_reject").isNull() & condition
-    events = F.array_append(F.col("_events"), event) if keep_events else F.array(event)
+    events = F.concat("_events", F.array(event)) if keep_events else F.array(event)
     return rows.withColumns({
         "_events": F.when(hit, events).otherwise(F.col("_events")),
         "_reject": F.when(hit, F.lit(reason)).otherwise(F.col("_reject")),
@@ -85,9 +85,9 @@ def conform(raw: dict[str, DataFrame], tables: tuple[str, ...] = TABLES,
             stage_to: str | None = None) -> dict[str, DataFrame]:
     """Staged rows of the wanted tables and of those they depend on, with verdict and events.
 
-    Each table is written once, to ``stage_to`` or the shared folder, and read back before
-    the next one uses it: every extract is scanned once, and a lost executor costs at most
-    one table's work.
+    With ``stage_to`` each table is written there and read back, so every extract is scanned
+    once and a lost executor costs at most one table's work. Otherwise only the tables that
+    others depend on are written, to the shared folder.
     """
     wanted = set(tables)
     for child in reversed(TABLES):
@@ -105,7 +105,7 @@ def conform(raw: dict[str, DataFrame], tables: tuple[str, ...] = TABLES,
         elif table == "Payments":
             rows = check_payments(rows, done["Invoices"])
         if stage_to is None:
-            done[table] = cut(rows)
+            done[table] = cut(rows) if table in PARENT.values() else rows
         else:
             rows.write.mode("overwrite").parquet(f"{stage_to}/{table}")
             done[table] = rows.sparkSession.read.schema(rows.schema).parquet(f"{stage_to}/{table}")

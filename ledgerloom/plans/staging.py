@@ -14,6 +14,7 @@ from ledgerloom.functions import events as ev
 from ledgerloom.sources.extracts import Extract, Field
 from ledgerloom.sources.files import SEQUENCE
 from ledgerloom.sources.schemas import STAR, column_types
+from ledgerloom.session import spread
 
 # Columns that later checks need and the target table does not have.
 STAGED_ONLY = {"InvoiceLines": {"invoice_code": "string"}, "Payments": {"amount_text": "string"}}
@@ -81,11 +82,11 @@ def stage(raw: DataFrame, extract: Extract) -> DataFrame:
     """Clean every used column once, then derive values and events from raw and clean text."""
     used = sorted({extract.id_column, *(f.source for f in extract.fields if f.source),
                    *(f.extra for f in extract.fields if f.rule == "difference")})
-    cleaned = raw.select(*used, SEQUENCE, *[c.clean_text(F.col(u)).alias(f"_clean_{u}") for u in used])
+    cleaned = spread(raw).select(*used, SEQUENCE, *[c.clean_text(F.col(u)).alias(f"_clean_{u}") for u in used])
 
     done = {f.target: _apply(f, extract) for f in extract.fields}
     no_id = _clean(extract.id_column) == ""
-    found = ev.event_list([d.event for d in done.values() if d.event is not None])
+    found = ev.event_list([d.events for d in done.values() if d.events is not None])
     missing = F.array(ev.event(ev.EXCLUDED, ev.MISSING_ID, extract.id_column))
     return cleaned.select(
         F.lit(extract.table).alias("table"),

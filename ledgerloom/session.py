@@ -16,6 +16,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even when a later operator then needs its own shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles a method beyond 8000 bytes. The cleaning of a wide row as one
+    # generated method would be interpreted, so beyond that size it is split instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -39,6 +42,24 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "
     return configure(spark)
 
 
+# Below this estimate, moving rows costs more than it saves.
+SPREAD_BYTES = 4 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate, from file sizes and the plan; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a few large splits (one compressed file, say) out to all cores before
+    costly work per row. Inputs with enough splits, as large tables have, stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) < SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's checkpoint folder; one is made up only on a single machine."""
     context = spark.sparkContext

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -18,12 +18,19 @@ def orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("shipping_country"))
 
 
+def _hundredths(column: str) -> Column:
+    """A double with two decimals as a whole number; far cheaper than a cast to decimal."""
+    return F.floor(F.col(column) * 100 + F.lit(0.5))
+
+
 def items(spark: SparkSession, folder: str) -> DataFrame:
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    kept = F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")
-    return table(spark, folder, "lineitem").select(
+    """Lines with price times (1 - discount), computed in whole numbers and rounded half up."""
+    kept = 100 - _hundredths("l_discount")
+    return table(spark, folder, "lineitem").withColumn("_exact", _hundredths("l_extendedprice") * kept + 50).select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"), (price * kept).cast("decimal(12,2)").alias("line_total"))
+        F.col("l_quantity").cast("int").alias("quantity"),
+        (F.expr("_exact div 100").cast("decimal(12,0)") * F.lit("0.01").cast("decimal(2,2)"))
+        .cast("decimal(12,2)").alias("line_total"))
 
 
 def products(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,8 +13,7 @@ from workload.registry import query
 
 def _audited(rows: DataFrame, keys: list[str], cleaned: c.Cleaned) -> DataFrame:
     """The cleaned value, and the event where there was one."""
-    nothing = F.lit(None).cast("struct<action:string,reason:string,new_value:string>")
-    event = nothing if cleaned.event is None else cleaned.event
+    event = F.get(cleaned.events, F.lit(0))
     return rows.select(*keys, cleaned.value.alias("value"), event.alias("e")).select(
         *keys, "value", "e.action", "e.reason", "e.new_value")
 
