@@ -9,6 +9,7 @@ change_date`` (history).
 from __future__ import annotations
 
 from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,18 @@ def months_before(as_of: datetime | str, months: int) -> Column:
     return F.lit(str(as_of)).cast("timestamp_ntz") - F.make_ym_interval(F.lit(0), F.lit(months))
 
 
+def _units(items: DataFrame, column: str) -> Column:
+    """A money column as whole units of its scale. Sums of longs stay in registers where sums
+    of wide decimals allocate, and ANSI arithmetic would raise rather than overflow."""
+    return (F.col(column) * F.lit(10 ** items.schema[column].dataType.scale)).cast("bigint")
+
+
+def _money(units: Column, items: DataFrame, column: str) -> Column:
+    scale = items.schema[column].dataType.scale
+    unit = F.lit(Decimal(1).scaleb(-scale)).cast(f"decimal({scale + 1},{scale})")
+    return (units.cast("decimal(20,0)") * unit).cast(f"decimal(38,{scale})")
+
+
 def monthly_sales(orders: DataFrame, items: DataFrame, products: DataFrame, categories: DataFrame,
                   start: datetime | str, end: datetime | str) -> DataFrame:
     """Sales, distinct orders and units per category and month.
@@ -42,11 +55,12 @@ def monthly_sales(orders: DataFrame, items: DataFrame, products: DataFrame, cate
         .join(products.select("product_id", "category_id"), "product_id")
         .groupBy("order_id", "category_id", F.year("order_date").alias("order_year"),
                  F.month("order_date").alias("order_month"))
-        .agg(F.sum("line_total").alias("sales"), F.sum("quantity").alias("units"))
+        .agg(F.sum(_units(items, "line_total")).alias("units"), F.sum("quantity").alias("quantity"))
     )
     return (
         per_order.groupBy("category_id", "order_year", "order_month")
-        .agg(F.sum("sales").alias("total_sales"), F.count("*").alias("order_count"), F.sum("units").alias("units_sold"))
+        .agg(_money(F.sum("units"), items, "line_total").alias("total_sales"), F.count("*").alias("order_count"),
+             F.sum("quantity").alias("units_sold"))
         .join(categories.select("category_id", "category_name"), "category_id")
         .select("category_id", "category_name", "order_year", "order_month", "total_sales", "order_count", "units_sold")
         .orderBy("order_year", "order_month", "category_id")
@@ -64,7 +78,8 @@ def top_products(orders: DataFrame, items: DataFrame, products: DataFrame, categ
     per_product = (
         items.select("order_id", "product_id", "quantity", "line_total")
         .join(recent, "order_id").groupBy("product_id")
-        .agg(F.sum("quantity").alias("total_quantity"), F.sum("line_total").alias("total_revenue"))
+        .agg(F.sum("quantity").alias("total_quantity"),
+             _money(F.sum(_units(items, "line_total")), items, "line_total").alias("total_revenue"))
     )
     by_quantity = Window.partitionBy("category_id").orderBy(F.desc("total_quantity"), "product_id")
     return (

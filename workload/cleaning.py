@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import cleaning as c
+from ledgerloom.session import spread
 from ledgerloom.sources import tables
 from workload import expected as sql
 from workload.registry import query
@@ -32,7 +33,7 @@ def _rule(rule: str, target: str, source: str, extra: str | None = None, system:
 
 @query("clean_text", f"SELECT doc_id, {sql.clean('text')} AS text FROM documents")
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.table(spark, folder, "documents").select("doc_id", c.clean_text(F.col("text")).alias("text"))
+    return spread(tables.table(spark, folder, "documents")).select("doc_id", c.clean_text(F.col("text")).alias("text"))
 
 
 # Every seventh text is empty and every eleventh is white space only.

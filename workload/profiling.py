@@ -10,6 +10,7 @@ from ledgerloom.operators import profiling as p
 from ledgerloom.operators.payments import accept_within_cap, mark_first
 from ledgerloom.plans import profile as job
 from ledgerloom.sources import tables
+from ledgerloom.session import spread
 from ledgerloom.sources.extracts import EXTRACTS, named
 from workload import expected as sql
 from workload.raw_extracts import PAYMENT_ROWS, PAYMENT_SEQ, RawExtracts, raw_sql
@@ -348,7 +349,7 @@ PAYMENTS_SQL = f"({PAYMENTS.format(lineitem='lineitem')})"
 
 
 def _payments(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.sql(PAYMENTS, lineitem=tables.table(spark, folder, "lineitem"))
+    return spark.sql(PAYMENTS, lineitem=spread(tables.table(spark, folder, "lineitem")))
 
 
 @query("dedupe_exact", f"""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerloom.plans import reports
 from ledgerloom.sources import tables
@@ -33,9 +32,8 @@ FROM orders JOIN items ON o_orderkey = order_id JOIN products USING (product_id)
 WHERE o_orderdate >= TIMESTAMP '{YEAR[0]}' AND o_orderdate < TIMESTAMP '{YEAR[1]}'
 GROUP BY ALL ORDER BY order_year, order_month, category_id""")
 def monthly_sales(spark: SparkSession, folder: str) -> DataFrame:
-    report = reports.monthly_sales(tables.orders(spark, folder), tables.items(spark, folder),
-                                   tables.products(spark, folder), tables.categories(spark, folder), *YEAR)
-    return report.withColumn("total_sales", F.col("total_sales").cast("decimal(38,2)"))
+    return reports.monthly_sales(tables.orders(spark, folder), tables.items(spark, folder),
+                                 tables.products(spark, folder), tables.categories(spark, folder), *YEAR)
 
 
 @query("top3_per_category", f"""
@@ -49,9 +47,8 @@ SELECT * FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY category_id ORDER BY total_quantity DESC, product_id) AS INTEGER) AS rank_num
   FROM sold) WHERE rank_num <= 3""")
 def top3_per_category(spark: SparkSession, folder: str) -> DataFrame:
-    report = reports.top_products(tables.orders(spark, folder), tables.items(spark, folder),
-                                  tables.products(spark, folder), tables.categories(spark, folder), AS_OF)
-    return report.withColumn("total_revenue", F.col("total_revenue").cast("decimal(38,2)"))
+    return reports.top_products(tables.orders(spark, folder), tables.items(spark, folder),
+                                tables.products(spark, folder), tables.categories(spark, folder), AS_OF)
 
 
 @query("text_contains", """
