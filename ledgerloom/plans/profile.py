@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.cleaning import profile_decimal
 from ledgerloom.operators import profiling as p
 from ledgerloom.operators.joins import orphans
+from ledgerloom.session import cut
 from ledgerloom.sources.extracts import EXTRACTS, named
 
 Extracts = dict[str, DataFrame]
@@ -46,6 +47,12 @@ PAYMENT_KEYS = {
 }
 
 
+def parsed_once(raw: Extracts) -> Extracts:
+    """Columnar copies of the extracts. The checks go over them many times, and then parse no
+    text again and read only the columns they need."""
+    return {e.name: cut(raw[e.name]) for e in EXTRACTS}
+
+
 def union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -211,7 +218,8 @@ def _rows(df: DataFrame) -> DataFrame:
 
 
 def findings(raw: Extracts) -> DataFrame:
-    """The consolidated list of findings with the number of rows (or keys) each one affects."""
+    """The consolidated list of findings with the number of values, rows or keys each one
+    affects. ``raw`` is best ``parsed_once``."""
     parts = _row_findings(raw)
     for name, key, parent, parent_key in RELATIONS:
         if name in ("source_a/invoices", "source_b/facturas"):
@@ -243,6 +251,7 @@ def findings(raw: Extracts) -> DataFrame:
 
 def profile(raw: Extracts) -> dict[str, DataFrame]:
     """Every profiling table of the extracts."""
+    raw = parsed_once(raw)
     return {
         "null_columns": table_profiles(raw),
         "row_profiles": row_profiles(raw),
