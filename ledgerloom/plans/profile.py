@@ -72,10 +72,14 @@ def row_profiles(raw: Extracts) -> DataFrame:
     parts = []
     for e in EXTRACTS:
         df = raw[e.name].select(*e.columns)
-        ids = p.repeated_rows(df, [e.id_column]).select(F.col("repeated_rows").alias("repeated_ids"))
-        whole = p.repeated_rows(df).select(F.lit(len(e.columns)).alias("column_count"), "row_count", "repeated_rows")
-        # One row each.
-        both = whole.withColumn("_one", F.lit(1)).join(ids.withColumn("_one", F.lit(1)), "_one").drop("_one")
+        unknown = F.lit(None).cast("bigint")
+        whole = p.repeated_rows(df).withColumn("repeated_ids", unknown)
+        ids = p.repeated_rows(df, [e.id_column]).select(
+            "row_count", unknown.alias("repeated_rows"), F.col("repeated_rows").alias("repeated_ids"))
+        # One row each, put side by side.
+        both = whole.unionByName(ids).agg(
+            F.lit(len(e.columns)).alias("column_count"),
+            *[F.max(c).alias(c) for c in ("row_count", "repeated_rows", "repeated_ids")])
         parts.append(_labelled(both, e.name))
     return union(parts)
 
