@@ -55,7 +55,8 @@ def _merge(largest: bool):
             if batch.num_rows == 0:
                 continue
             names = batch.schema.names
-            table = pa.Table.from_batches([batch])
+            # Spark marks a counted column as not null in some rounds only.
+            table = pa.Table.from_arrays(batch.columns, names)
             table = pa.concat_tables([waiting, table]) if waiting is not None else table
             table = table.group_by(keys, use_threads=False).aggregate([("keep_id", best), ("group_size", "sum")])
             table = table.rename_columns([n.removesuffix("_" + best).removesuffix("_sum") for n in table.column_names]).select(names)
