@@ -1,5 +1,6 @@
 """Helpers of the corpus operators."""
 
+import os
 import sys
 from collections.abc import Callable, Iterator
 
@@ -13,6 +14,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Where a public vocabulary file is on the driver; LLM_TOKENIZERS names another folder."""
+    folder = os.environ.get("LLM_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def by_value(module: str) -> None:
     """Ship a module's functions to the workers themselves, so that tasks need not import this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

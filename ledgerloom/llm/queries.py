@@ -5,8 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import documents
+from ledgerloom.llm.common import documents, tokenizer
 from ledgerloom.llm.exact_dedup import exact_groups
+from ledgerloom.llm.piece_bpe import encode_digests
 from ledgerloom.llm.sharding import shard_documents
 from ledgerloom.llm.simhash import simhash_components
 
@@ -20,6 +21,10 @@ def op6_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir), words=3, max_bits=2)
 
@@ -31,6 +36,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_feistel_shards": op6_feistel_shards,
+    "op7_sentencepiece": op7_sentencepiece,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -1,0 +1,56 @@
+"""Operators that work text by text, against libraries and plain Python."""
+
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+
+from ledgerloom.llm import queries
+from ledgerloom.llm.common import tokenizer
+from ledgerloom.llm.piece_bpe import Encoder, encode_column, encode_digests, read_model
+from tests.llm.cases import awkward, empty
+
+SF = "/root/testdata/sf0.001"
+MODEL = tokenizer("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+def test_encoder_equals_the_library(library):
+    encoder = Encoder(read_model(MODEL))
+    draw = random.Random(1)
+    parts = [" ", " ", "  ", "▁", "a", "e", "t", "h", "the", "ing", "\n", "\t", "é", "日", "本", "💩", "①", "1", "0", ".", ",", "=",
+             "-", "_", "'", "A", "Z", "\u0000", "ﬁ", " " * 5, "\r\n", "ê", "́", "�"]
+    texts = ["".join(draw.choices(parts, k=draw.randrange(30))) for _ in range(4000)]
+    texts += [" " * n + end for n in range(1, 70) for end in ("", "x", "the")] + ["a" * 3000, "日" * 3000, "x" + " " * 3000]
+    for text in texts:
+        ids = library.encode(text)
+        assert encoder.encode(text) == ids, text
+        assert encoder.decode(ids) == library.decode(ids), text
+
+
+def check_digests(rows, texts, library):
+    want = []
+    for doc_id, text in texts:
+        ids = library.encode(text or "")
+        sha = [hashlib.sha256(s.encode()).hexdigest() for s in (",".join(map(str, ids)), library.decode(ids))]
+        want.append((doc_id, len(ids), *sha))
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, want))
+
+
+def test_digests(spark, library):
+    docs = awkward(spark)
+    check_digests(encode_digests(docs, MODEL).collect(), [(r.doc_id, r.text) for r in docs.collect()], library)
+    assert encode_digests(empty(spark), MODEL).count() == 0
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    check_digests(queries.op7_sentencepiece(spark, SF).collect(), [(r.doc_id, r.text) for r in documents.collect()], library)
+
+
+def test_round_trip_column(spark, library):
+    docs = awkward(spark)
+    for r in docs.withColumn("t", encode_column(docs, MODEL, docs["text"])).collect():
+        assert list(r.t.ids) == library.encode(r.text or "") and r.t.decoded == (r.text or "")
