@@ -7,13 +7,23 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import documents, tokenizer
 from ledgerloom.llm.exact_dedup import exact_groups
+from ledgerloom.llm.lz_fingerprint import neighbour_fingerprints
 from ledgerloom.llm.piece_bpe import encode_digests
+from ledgerloom.llm.secrets import scan_documents
 from ledgerloom.llm.sharding import shard_documents
 from ledgerloom.llm.simhash import simhash_components
 
 SHARDS = 24
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(documents(spark, sf_dir))
+
+
+def op5_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_fingerprints(documents(spark, sf_dir))
+
+
 def op6_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = shard_documents(documents(spark, sf_dir), SHARDS)
     return placed.select(
@@ -35,6 +45,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_secret_scan": op3_secret_scan,
+    "op5_lz_fingerprint": op5_lz_fingerprint,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_sentencepiece": op7_sentencepiece,
     "op9_simhash": op9_simhash,
