@@ -40,6 +40,18 @@ def array_udf(make: Callable[[], Callable[[pa.Array], pa.Array]], returns: str)
     return F.arrow_udf(run, returns)
 
 
+def ship(spark: SparkSession, **data):
+    """Broadcast plain values of a fixed size. What ``kept`` makes of them stays in the worker process between tasks."""
+    return spark.sparkContext.broadcast(data)
+
+
+def kept(shipped, make: Callable):
+    value = shipped.value
+    if make.__name__ not in value:
+        value[make.__name__] = make(**value)
+    return value[make.__name__]
+
+
 def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -12,15 +12,14 @@ piece never merges. Each worker keeps the results of the words it met lately, up
 import hashlib
 import heapq
 import re
-from dataclasses import dataclass
-from functools import cached_property
+from dataclasses import asdict, dataclass
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import array_udf, by_value
+from ledgerloom.llm.common import array_udf, by_value, kept, ship
 
 MARK = "▁"
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
@@ -36,11 +35,6 @@ class Vocabulary:
     scores: list[float]
     kinds: list[int]
 
-    @cached_property
-    def encoder(self):
-        """One for each worker process, as a broadcast vocabulary stays there between tasks."""
-        return Encoder(self)
-
 
 def read_model(path: str) -> Vocabulary:
     """Read a model file. Only what the encoder reproduces is accepted: merges, byte fallback, texts taken as they are."""
@@ -199,8 +193,12 @@ class Encoder:
         return sum([w[1] for w in words]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def encoder_of(pieces: list[str], scores: list[float], kinds: list[int]) -> Encoder:
+    return Encoder(Vocabulary(pieces, scores, kinds))
+
+
 def _digests(vocabulary):
-    encoder = vocabulary.value.encoder
+    encoder = kept(vocabulary, encoder_of)
 
     def of(texts: pa.Array) -> pa.Array:
         rows = [encoder.digest(t or "") for t in texts.to_pylist()]
@@ -212,7 +210,7 @@ def _digests(vocabulary):
 
 
 def _round_trips(vocabulary):
-    encoder = vocabulary.value.encoder
+    encoder = kept(vocabulary, encoder_of)
 
     def of(texts: pa.Array) -> pa.Array:
         rows = [encoder.encode(t or "") for t in texts.to_pylist()]
@@ -224,7 +222,7 @@ def _round_trips(vocabulary):
 
 def encode_column(docs: DataFrame, path: str, text: Column) -> Column:
     """``struct<ids, decoded>``: the token ids of a text (null: empty) without begin or end, and their decoded text."""
-    shipped = docs.sparkSession.sparkContext.broadcast(read_model(path))  # one vocabulary, whatever the input
+    shipped = ship(docs.sparkSession, **asdict(read_model(path)))  # one vocabulary, whatever the input
     return array_udf(lambda: _round_trips(shipped), "struct<ids:array<int>,decoded:string>")(text)
 
 
@@ -234,7 +232,7 @@ def encode_digests(docs: DataFrame, path: str, id: str = "doc_id", text: str = "
     A null text counts as empty and gives no ids. A space mark in a text reads as a space. Repeated rows repeat their
     results, an empty table gives an empty result, other columns are not looked at.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(read_model(path))
+    shipped = ship(docs.sparkSession, **asdict(read_model(path)))
     digest = array_udf(lambda: _digests(shipped), "struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
     return docs.select(F.col(id).alias("doc_id"), digest(F.col(text)).alias("d")).select("doc_id", "d.*")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import documents, tokenizer
 from ledgerloom.llm.exact_dedup import exact_groups
+from ledgerloom.llm.language import identify
 from ledgerloom.llm.lz_fingerprint import neighbour_fingerprints
 from ledgerloom.llm.piece_bpe import encode_digests
 from ledgerloom.llm.secrets import scan_documents
@@ -16,6 +17,10 @@ from ledgerloom.llm.simhash import simhash_components
 SHARDS = 24
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(documents(spark, sf_dir))
 
@@ -45,6 +50,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_language_id": op2_language_id,
     "op3_secret_scan": op3_secret_scan,
     "op5_lz_fingerprint": op5_lz_fingerprint,
     "op6_feistel_shards": op6_feistel_shards,
