@@ -9,6 +9,7 @@ from ledgerloom.llm.common import documents, tokenizer
 from ledgerloom.llm.exact_dedup import exact_groups
 from ledgerloom.llm.language import identify
 from ledgerloom.llm.lz_fingerprint import neighbour_fingerprints
+from ledgerloom.llm.mixing import mix
 from ledgerloom.llm.piece_bpe import encode_digests
 from ledgerloom.llm.secrets import scan_documents
 from ledgerloom.llm.sharding import shard_documents
@@ -17,6 +18,10 @@ from ledgerloom.llm.simhash import simhash_components
 SHARDS = 24
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
@@ -50,6 +55,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
     "op3_secret_scan": op3_secret_scan,
     "op5_lz_fingerprint": op5_lz_fingerprint,
