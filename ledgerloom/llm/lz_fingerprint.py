@@ -9,7 +9,6 @@ in about as many slots as the phrase sets have in common, as two texts that comp
 import gc
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,12 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerloom.llm.common import by_value
+from ledgerloom.llm.hashing import Stretches, mix
 from ledgerloom.session import cut
 
 SLOTS = 128
 BITS = 7  # of a hash, to pick the slot
 CHUNK = 1 << 16  # phrases that are hashed at once
-BASE = 0x9E3779B97F4A7C15
 EMPTY = "0" * (2 * SLOTS)
 
 RESULT = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
@@ -53,32 +52,13 @@ def hashes(text: str, start: int, ends: list[int]) -> np.ndarray:
     for k in range(0, len(ends), CHUNK):
         part = np.array(ends[k:k + CHUNK], dtype=np.int64)
         codes = np.frombuffer(text[start:part[-1]].encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
-        power, inverse = _powers(len(codes) + 1)
-        total = np.zeros(len(codes) + 1, dtype=np.uint64)
-        np.cumsum(codes * power[:len(codes)], out=total[1:])
         stop = part - start
         begin = np.concatenate([[0], stop[:-1]])
-        x = (total[stop] - total[begin]) * inverse[begin] + (stop - begin).astype(np.uint64)
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        x ^= x >> np.uint64(32)
-        x *= np.uint64(0xD6E8FEB86659FD93)
-        found.append(x ^ (x >> np.uint64(32)))
+        found.append(mix(Stretches(codes).raw(begin, stop) + (stop - begin).astype(np.uint64)))
         start = int(part[-1])
     return np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
 
 
-@lru_cache(maxsize=1)
-def _table_of_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    power, inverse = (np.full(size, x, dtype=np.uint64) for x in (BASE, pow(BASE, -1, 1 << 64)))
-    power[0] = inverse[0] = 1
-    return np.cumprod(power), np.cumprod(inverse)
-
-
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _table_of_powers(max(1 << 18, 1 << (size - 1).bit_length()))
-
-
 def least(values: np.ndarray) -> np.ndarray:
     """The least hash of each slot that has one, in the order of slots."""
     slot_first = np.sort((values << np.uint64(64 - BITS)) | (values >> np.uint64(BITS)))

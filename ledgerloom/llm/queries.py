@@ -11,9 +11,11 @@ from ledgerloom.llm.language import identify
 from ledgerloom.llm.lz_fingerprint import neighbour_fingerprints
 from ledgerloom.llm.mixing import mix
 from ledgerloom.llm.piece_bpe import encode_digests
+from ledgerloom.llm.rlz import drop_repeated_words
 from ledgerloom.llm.secrets import scan_documents
 from ledgerloom.llm.sharding import shard_documents
 from ledgerloom.llm.simhash import simhash_components
+from ledgerloom.llm.suffix_dedup import drop_repeated_bytes
 
 SHARDS = 24
 
@@ -30,6 +32,10 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(documents(spark, sf_dir))
 
 
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_bytes(documents(spark, sf_dir)).drop("kept")
+
+
 def op5_lz_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbour_fingerprints(documents(spark, sf_dir))
 
@@ -45,6 +51,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(documents(spark, sf_dir), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_words(documents(spark, sf_dir)).drop("kept")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(documents(spark, sf_dir), words=3, max_bits=2)
 
@@ -58,14 +68,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
     "op3_secret_scan": op3_secret_scan,
+    "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_lz_fingerprint": op5_lz_fingerprint,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_rlz_dedup": op8_rlz_dedup,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op4_suffix_array_dedup": """
+        WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        windows AS (
+            SELECT doc_id, p, substr(h, 2 * p - 1, 200) AS w
+            FROM (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2 - 99)) AS p FROM texts)
+        ), later AS (
+            SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY w ORDER BY doc_id, p) AS k FROM windows) WHERE k > 1
+        ), bytes AS (
+            SELECT doc_id, p, substr(h, 2 * p - 1, 2) AS b FROM (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2)) AS p FROM texts)
+        ), near AS (
+            SELECT b.doc_id, b.p, b.b, l.p IS NOT NULL AND l.p > b.p - 100 AS gone FROM bytes b ASOF LEFT JOIN later l ON b.doc_id = l.doc_id AND b.p >= l.p
+        ), marked AS (
+            SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) AS head FROM near
+        ), kept AS (
+            SELECT doc_id, sum(gone::INT)::BIGINT AS n_removed, sum(head::INT)::BIGINT AS n_spans,
+                   coalesce(string_agg(b, '' ORDER BY p) FILTER (NOT gone), '') AS left_over
+            FROM marked GROUP BY doc_id
+        )
+        SELECT t.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(left_over, ''))) AS kept_sha256
+        FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+    """,
+    "op8_rlz_dedup": r"""
+        WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        windows AS (
+            SELECT doc_id, p, array_to_string(ws[p : p + 34], ' ') AS w
+            FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS p FROM texts)
+        ), again AS (
+            SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY w) AS k FROM windows) WHERE k > 1
+        ), words AS (SELECT doc_id, unnest(generate_series(1, len(ws))) AS p, unnest(ws) AS word FROM texts),
+        near AS (
+            SELECT w.doc_id, w.p, w.word, a.p IS NOT NULL AND a.p > w.p - 35 AS gone FROM words w ASOF LEFT JOIN again a ON w.doc_id = a.doc_id AND w.p >= a.p
+        ), kept AS (
+            SELECT doc_id, sum(gone::INT)::BIGINT AS n_removed, coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT gone), '') AS left_over
+            FROM near GROUP BY doc_id
+        )
+        SELECT t.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+        FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+    """,
     "op10_exact_dedup": """
         WITH folded AS (
             SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
