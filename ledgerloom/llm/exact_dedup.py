@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.llm.common import array_udf, by_value
 from ledgerloom.session import cut
@@ -109,11 +110,15 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", larges
 
 
 def drop_exact_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", largest: bool = False) -> DataFrame:
-    """``docs`` without the rows that ``exact_groups`` does not keep."""
-    dropped = exact_groups(docs, id, text, largest).where(~F.col("kept")).select(F.col("id").alias("_dropped"), F.col("sha").alias("_sha"))
-    keyed = docs.withColumn("_digest", text_digest(F.col(text)))
-    same = keyed[id].eqNullSafe(dropped["_dropped"]) & (keyed["_digest.sha"] == dropped["_sha"])
-    return keyed.join(dropped, same, "left_anti").drop("_digest")
+    """``docs`` with one row of each group of equal texts, that of the kept id; of rows that repeat it, any one."""
+    known, number = F.col("id").isNotNull().alias("_known"), F.coalesce("id", F.lit(0)).alias("_id")
+    kept = exact_groups(docs, id, text, largest).where("kept").select(known, number, F.col("sha").alias("_sha")).distinct()
+    keys = ["_known", "_id", "_sha"]
+    keyed = docs.withColumn("_digest", text_digest(F.col(text))).select(
+        *docs.columns, F.col(id).isNotNull().alias("_known"), F.coalesce(id, F.lit(0)).alias("_id"), F.col("_digest.sha").alias("_sha")
+    )
+    again = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    return keyed.join(kept, keys, "left_semi").withColumn("_again", again).where("_again = 1").select(*docs.columns)
 
 
 by_value(__name__)

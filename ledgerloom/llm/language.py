@@ -286,4 +286,10 @@ def identify(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
     return found.select("doc_id", "held_out", "p.*")
 
 
+def drop_undetermined(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """``docs`` without the documents that have no language: a null text, or no letter in it."""
+    found = docs.withColumn("_language", predict(F.col(text), fit(docs, path, id, text, lang), docs))
+    return found.where(F.col("_language.lang_pred") != UNDETERMINED).select(*docs.columns)
+
+
 by_value(__name__)

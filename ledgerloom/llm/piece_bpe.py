@@ -12,9 +12,11 @@ piece never merges. Each worker keeps the results of the words it met lately, up
 import hashlib
 import heapq
 import re
+from array import array
 from dataclasses import asdict, dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,8 +72,8 @@ class Encoder:
                 self.matcher.add_word(p, p)
         self.matcher.make_automaton()
         self.fit: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[str, int, str]] = {}
-        self.older: dict[str, tuple[str, int, str]] = {}
+        self.known: dict[str, tuple[list[int], str, str]] = {}
+        self.older: dict[str, tuple[list[int], str, str]] = {}
 
     def merged(self, word: str) -> list[str]:
         """The merges themselves: always the best-scored pair, the leftmost of equals."""
@@ -172,7 +174,8 @@ class Encoder:
         raw = self.decode_raw(ids)
         return raw[1:] if raw.startswith(" ") else raw
 
-    def look_up(self, word: str) -> tuple[str, int, str]:
+    def look_up(self, word: str) -> tuple[list[int], str, str]:
+        """A word's ids, the same as text, and what they decode to."""
         found = self.known.get(word)
         if found is None:
             if len(self.known) >= MAX_WORDS:
@@ -180,17 +183,21 @@ class Encoder:
             found = self.older.get(word)
             if found is None:
                 ids = self.encode_word(word)
-                found = (",".join(map(str, ids)), len(ids), self.decode_raw(ids))
+                found = (ids, ",".join(map(str, ids)), self.decode_raw(ids))
             self.known[word] = found
         return found
 
-    def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids, SHA-256 of the decoded text; words decode alone, as no byte run spans two."""
+    def look_up_all(self, text: str) -> tuple[list[tuple[list[int], str, str]], str]:
+        """The text's words, and the decoded text; words decode alone, as no run of bytes spans two."""
         words = [self.look_up(w) for w in self.cut_words(text)]
         decoded = "".join([w[2] for w in words])
-        decoded = decoded[1:] if decoded.startswith(" ") else decoded
-        ids = ",".join([w[0] for w in words])
-        return sum([w[1] for w in words]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        return words, decoded[1:] if decoded.startswith(" ") else decoded
+
+    def digest(self, text: str) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of the ids, SHA-256 of the decoded text."""
+        words, decoded = self.look_up_all(text)
+        ids = ",".join([w[1] for w in words])
+        return sum([len(w[0]) for w in words]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def encoder_of(pieces: list[str], scores: list[float], kinds: list[int]) -> Encoder:
@@ -213,17 +220,24 @@ def _round_trips(vocabulary):
     encoder = kept(vocabulary, encoder_of)
 
     def of(texts: pa.Array) -> pa.Array:
-        rows = [encoder.encode(t or "") for t in texts.to_pylist()]
-        back = [encoder.decode(ids) for ids in rows]
-        return pa.StructArray.from_arrays([pa.array(rows, pa.list_(pa.int32())), pa.array(back, pa.string())], ["ids", "decoded"])
+        ids, ends, same = array("i"), [0], []
+        for text in texts.to_pylist():
+            words, decoded = encoder.look_up_all(text or "")
+            for w in words:
+                ids.extend(w[0])
+            ends.append(len(ids))
+            same.append(decoded == (text or ""))
+        # Offsets of a list array are 32-bit; a batch of texts is far smaller.
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, dtype=np.int32)))
+        return pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], ["ids", "round_trip"])
 
     return of
 
 
 def encode_column(docs: DataFrame, path: str, text: Column) -> Column:
-    """``struct<ids, decoded>``: the token ids of a text (null: empty) without begin or end, and their decoded text."""
+    """``struct<ids, round_trip>``: the token ids of a text (null: empty) without begin or end, and whether they decode to it."""
     shipped = ship(docs.sparkSession, **asdict(read_model(path)))  # one vocabulary, whatever the input
-    return array_udf(lambda: _round_trips(shipped), "struct<ids:array<int>,decoded:string>")(text)
+    return array_udf(lambda: _round_trips(shipped), "struct<ids:array<int>,round_trip:boolean>")(text)
 
 
 def encode_digests(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -138,4 +138,11 @@ def simhash_components(docs: DataFrame, words: int, max_bits: int, id: str = "do
     )
 
 
+def drop_near_copies(docs: DataFrame, words: int, max_bits: int, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the document of the smallest id of each component; ids tell documents apart."""
+    found = simhash_components(docs, words, max_bits, id, text)
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
+    return docs.join(kept, docs[id].eqNullSafe(kept["_kept"]), "left_semi")
+
+
 by_value(__name__)
