@@ -11,19 +11,25 @@ from ledgerloom.sources.extracts import ENCODINGS, EXTRACTS, Extract
 SEQUENCE = "_seq"
 
 
-def missing_files(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the file contract that are absent from ``folder``, on any file system."""
+def found_files(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Size in bytes of the files of the contract that are in ``folder``, on any file system."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    paths = [(e.path, hadoop.Path(f"{folder}/{e.path}")) for e in EXTRACTS]
-    return [name for name, path in paths if not path.getFileSystem(conf).exists(path)]
+    sizes = {}
+    for extract in EXTRACTS:
+        path = hadoop.Path(f"{folder}/{extract.path}")
+        files = path.getFileSystem(conf)
+        if files.exists(path):
+            sizes[extract.path] = files.getContentSummary(path).getLength()
+    return sizes
 
 
-def validate_files(spark: SparkSession, folder: str) -> list[str]:
-    missing = missing_files(spark, folder)
-    if missing:
-        raise FileNotFoundError(f"Missing source files: {', '.join(missing)}")
-    return [f"{folder}/{e.path}" for e in EXTRACTS]
+def validate_files(spark: SparkSession, folder: str) -> None:
+    """Refuse a folder that lacks any file of the contract, before one of them is read."""
+    there = found_files(spark, folder)
+    absent = [e.path for e in EXTRACTS if e.path not in there]
+    if absent:
+        raise FileNotFoundError(f"{folder} lacks {len(absent)} of {len(EXTRACTS)} extracts: {', '.join(absent)}")
 
 
 def file_position() -> Column:
@@ -40,21 +46,34 @@ def repaired(text: Column) -> Column:
     return F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(text)
 
 
-def read_extract(spark: SparkSession, folder: str, extract: Extract, strict_encoding: bool = False) -> DataFrame:
-    """All columns as text, an empty value as the empty string, with the position in file."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in extract.columns])
+def read_extract(spark: SparkSession, folder: str, extract: Extract, strict_encoding: bool = False,
+                 line_breaks: bool = False) -> DataFrame:
+    """All columns as text, an empty value as the empty string, with the position in file.
+
+    Columns are found by the names in the header, in any order; columns beyond the contract
+    are left out, and a missing one is an error. So is a row with too few or too many values.
+    ``line_breaks`` lets quoted values hold line breaks; a file is then read by one task.
+    """
     encoding = ENCODINGS[extract.source_system]
-    raw = (spark.read.schema(schema).option("header", True).option("encoding", encoding)
-           .option("quote", '"').option("escape", '"').csv(f"{folder}/{extract.path}"))
+    path = f"{folder}/{extract.path}"
+    exact = {"header": True, "encoding": encoding, "quote": '"', "escape": '"', "multiLine": line_breaks}
+    header = spark.read.options(**exact).csv(path).columns
+    absent = [c for c in extract.columns if c not in header]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    # Parsing only the columns that are asked for would let rows of another length pass.
+    raw = spark.read.schema(schema).options(**exact, mode="FAILFAST", columnPruning=False).csv(path)
     repair = encoding != "UTF-8" and not strict_encoding
 
     def value(column: str) -> Column:
-        text = F.coalesce(F.col(column), F.lit(""))
+        text = F.coalesce(F.col(f"`{column}`"), F.lit(""))
         return (repaired(text) if repair else text).alias(column)
 
     return raw.select(*[value(c) for c in extract.columns], file_position().alias(SEQUENCE))
 
 
-def read_all(spark: SparkSession, folder: str, strict_encoding: bool = False) -> dict[str, DataFrame]:
+def read_all(spark: SparkSession, folder: str, strict_encoding: bool = False,
+             line_breaks: bool = False) -> dict[str, DataFrame]:
     validate_files(spark, folder)
-    return {e.name: read_extract(spark, folder, e, strict_encoding) for e in EXTRACTS}
+    return {e.name: read_extract(spark, folder, e, strict_encoding, line_breaks) for e in EXTRACTS}

@@ -36,7 +36,7 @@ def test_missing_files_are_all_named(spark, tmp_path):
     folder = write_files(tmp_path)
     (tmp_path / "source_b/pagos.csv").unlink()
     (tmp_path / "source_c/products_catalog.csv").unlink()
-    with pytest.raises(FileNotFoundError, match="source_b/pagos.csv, source_c/products_catalog.csv"):
+    with pytest.raises(FileNotFoundError, match="lacks 2 of 13 extracts: source_b/pagos.csv, source_c/products_catalog.csv"):
         files.validate_files(spark, folder)
     assert [len(by_source(s)) for s in ("SOURCE_A", "SOURCE_B", "SOURCE_C")] == [6, 6, 1]
 
@@ -52,7 +52,7 @@ def test_encodings_of_the_legacy_source(spark, tmp_path, encoding, strict, name)
 def test_bare_quotes_and_file_order(spark, folder):
     raw = files.read_all(spark, folder)
     rows = raw["source_a/products"].orderBy(files.SEQUENCE).collect()
-    assert [r.product_id for r in rows] == ["P1", "P2"] and rows[0].product_name == 'LED Monitor 27"'
+    assert [r.product_id for r in rows] == ["P1", "P2"] and rows[0].product_name == 'Desk lamp 8" arm'
 
 
 def test_accepted_rows(staged):
@@ -90,9 +90,9 @@ def test_events_follow_the_order_of_checks(staged):
     missing = by_id[("Customers", "SOURCE_A", "  ")]
     assert [(e.reason, e.field) for e in missing] == [("Registro sin ID de origen", "customer_id")]
     over = by_id[("Payments", "SOURCE_A", "Y3")][0]
-    assert (over.field, over.original_value) == ("amount", "200")
+    assert (over.field, over.original_value) == ("amount", "150")
     repeat = by_id[("Payments", "SOURCE_A", "Y4")][0]
-    assert (repeat.field, repeat.original_value) == ("dedupe_key", "SOURCE_A|I1|2024-01-08|200.0|CARD|R3")
+    assert (repeat.field, repeat.original_value) == ("dedupe_key", "SOURCE_A|I1|2024-01-08|150.0|CARD|R3")
     assert ("InvoiceLines", "SOURCE_A", "L4") in by_id
     twice = [e.reason for e in by_id[("Customers", "SOURCE_A", "C2")]]
     assert sorted(twice) == ["Decimal invalido", "Email vacio", "Fecha invalida", "Fecha vacia", "Texto obligatorio vacio",
@@ -137,6 +137,59 @@ def test_failed_run_keeps_the_published_version(spark, staged, published):
     assert publish.current(spark, out)["Payments"].first().created_at == datetime(2026, 1, 2)
 
 
+def test_published_version_is_not_written_over(staged, published):
+    with pytest.raises(ValueError, match="v2 is published"):
+        publish.publish(staged, published[0], "v2", datetime(2026, 1, 4))
+
+
+def rewrite(folder, path, change):
+    target = folder / path
+    target.write_text(change(target.read_text()))
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    folder = write_files(tmp_path)
+    rewrite(tmp_path, "source_a/suppliers.csv", lambda t: t.replace("S1,Acme,,", 'S1,"Ac\nme",,') + "S2,Bolt,,,,,,,,,1\n")
+    extract = next(e for e in files.EXTRACTS if e.name == "source_a/suppliers")
+    rows = files.read_extract(spark, folder, extract, line_breaks=True).collect()
+    assert [(r.supplier_id, r.company_name) for r in rows] == [("S1", "Ac\nme"), ("S2", "Bolt")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_extract(spark, folder, extract).collect()
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    folder = write_files(tmp_path)
+    rewrite(tmp_path, "source_a/suppliers.csv", lambda t: t.replace("supplier_id,company_name", "company_name,supplier_id")
+            .replace("is_active\n", "is_active,extra\n").replace("NET30,1", "NET30,1,more"))
+    extract = next(e for e in files.EXTRACTS if e.name == "source_a/suppliers")
+    row = files.read_extract(spark, folder, extract).first()
+    assert (row.supplier_id, row.company_name, row.is_active) == ("Acme", "S1", "1") and "extra" not in row
+    rewrite(tmp_path, "source_a/suppliers.csv", lambda t: t.replace("tax_id", "vat"))
+    with pytest.raises(ValueError, match="no column tax_id"):
+        files.read_extract(spark, folder, extract)
+
+
+@pytest.mark.parametrize("row", ["S9,Short", "S9" + "," * 11])
+def test_rows_of_another_length_are_errors(spark, tmp_path, row):
+    folder = write_files(tmp_path)
+    rewrite(tmp_path, "source_a/suppliers.csv", lambda t: t + row + "\n")
+    extract = next(e for e in files.EXTRACTS if e.name == "source_a/suppliers")
+    with pytest.raises(Exception, match="MALFORMED"):
+        files.read_extract(spark, folder, extract).select("supplier_id").collect()
+
+
+def test_audit_trail_keeps_original_values(spark, tmp_path):
+    originals = [" Ann ", "   ", "  nice  ", "Ac\nme  x", 'say "hi", ok', "tab\tend\t", "", "\r\n", "\\", "a\rb"]
+    rows = [("Suppliers", "SOURCE_A", str(k), "cleaned", "Whitespace normalizado", "f", o, o.strip()) for k, o in enumerate(originals)]
+    events = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in publish.ev.EVENT_COLUMNS))
+    publish.write_quality(events, str(tmp_path))
+    assert sorted(map(tuple, publish.read_csv(spark, f"{tmp_path}/quality_report_csv", events.schema).fillna("").collect())) == sorted(rows)
+    logged = spark.read.schema(events.schema).json(f"{tmp_path}/quality_report_json/events")
+    assert sorted(map(tuple, logged.collect())) == sorted(rows)
+    totals = spark.read.json(f"{tmp_path}/quality_report_json/totals_by_action").collect()
+    assert [(r.action, r.events) for r in totals] == [("cleaned", len(rows))]
+
+
 def test_quality_report_and_pending_export(spark, staged, tmp_path):
     publish.write_quality(job.quality_events(staged), str(tmp_path / "q"))
     totals = {r.action: r.events for r in spark.read.json(str(tmp_path / "q/quality_report_json/totals_by_action")).collect()}

@@ -28,7 +28,7 @@ def one_by_one(rows):
 
 
 @pytest.mark.parametrize(("cap", "amounts", "flags"), [
-    (720, [350, 300, 200, 500, 70], [True, True, False, False, True]),
+    (900, [410, 420, 150, 600, 60], [True, True, False, False, True]),
     (100, [80, -30, 50, 1], [True, True, True, False]),
     (0, [0, 1], [True, False]),
     (490, [490, 490], [True, False]),
