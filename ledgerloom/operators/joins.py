@@ -8,10 +8,11 @@ from pyspark.sql import types as T
 
 from ledgerloom.session import estimated_bytes
 
-# At most this many keys are salted, so only a list of that length is ever broadcast.
+# At most this many keys are salted, so only a list of that length is ever broadcast. A key
+# beyond them has less than a thousandth of the rows and is left to adaptive skew splitting.
 MAX_HOT_KEYS = 1000
-HOT_SLOTS = 256
-# A key with fewer rows than this is no burden for a single task.
+# A key with fewer rows than this is no burden for a single task; one with more gets a slot
+# for every so many.
 HOT_ROWS = 100_000
 
 
@@ -24,7 +25,7 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> list[tuple]:
-    """The keys that hold the most rows, ``MAX_HOT_KEYS`` at most.
+    """The keys that hold the most rows, ``MAX_HOT_KEYS`` at most, and about how many each.
 
     One pass over the key columns feeds a frequent-items sketch, and only sketches are
     shuffled. A key the sketch misses takes the ordinary path of the caller, so results
@@ -35,7 +36,7 @@ def hot_keys(facts: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> lis
     known = facts.select(*keys).dropna()
     top = (known.select(F.to_json(F.struct(*keys)).alias("_key")).agg(F.expr(sketch).alias("top"))
            .select(F.explode("top").alias("t")).filter(F.col("t.count") >= hot_rows)
-           .select(F.from_json("t.item", schema).alias("k")).select("k.*"))
+           .select(F.from_json("t.item", schema).alias("k"), "t.count").select("k.*", "count"))
     return [tuple(row) for row in top.collect()]
 
 
@@ -46,8 +47,10 @@ def lookup(facts: DataFrame, parents: DataFrame, on: dict[str, str], values: dic
     ``on`` maps fact columns to parent columns, ``values`` new fact columns to parent
     columns. Parents that Spark can broadcast need nothing else; ``small`` says so where
     the caller has counted them. Beyond that size the hot keys are salted: their fact rows
-    are spread over ``HOT_SLOTS`` slots and their single parent row is copied to each. Rows
-    with a NULL key match nothing and are spread the same way.
+    are spread over a slot for every ``hot_rows`` of them and their single parent row is
+    copied to each. Rows with a NULL key match nothing and do not take part in the join.
+
+    The slot follows from the row's values, so a task that is run again deals alike.
     """
     keys = list(on)
     side = parents.select(
@@ -61,24 +64,28 @@ def lookup(facts: DataFrame, parents: DataFrame, on: dict[str, str], values: dic
     if small:
         return facts.join(side, same_key, "left").drop(*side_keys)
 
-    rows = hot_keys(facts, keys, hot_rows)
-    schema = T.StructType([T.StructField(f"_hot_{k}", facts.schema[k].dataType) for k in keys])
-    hot = F.broadcast(facts.sparkSession.createDataFrame(rows, schema).withColumn("_is_hot", F.lit(True)))
-    spare = ["_is_hot", *[f"_hot_{k}" for k in keys]]
+    rows = [(*key, -(-n // hot_rows)) for *key, n in hot_keys(facts, keys, hot_rows)]
+    schema = T.StructType([*[T.StructField(f"_hot_{k}", facts.schema[k].dataType) for k in keys],
+                           T.StructField("_slots", T.LongType())])
+    hot = F.broadcast(facts.sparkSession.createDataFrame(rows, schema))
+    spare = ["_slots", *[f"_hot_{k}" for k in keys]]
 
-    alone = F.col("_is_hot").isNotNull()
+    unknown = F.lit(False)
     for k in keys:
-        alone = alone | F.col(k).isNull()
-    place = 1 + F.pmod(F.monotonically_increasing_id(), F.lit(HOT_SLOTS))
-    left = facts.join(hot, [F.col(k) == F.col(f"_hot_{k}") for k in keys], "left")
-    left = left.withColumn("_slot", F.when(alone, place).otherwise(F.lit(0))).drop(*spare)
-
-    copies = F.sequence(F.lit(1), F.lit(HOT_SLOTS))
-    slots = F.when(F.col("_is_hot"), copies).otherwise(F.array(F.lit(0))).cast("array<bigint>")
+        unknown = unknown | F.col(k).isNull()
+    plain = [c for c, t in facts.dtypes if "map<" not in t]
+    place = 1 + F.pmod(F.xxhash64(*plain), F.col("_slots"))
+    left = facts.where(~unknown).join(hot, [F.col(k) == F.col(f"_hot_{k}") for k in keys], "left")
+    left = left.withColumn("_slot", F.coalesce(place, F.lit(0)).cast("bigint")).drop(*spare)
+
+    copies = F.sequence(F.lit(1).cast("bigint"), F.col("_slots"))
+    slots = F.coalesce(copies, F.array(F.lit(0).cast("bigint")))
     right = side.join(hot, [F.col(f"_on_{k}") == F.col(f"_hot_{k}") for k in keys], "left")
     right = right.withColumn("_on_slot", F.explode(slots)).drop(*spare)
-    return left.join(right, [*same_key, F.col("_slot") == F.col("_on_slot")], "left").drop(
+    found = left.join(right, [*same_key, F.col("_slot") == F.col("_on_slot")], "left").drop(
         "_slot", "_on_slot", *side_keys)
+    nothing = {v: F.lit(None).cast(side.schema[v].dataType) for v in values}
+    return found.unionByName(facts.where(unknown).withColumns(nothing).select(*found.columns))
 
 
 def flag_known(facts: DataFrame, parents: DataFrame, on: dict[str, str], flag: str,
@@ -90,8 +97,13 @@ def flag_known(facts: DataFrame, parents: DataFrame, on: dict[str, str], flag: s
 
 
 def orphans(facts: DataFrame, parents: DataFrame, on: dict[str, str]) -> DataFrame:
-    """Facts without a parent, rows with a NULL key among them."""
-    return facts.join(parents.select(*on.values()), [facts[f] == parents[p] for f, p in on.items()], "left_anti")
+    """Facts without a parent, rows with a NULL key among them; those are never shuffled."""
+    unknown = F.lit(False)
+    for f in on:
+        unknown = unknown | F.col(f).isNull()
+    matches = [facts[f] == parents[p] for f, p in on.items()]
+    lost = facts.where(~unknown).join(parents.select(*on.values()), matches, "left_anti")
+    return lost.union(facts.where(unknown))
 
 
 def latest_by_key(rows: DataFrame, keys: list[str], order: str, values: list[str]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Data profiling: nulls, spacing, uniqueness, arithmetic, overlap.
 
-Blank text counts as missing wherever a check speaks of missing values.
+Blank text, and the tokens that readers of raw files take for no value, count as missing
+wherever a check speaks of missing values.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from ledgerloom.functions.cleaning import clean_text
 from ledgerloom.operators.joins import lookup
 
 TOLERANCE = "0.01"
+# The texts that a type-inferring reader of CSV takes for no value.
+BLANK_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def is_text(field: T.StructField) -> bool:
@@ -22,9 +26,9 @@ def is_text(field: T.StructField) -> bool:
 
 
 def missing(df: DataFrame, column: str) -> Column:
-    """NULL, or the empty string in a text column."""
+    """NULL, or a blank token in a text column."""
     value = F.col(column)
-    return value.isNull() | (value == "") if is_text(df.schema[column]) else value.isNull()
+    return value.isNull() | value.isin(BLANK_TOKENS) if is_text(df.schema[column]) else value.isNull()
 
 
 def text_columns(df: DataFrame) -> list[str]:
@@ -54,9 +58,19 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 def repeated_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Later occurrences of a key (or of a whole row): rows minus distinct keys. Missing
-    values equal each other. Counts are combined map-side before the shuffle."""
-    groups = df.groupBy(*(keys or df.columns)).agg(F.count("*").alias("n"))
-    return groups.agg(F.sum("n").alias("row_count"), F.sum(F.col("n") - 1).alias("repeated_rows"))
+    values equal each other. Counts are combined map-side before the shuffle. Of whole rows
+    only a hash is shuffled first, and only rows whose hash comes again are compared."""
+    if keys is not None:
+        groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
+        return groups.agg(F.sum("n").alias("row_count"), F.sum(F.col("n") - 1).alias("repeated_rows"))
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    sizes = hashed.groupBy("_hash").agg(F.count("*").alias("n"))
+    again = hashed.join(sizes.where("n > 1").select("_hash"), "_hash", "left_semi").drop("_hash")
+    repeats = again.groupBy(*df.columns).agg(F.count("*").alias("n")).agg(
+        F.lit(None).cast("bigint").alias("row_count"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated_rows"))
+    total = sizes.agg(F.sum("n").alias("row_count"), F.lit(None).cast("bigint").alias("repeated_rows"))
+    return total.unionByName(repeats).agg(
+        F.max("row_count").alias("row_count"), F.max("repeated_rows").alias("repeated_rows"))
 
 
 def whitespace_profile(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -57,32 +59,55 @@ def estimated_bytes(df: DataFrame) -> int:
 
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a few large splits (one compressed file, say) out to all cores before
-    costly work per row. Inputs with enough splits, as large tables have, stay as they are."""
+    costly work per row. Inputs with enough splits, as large tables have, stay as they are, and
+    so does everything that is shuffled already: counting its partitions would run it."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) < SPREAD_BYTES or df.rdd.getNumPartitions() >= cores:
+    if estimated_bytes(df) < SPREAD_BYTES or "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         return df
-    return df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+_own_folders: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; one is made up only on a single machine."""
+    """The cluster's checkpoint folder. Only a session on a single machine without one gets a
+    folder of its own, which goes when the driver ends."""
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if shared is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        shared = tempfile.mkdtemp(prefix="ledgerloom-")
+        shared = _own_folders.get(context.applicationId)
+        if shared is None:
+            shared = _own_folders[context.applicationId] = tempfile.mkdtemp(prefix="ledgerloom-")
+            atexit.register(shutil.rmtree, shared, ignore_errors=True)
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared)
     return shared.rstrip("/")
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Where this application keeps what it has cut off."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+
+
+def fresh_path(spark: SparkSession) -> str:
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def remove_run_folder(spark: SparkSession) -> None:
+    """At the end of a job: delete everything that was cut off. Frames made of it are lost."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write a frame to the shared folder and go on from there. What follows reads only the
     columns it needs, knows the true size, and does not repeat the work before the cut, also
     not when an executor is lost."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = fresh_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -46,6 +46,25 @@ def repaired(text: Column) -> Column:
     return F.when(F.is_valid_utf8(as_utf8), as_utf8).otherwise(text)
 
 
+# Without these, Spark trims values as it writes and escapes quotes in a way of its own.
+EXACT_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+             "ignoreTrailingWhiteSpace": False}
+
+
+def write_csv(rows: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    """CSV that keeps every value as it is, edge spaces, quotes and line breaks too."""
+    rows.write.mode("overwrite").options(**EXACT_CSV, encoding=encoding).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``write_csv`` wrote; line breaks inside quotes make its files unsplittable."""
+    return spark.read.schema(schema).options(**EXACT_CSV, multiLine=True, mode="FAILFAST").csv(path)
+
+
+def write_extract(rows: DataFrame, folder: str, extract: Extract) -> None:
+    write_csv(rows.select(*extract.columns), f"{folder}/{extract.path}", ENCODINGS[extract.source_system])
+
+
 def read_extract(spark: SparkSession, folder: str, extract: Extract, strict_encoding: bool = False,
                  line_breaks: bool = False) -> DataFrame:
     """All columns as text, an empty value as the empty string, with the position in file.

@@ -183,7 +183,7 @@ def test_audit_trail_keeps_original_values(spark, tmp_path):
     rows = [("Suppliers", "SOURCE_A", str(k), "cleaned", "Whitespace normalizado", "f", o, o.strip()) for k, o in enumerate(originals)]
     events = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in publish.ev.EVENT_COLUMNS))
     publish.write_quality(events, str(tmp_path))
-    assert sorted(map(tuple, publish.read_csv(spark, f"{tmp_path}/quality_report_csv", events.schema).fillna("").collect())) == sorted(rows)
+    assert sorted(map(tuple, files.read_csv(spark, f"{tmp_path}/quality_report_csv", events.schema).fillna("").collect())) == sorted(rows)
     logged = spark.read.schema(events.schema).json(f"{tmp_path}/quality_report_json/events")
     assert sorted(map(tuple, logged.collect())) == sorted(rows)
     totals = spark.read.json(f"{tmp_path}/quality_report_json/totals_by_action").collect()

@@ -25,7 +25,7 @@ def test_lookup_is_a_left_join(spark, small, hot_rows):
 
 def test_hot_keys_are_salted_in_the_join(spark):
     found = joins.hot_keys(facts(spark), ["k"], 500)
-    assert sorted(found) == [("gone",), ("hot",)]
+    assert sorted(found) == [("gone", 900), ("hot", 2000)]
     parents = spark.createDataFrame([("hot", 1)], "pk string, v int")
     plan = joins.lookup(facts(spark), parents, {"k": "pk"}, {"v": "v"}, False, 500)._jdf.queryExecution().toString()
     assert "_slot" in plan.split("Physical Plan")[1].split("SortMergeJoin")[1].split("\n")[0]
@@ -33,7 +33,7 @@ def test_hot_keys_are_salted_in_the_join(spark):
 
 def test_composite_hot_keys_keep_their_types(spark):
     df = spark.createDataFrame([("a", 1)] * 50 + [("a", 2)] * 5, "s string, n long")
-    assert joins.hot_keys(df, ["s", "n"], 20) == [("a", 1)]
+    assert joins.hot_keys(df, ["s", "n"], 20) == [("a", 1, 50)]
 
 
 def test_flags_and_orphans_treat_null_as_unknown(spark):

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import events as ev
 from ledgerloom.operators.keys import assign_keys
 from ledgerloom.plans import conform as job
-from ledgerloom.plans.publish import KEYS, reconcile, resolve
+from ledgerloom.plans.publish import KEYS, REFERENCES, build_table, current, publish, reconcile, resolve, write_quality
 from ledgerloom.plans.staging import accepted, staged_types
+from ledgerloom.session import cut, fresh_path
+from ledgerloom.sources import files
+from ledgerloom.sources.extracts import TABLES, named
 from workload.expected import ALL_EVENTS, consolidation
-from workload.raw_extracts import RawExtracts
+from workload.raw_extracts import RawExtracts, raw_sql
 from workload.registry import query
 
+LOADED_AT = datetime(2026, 1, 1)
 STAGED = {"Customers": "customers_", "Suppliers": "suppliers_", "Products": "products_", "Invoices": "invoices_",
           "InvoiceLines": "lines_", "Payments": "payments_"}
 
@@ -60,14 +67,42 @@ def quality_by_table(spark: SparkSession, folder: str) -> DataFrame:
     return ev.totals_by(_events(spark, folder), "table")
 
 
+@query("quality_log_roundtrip", consolidation(
+    f'SELECT "table", source_system, source_id, e.action, e.reason, e.field, e.original_value, e.new_value FROM {ALL_EVENTS}'))
+def quality_log_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The log as it stands in the written CSV."""
+    events, out = _events(spark, folder), fresh_path(spark)
+    write_quality(events, out)
+    return files.read_csv(spark, f"{out}/quality_report_csv", events.schema).fillna("")
+
+
+ROUNDTRIPS = ("source_a/customers", "source_b/clientes")
+
+
+def _line(columns: tuple[str, ...]) -> str:
+    return "concat_ws('|', " + ", ".join(f'"{c}"' for c in columns) + ")"
+
+
+@query("extract_roundtrip", " UNION ALL ".join(
+    f"SELECT '{n}' AS extract, {_line(named(n).columns)} AS line FROM ({raw_sql(n)})" for n in ROUNDTRIPS))
+def extract_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Derived extracts, line breaks among their values, written as files and read by their headers."""
+    raw, out = RawExtracts(spark, folder), fresh_path(spark)
+    parts = []
+    for name in ROUNDTRIPS:
+        files.write_extract(raw[name], out, named(name))
+        rows = files.read_extract(spark, out, named(name), line_breaks=True)
+        parts.append(rows.select(F.lit(name).alias("extract"), F.concat_ws("|", *named(name).columns).alias("line")))
+    return parts[0].union(parts[1])
+
+
 @query("missing_id_excluded", consolidation(" UNION ALL ".join(
     f'SELECT "table", source_system, source_id, reject AS reason FROM {t} WHERE reject = \'Registro sin ID de origen\''
-    for t in ("customers_", "products_", "invoices_raw", "lines_raw"))))
+    for t in ("customers_", "suppliers_", "products_", "invoices_raw", "lines_raw", "payments_raw"))))
 def missing_id_excluded(spark: SparkSession, folder: str) -> DataFrame:
     raw = RawExtracts(spark, folder)
-    parts = [job.staged_table(raw, t).select("table", "source_system", "source_id", "_reject")
-             for t in ("Customers", "Products", "Invoices", "InvoiceLines")]
-    rows = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+    parts = [job.staged_table(raw, t).select("table", "source_system", "source_id", "_reject") for t in TABLES]
+    rows = reduce(DataFrame.union, parts)
     return rows.filter(F.col("_reject") == ev.MISSING_ID).withColumnRenamed("_reject", "reason")
 
 
@@ -124,6 +159,42 @@ def fk_resolve(spark: SparkSession, folder: str) -> DataFrame:
     return resolve(products, keyed, "supplier_id", "supplier_code")
 
 
+def _keyed(table: str) -> str:
+    return f"(SELECT row_number() OVER (ORDER BY source_system, _seq) AS k, * FROM {STAGED[table]} WHERE reject IS NULL)"
+
+
+def _reference_sql(table: str, key: str, parent: str, code: str) -> str:
+    parents = f"(SELECT source_system, source_id, max(k) AS k FROM {_keyed(parent)} GROUP BY ALL)"
+    return (f"SELECT '{table}' AS \"table\", '{key}' AS reference, c.source_system, c.source_id, p.k AS parent_key "
+            f"FROM {STAGED[table]} c LEFT JOIN {parents} p ON p.source_system = c.source_system AND p.source_id = c.{code} "
+            f"WHERE c.reject IS NULL")
+
+
+@query("star_references", consolidation(" UNION ALL ".join(
+    _reference_sql(table, *reference) for table, references in REFERENCES.items() for reference in references)))
+def star_references(spark: SparkSession, folder: str) -> DataFrame:
+    """All five foreign keys of the six published tables."""
+    staged = job.conform(RawExtracts(spark, folder))
+    tables: dict[str, DataFrame] = {}
+    for table in TABLES:
+        tables[table] = cut(build_table(table, staged[table], tables, LOADED_AT))
+    parts = [tables[t].select(F.lit(t).alias("table"), F.lit(key).alias("reference"), "source_system", "source_id",
+                              F.col(key).alias("parent_key"))
+             for t, references in REFERENCES.items() for key, _, _ in references]
+    return reduce(DataFrame.union, parts)
+
+
+@query("star_counts", consolidation(" UNION ALL ".join(
+    f"SELECT '{n}' AS \"table\", count(*) AS rows, count(*) AS highest_key FROM {t} WHERE reject IS NULL" for n, t in STAGED.items())))
+def star_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the published tables, and their highest key, which says that keys have no gaps."""
+    staged, out = job.conform(RawExtracts(spark, folder)), fresh_path(spark)
+    publish(staged, out, "v1", LOADED_AT)
+    parts = [rows.agg(F.count("*").alias("rows"), F.max(KEYS[t]).cast("bigint").alias("highest_key"))
+             .select(F.lit(t).alias("table"), "rows", "highest_key") for t, rows in current(spark, out).items()]
+    return reduce(DataFrame.union, parts)
+
+
 @query("reconcile_counts", consolidation(" UNION ALL ".join(
     f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {t} WHERE reject IS NULL" for n, t in STAGED.items())))
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ def strip(column: str) -> str:
     return f"regexp_replace({column}, '^{sql.SPACES}|{sql.SPACES}$', '', 'g')"
 
 
+def blank(column: str) -> str:
+    return f"{column} IN ({', '.join(repr(t) for t in p.BLANK_TOKENS)})"
+
+
 # Events with some values blanked out.
 EVENTS = """
 SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE user_id END AS user_id,
@@ -154,10 +160,10 @@ def null_when(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("unexpected_missing_bank", f"""
 SELECT "IdPago", "MetodoPago" FROM ({raw_sql('source_b/pagos')}) WHERE trim("Banco") = '' AND "Banco" = ''
-AND {sql.clean('"MetodoPago"')} <> 'TARJETA'""")
+AND {sql.clean('"MetodoPago"')} <> 'EFECTIVO'""")
 def unexpected_missing_bank(spark: SparkSession, folder: str) -> DataFrame:
     payments = RawExtracts(spark, folder)["source_b/pagos"]
-    return p.unexpected_missing(payments, "Banco", "MetodoPago", "TARJETA").select("IdPago", "MetodoPago")
+    return p.unexpected_missing(payments, "Banco", "MetodoPago", "EFECTIVO").select("IdPago", "MetodoPago")
 
 
 def _codes(name: str, column: str) -> str:
@@ -178,11 +184,22 @@ def cross_source_suppliers(spark: SparkSession, folder: str) -> DataFrame:
     return job.supplier_overlap(RawExtracts(spark, folder))
 
 
-@query("cross_source_detail", f"""
-SELECT customer_id, tax_id FROM ({raw_sql('source_a/customers')}) WHERE {strip('tax_id')} IN (SELECT code FROM {SHARED_TAX})""")
+SHARED_NIT = f"""({_codes('source_a/suppliers', 'tax_id')} INTERSECT {_codes('source_b/proveedores', '"NIT"')})"""
+SHARED_SIDES = [("source_a/customers", "tax_id", SHARED_TAX), ("source_b/clientes", "RFC", SHARED_TAX),
+                ("source_a/suppliers", "tax_id", SHARED_NIT), ("source_b/proveedores", "NIT", SHARED_NIT)]
+
+
+@query("cross_source_detail", " UNION ALL ".join(
+    f"""SELECT '{name}' AS extract, "{named(name).id_column}" AS id, "{column}" AS code FROM ({raw_sql(name)})
+        WHERE {strip(f'"{column}"')} IN (SELECT code FROM {shared})""" for name, column, shared in SHARED_SIDES))
 def cross_source_detail(spark: SparkSession, folder: str) -> DataFrame:
+    """The records of both sides, customers and suppliers, that share a tax id."""
     raw = RawExtracts(spark, folder)
-    return p.rows_with_codes(raw["source_a/customers"], "tax_id", job.customer_overlap(raw)).select("customer_id", "tax_id")
+    shared = {SHARED_TAX: cut(job.customer_overlap(raw)), SHARED_NIT: cut(job.supplier_overlap(raw))}
+    parts = [p.rows_with_codes(raw[name], column, shared[codes]).select(
+        F.lit(name).alias("extract"), F.col(named(name).id_column).alias("id"), F.col(column).alias("code"))
+        for name, column, codes in SHARED_SIDES]
+    return reduce(DataFrame.union, parts)
 
 
 PRODUCT_CODES = {"SOURCE_A": _codes("source_a/products", "sku"), "SOURCE_B": _codes("source_b/productos", '"CodigoBarras"'),
@@ -207,6 +224,21 @@ MISSING_IDS = " UNION ALL ".join(
         FROM ({raw_sql(e.name)})""" for e in EXTRACTS)
 
 
+@query("null_sweep", " UNION ALL ".join(
+    f"""SELECT {_label(e.name)}, '{c}' AS "column", count(*) FILTER ({blank(f'"{c}"')}) AS null_count,
+               round(count(*) FILTER ({blank(f'"{c}"')}) / count(*) * 100, 1) AS null_percent
+        FROM ({raw_sql(e.name)}) HAVING null_count > 0""" for e in EXTRACTS for c in e.columns))
+def null_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    return job.table_profiles(RawExtracts(spark, folder))
+
+
+@query("whitespace_sweep", " UNION ALL ".join(
+    f"""SELECT {_label(e.name)}, '{c}' AS "column", count(*) FILTER ({strip(f'"{c}"')} <> "{c}") AS rows_with_spaces
+        FROM ({raw_sql(e.name)}) HAVING rows_with_spaces > 0""" for e in EXTRACTS for c in e.columns))
+def whitespace_sweep(spark: SparkSession, folder: str) -> DataFrame:
+    return job.whitespace(RawExtracts(spark, folder))
+
+
 @query("missing_id_sweep", MISSING_IDS)
 def missing_id_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return job.missing_ids(RawExtracts(spark, folder))
@@ -238,6 +270,21 @@ def fk_orphans(spark: SparkSession, folder: str) -> DataFrame:
     return job.orphan_counts(RawExtracts(spark, folder))
 
 
+LOOKED_UP = """
+SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 7 = 0 THEN NULL WHEN l_partkey % 3 = 0 THEN 1
+       WHEN l_partkey % 11 = 0 THEN -l_suppkey ELSE l_suppkey END AS supplier FROM {lineitem}"""
+
+
+@query("lookup_salted", f"""
+SELECT l_orderkey, l_linenumber, supplier, s_name FROM ({LOOKED_UP.format(lineitem='lineitem')})
+LEFT JOIN supplier ON s_suppkey = supplier""")
+def lookup_salted(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the rows has one key, others have none; the keys are salted however small the parents are."""
+    rows = spark.sql(LOOKED_UP, lineitem=tables.table(spark, folder, "lineitem"))
+    return joins.lookup(rows, tables.table(spark, folder, "supplier"), {"supplier": "s_suppkey"}, {"s_name": "s_name"},
+                        small=False, hot_rows=500)
+
+
 @query("orphan_rows", """
 SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'F')""")
