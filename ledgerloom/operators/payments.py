@@ -9,18 +9,20 @@ rejected rows too.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.operators.joins import lookup
-from ledgerloom.session import cut, pin
+from ledgerloom.session import cut, fresh_path
 
 MONEY = "decimal(38,10)"
 # Longest group that is folded as one array.
@@ -32,14 +34,11 @@ CHUNK_ROWS = 1_000_000
 def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: bool | None = None) -> DataFrame:
     """Flag the first row of every key; keys are not NULL and ``order`` is unique.
 
-    Keys are counted first, which is combined map-side and needs no sorting. Only the rows
-    of keys that occur more than once are then searched for the first one. The rows
+    One aggregate, combined map-side, finds the repeated keys and their first rows. The rows
     themselves are not shuffled unless those keys are too many to broadcast.
     """
-    repeated = cut(rows.groupBy(*keys).agg(F.count("*").alias("_n")).filter("_n > 1").select(*keys))
-    earliest = cut(rows.select(*keys, order).join(repeated, keys, "left_semi")
-                   .groupBy(*keys).agg(F.min(order).alias("_earliest")))
-    found = lookup(rows, earliest, {k: k for k in keys}, {"_earliest": "_earliest"}, small)
+    repeated = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(order).alias("_earliest")).filter("_n > 1")
+    found = lookup(rows, cut(repeated.drop("_n")), {k: k for k in keys}, {"_earliest": "_earliest"}, small)
     return found.withColumn(flag, F.col("_earliest").isNull() | (F.col("_earliest") == F.col(order))).drop("_earliest")
 
 
@@ -101,9 +100,12 @@ def _accept_short(rows: DataFrame, keys: list[str], order: str, amount: str, fla
 # k a chunk reports the sum of the small amounts, how far their running sum goes up and
 # down, and the least room that lets an amount in between pass. Those numbers tell, without
 # looking at rows, whether the room keeps its bit length through the chunk, and what it is
-# afterwards. Only a chunk where the bit length changes is gone through row by row. Without
-# negative amounts it changes no more often than the cap has bits, so nearly all chunks are
-# settled by their summaries, however long the group is.
+# afterwards; and then its rows pass when they are below 2**(k-1), which needs no Python.
+# Only a chunk where the bit length changes is gone through row by row. Without negative
+# amounts it changes no more often than the cap has bits, so nearly all chunks are settled
+# by their summaries, however long the group is. With many refunds every chunk may have to
+# be gone through: a round walks twice as many chunks on from an open one as the round
+# before it, so the rounds grow with the logarithm of the chunks.
 
 
 def accept_in_order(amounts: list[int], room: int) -> tuple[list[bool], int]:
@@ -138,14 +140,16 @@ def summarise_chunk(amounts: list[int]) -> list[tuple[int, int, int, int, int |
     return found
 
 
-def walk_chunks(chunks: list[tuple[int, dict]], room: int) -> tuple[list[tuple[int, int]], int | None]:
-    """Room before each chunk as far as the summaries tell, and the chunk that needs its rows."""
+def walk_chunks(chunks: list[tuple[int, dict]], room: int) -> tuple[list[tuple[int, int, int | None]], int | None]:
+    """Room before each chunk as far as the summaries tell, with the largest amount that
+    passes in it, and the chunk that needs its rows."""
     entered = []
     for chunk, summary in chunks:
-        entered.append((chunk, room))
+        entered.append((chunk, room, None))
         if room < 0:
             if summary[-1][3] <= room:
                 return entered, chunk
+            entered[-1] = (chunk, room, room)
             continue
         k = bit_length(room)
         top = max(summary)
@@ -153,6 +157,7 @@ def walk_chunks(chunks: list[tuple[int, dict]], room: int) -> tuple[list[tuple[i
         floor, ceiling = (1 << (k - 1), 1 << k) if k else (0, 1)
         if room - high < floor or room - low >= ceiling or (least is not None and least <= room):
             return entered, chunk
+        entered[-1] = (chunk, room, floor - 1 if k else 0)
         room -= total
     return entered, None
 
@@ -165,7 +170,7 @@ def _whole_units(money: Column) -> Column:
 
 SUMMARY_TYPE = "_key string, _chunk int, _limit string, k int, total string, high string, low string, least string"
 PASSED_TYPE = "_key string, _after int, _room string"
-ENTERED_TYPE = "_key string, _chunk int, _room string, _open boolean"
+ENTERED_TYPE = "_key string, _chunk int, _room string, _most string, _open boolean"
 
 
 def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -197,7 +202,7 @@ def _chain(key: tuple, summaries: pd.DataFrame, passed: pd.DataFrame) -> pd.Data
             int(total), int(high), int(low), None if pd.isna(least) else int(least))
     after = {int(c): int(r) for c, r in zip(passed["_after"], passed["_room"])}
     todo, room = sorted(table.items()), int(summaries["_limit"].iloc[0])
-    entered: list[tuple[int, int]] = []
+    entered: list[tuple[int, int, int | None]] = []
     while True:
         found, stop = walk_chunks(todo, room)
         entered.extend(found)
@@ -205,14 +210,27 @@ def _chain(key: tuple, summaries: pd.DataFrame, passed: pd.DataFrame) -> pd.Data
             break
         room = after[stop]
         todo = [c for c in todo if c[0] > stop]
-    return pd.DataFrame([(key[0], c, str(r), c == stop) for c, r in entered],
-                        columns=["_key", "_chunk", "_room", "_open"])
+    return pd.DataFrame([(key[0], c, str(r), None if m is None else str(m), c == stop) for c, r, m in entered],
+                        columns=["_key", "_chunk", "_room", "_most", "_open"])
 
 
-def _pass_chunk(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-    amounts = part.sort_values("_place")["_units"].map(int).tolist()
-    _, room = accept_in_order(amounts, int(part["_room"].iloc[0]))
-    return pd.DataFrame([(key[0], key[1], str(room))], columns=["_key", "_after", "_room"])
+def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Goes through open chunks row by row; rows come sorted by key, chunk and place. ``_room``
+    is what the first of a key's chunks is entered with."""
+    here, room = None, 0
+    for batch in batches:
+        done = []
+        for key, chunk, start, units in zip(batch["_key"], batch["_chunk"], batch["_room"], batch["_units"]):
+            if here is not None and here != (key, chunk):
+                done.append((*here, str(room)))
+            if here is None or here[0] != key:
+                room = int(start)
+            here = (key, chunk)
+            if int(units) <= room:
+                room -= int(units)
+        yield pd.DataFrame(done, columns=["_key", "_after", "_room"])
+    if here is not None:
+        yield pd.DataFrame([(*here, str(room))], columns=["_key", "_after", "_room"])
 
 
 def _accept_long(rows: DataFrame, keys: list[str], order: str, amount: str, flag: str, chunks: int) -> DataFrame:
@@ -221,22 +239,36 @@ def _accept_long(rows: DataFrame, keys: list[str], order: str, amount: str, flag
         rows.select(*columns, F.to_json(F.struct(*keys)).alias("_key"), _whole_units(F.col("_limit")).alias("_limit"),
                     _whole_units(F.col(amount)).alias("_units"))
         .repartitionByRange(chunks, "_key", order).sortWithinPartitions("_key", order)
+        .select("*", F.spark_partition_id().alias("_chunk"), F.monotonically_increasing_id().alias("_place"))
     )
-    # Every pass below sees the same rows in a chunk.
-    ordered = pin(ordered).select("*", F.spark_partition_id().alias("_chunk"),
-                                  F.monotonically_increasing_id().alias("_place"))
-    summaries = cut(ordered.select("_key", "_chunk", "_limit", "_units").mapInPandas(_summaries, SUMMARY_TYPE))
+    # Every pass below sees the same rows in a chunk, and reads the chunks it needs only.
+    path = fresh_path(rows.sparkSession)
+    ordered.write.partitionBy("_chunk").parquet(path)
+    ordered = rows.sparkSession.read.schema(ordered.schema).parquet(path)
+    summaries = ordered.select("_key", "_chunk", "_limit", "_units", "_place")
+    summaries = summaries.repartition("_chunk").sortWithinPartitions("_chunk", "_place").drop("_place")
+    summaries = cut(summaries.mapInPandas(_summaries, SUMMARY_TYPE))
     passed = rows.sparkSession.createDataFrame([], PASSED_TYPE)
+    stride = 1
     while True:
         entered = cut(summaries.groupBy("_key").cogroup(passed.groupBy("_key")).applyInPandas(_chain, ENTERED_TYPE))
-        opened = entered.filter("_open")
-        if opened.isEmpty():
+        opened = entered.filter("_open").select("_key", "_room", F.col("_chunk").alias("_from"))
+        starts = [r[0] for r in opened.select("_from").distinct().collect()]  # at most one per chunk
+        if not starts:
             break
-        here = ordered.select("_key", "_chunk", "_place", "_units").join(opened, ["_key", "_chunk"])
-        passed = cut(passed.unionByName(here.groupBy("_key", "_chunk").applyInPandas(_pass_chunk, PASSED_TYPE)))
-
-    at_chunk = ordered.join(entered.select("_key", "_chunk", "_room"), ["_key", "_chunk"])
-    at_chunk = at_chunk.repartition("_key", "_chunk").sortWithinPartitions("_key", "_chunk", "_place")
+        wanted = sorted({c + i for c in starts for i in range(stride) if c + i < chunks})
+        here = ordered.where(F.col("_chunk").isin(wanted)).select("_key", "_chunk", "_place", "_units").join(opened, "_key")
+        here = here.where((F.col("_chunk") >= F.col("_from")) & (F.col("_chunk") < F.col("_from") + stride))
+        here = here.repartition("_key").sortWithinPartitions("_key", "_chunk", "_place")
+        passed = cut(passed.unionByName(here.select("_key", "_chunk", "_room", "_units").mapInPandas(_walk, PASSED_TYPE)))
+        stride *= 2
+
+    at_chunk = ordered.join(entered.select("_key", "_chunk", "_room", "_most"), ["_key", "_chunk"])
+    whole = "decimal(38,0)"
+    settled = at_chunk.where(F.col("_most").isNotNull()).select(
+        *columns, (F.col("_units").cast(whole) <= F.col("_most").cast(whole)).alias(flag))
+    walked = at_chunk.where(F.col("_most").isNull())
+    walked = walked.repartition("_key", "_chunk").sortWithinPartitions("_key", "_chunk", "_place")
     schema = T.StructType([*[ordered.schema[c] for c in columns], T.StructField(flag, T.BooleanType())])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,4 +284,8 @@ def _accept_long(rows: DataFrame, keys: list[str], order: str, amount: str, flag
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in columns), pa.array(flags, pa.bool_())],
                                              names=[*columns, flag])
 
-    return at_chunk.mapInArrow(decide, schema)
+    return settled.unionByName(walked.mapInArrow(decide, schema))
+
+
+# The functions above travel with the tasks, so workers need not be able to import this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import events as ev
 from ledgerloom.operators.joins import flag_known, latest_by_key, lookup
 from ledgerloom.operators.payments import accept_within_cap, mark_first
-from ledgerloom.plans.staging import accepted, rejected, stage
+from ledgerloom.plans.staging import accepted, stage
 from ledgerloom.sources.extracts import TABLES, by_table
 from ledgerloom.sources.files import SEQUENCE
 from ledgerloom.session import cut
@@ -46,8 +46,9 @@ DEDUPE_KEY = ["source_system", "invoice_code", "payment_date", "amount", "_metho
 
 
 def _printed_key() -> Column:
-    shown = ["amount_text" if k == "amount" else k for k in DEDUPE_KEY]
-    return F.concat_ws("|", *[F.col(k).cast("string") for k in shown])
+    shown = {"amount": F.col("amount_text"), "_method": F.coalesce("payment_method", F.lit("")),
+             "_reference": F.coalesce("reference_number", F.lit(""))}
+    return F.concat_ws("|", *[shown.get(k, F.col(k)).cast("string") for k in DEDUPE_KEY])
 
 
 def check_payments(payments: DataFrame, invoices: DataFrame, **sizes: int) -> DataFrame:
@@ -55,7 +56,7 @@ def check_payments(payments: DataFrame, invoices: DataFrame, **sizes: int) -> Da
 
     A repeat is judged against every earlier payment, also one that the cap rejects. Both
     checks only look at rows that passed the ones before, and keep their cleaning events.
-    They go over their rows more than once, hence the cut after the cleaning.
+    They go over a narrow copy of the rows; the wide ones only meet the verdicts.
     """
     totals = latest_by_key(accepted(invoices), IDENTITY, SEQUENCE, ["total_amount"])
     checked = lookup(payments, totals, {"source_system": "source_system", "invoice_code": "source_id"},
@@ -64,18 +65,22 @@ def check_payments(payments: DataFrame, invoices: DataFrame, **sizes: int) -> Da
     orphan = ev.event(ev.EXCLUDED, ev.ORPHAN_PAYMENT, "invoice_code", F.col("invoice_code"))
     checked = cut(_reject(checked, F.col("_total").isNull(), ev.ORPHAN_PAYMENT, orphan, keep_events=False))
 
-    alive = accepted(checked).withColumns({
-        "_method": F.coalesce("payment_method", F.lit("")), "_reference": F.coalesce("reference_number", F.lit(""))})
-    alive = mark_first(alive, DEDUPE_KEY, SEQUENCE, "_first")
+    narrow = accepted(checked).select(
+        "source_system", "invoice_code", "payment_date", "amount", SEQUENCE, "_total",
+        F.coalesce("payment_method", F.lit("")).alias("_method"), F.coalesce("reference_number", F.lit("")).alias("_reference"))
+    narrow = cut(mark_first(narrow, DEDUPE_KEY, SEQUENCE, "_first"))
+    capped = accept_within_cap(narrow.where("_first").select("source_system", "invoice_code", SEQUENCE, "amount", "_total"),
+                               ["source_system", "invoice_code"], SEQUENCE, "amount", "_total", "_fits", **sizes)
+    row = [F.col("source_system").alias("_source"), F.col(SEQUENCE).alias("_row")]
+    verdicts = cut(narrow.where(~F.col("_first")).select(*row, F.lit(ev.DUPLICATE_PAYMENT).alias("_why"))
+                   .unionByName(capped.where(~F.col("_fits")).select(*row, F.lit(ev.OVER_CAP).alias("_why"))))
+
+    judged = lookup(checked, verdicts, {"source_system": "_source", SEQUENCE: "_row"}, {"_why": "_why"})
     repeat = ev.event(ev.EXCLUDED, ev.DUPLICATE_PAYMENT, "dedupe_key", _printed_key())
-    alive = _reject(alive, ~F.col("_first"), ev.DUPLICATE_PAYMENT, repeat, keep_events=True)
-    alive = alive.drop("_first", "_method", "_reference")
-
-    capped = accept_within_cap(accepted(alive), ["source_system", "invoice_code"], SEQUENCE, "amount", "_total",
-                               "_fits", **sizes)
     over = ev.event(ev.EXCLUDED, ev.OVER_CAP, "amount", F.col("amount_text"))
-    capped = _reject(capped, ~F.col("_fits"), ev.OVER_CAP, over, keep_events=True).drop("_fits")
-    return rejected(checked).unionByName(rejected(alive)).unionByName(capped).drop("_total")
+    for reason, event in ((ev.DUPLICATE_PAYMENT, repeat), (ev.OVER_CAP, over)):
+        judged = _reject(judged, F.coalesce(F.col("_why") == reason, F.lit(False)), reason, event, keep_events=True)
+    return judged.drop("_total", "_why")
 
 
 PARENT = {"Invoices": "Customers", "InvoiceLines": "Invoices", "Payments": "Invoices"}

@@ -84,3 +84,18 @@ def test_first_of_equal_keys(spark, small):
 def test_whole_groups_do_not_lose_columns(spark):
     df = spark.createDataFrame([("x", 1, Decimal(1), Decimal(9))], SCHEMA).withColumn("note", F.lit("n"))
     assert accept_within_cap(df, ["k"], "seq", "amount", "cap", "ok").collect()[0].note == "n"
+
+
+@pytest.mark.parametrize("chunks", [16, 64])
+def test_refunds_in_every_chunk_take_few_rounds(spark, chunks):
+    """Amounts that cross the room's bit length again and again open every chunk."""
+    size = 2048
+    rows = [("x", i, Decimal(300 if i % 2 == 0 else -300), Decimal(512)) for i in range(size)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(f"refunds-{chunks}", "")
+    try:
+        assert accepted(spark, rows, fold_rows=0, chunk_rows=size // chunks) == one_by_one(rows)
+        jobs = len(tracker.getJobIdsForGroup(f"refunds-{chunks}"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 20 + 12 * chunks.bit_length()
