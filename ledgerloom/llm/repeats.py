@@ -18,11 +18,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import by_value, ship
+from ledgerloom.llm.common import array_udf, by_value, ship
 from ledgerloom.llm.hashing import Stretches, mix
 from ledgerloom.session import cut
 
@@ -31,7 +32,7 @@ KINDS = 256  # segments of one seed that are compared in one group
 CHUNK = 1 << 16  # symbols that are hashed at a time
 
 RANGE = "doc_id long, tie int, first long, n long"
-SEGMENT = "doc_id long, tie int, first long, n long, seed long, kind long, times long, merged boolean"
+SEGMENT = "doc_id long, tie int, first long, n long, seed long, kind long, times long"
 PART = "seed long, sub long, doc_id long, tie int, first long, n long, symbols binary"
 
 
@@ -144,7 +145,7 @@ def _passes(bitmap: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
 
 def _segments(scheme: Scheme, shipped, keep_first: bool):
     """Segments whose seeds may repeat. Of equal ones in a batch only the first (by document, then place) goes on, with
-    their number; the others are marked as merged."""
+    their number. What is settled by that comes out as ranges, joined where they follow each other, without a seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, passes = scheme.of(), _passes(shipped.value["bitmap"])
@@ -166,16 +167,30 @@ def _segments(scheme: Scheme, shipped, keep_first: bool):
                 for c in (ties, number, known):
                     again &= c[row] == c[row[own]]
                 row, first, n, seed, kind, times, head = (c[~again] for c in (row, first, n, seed, kind, times, head))
-            picked = pa.array(row)
+            settled = ~head if keep_first else times > 1
+            ranges = joined(row[settled], first[settled], n[settled])
+            none = pa.nulls(len(ranges[0]), pa.int64())
+            picked = pa.array(np.concatenate([row[head], ranges[0]]))
             yield pa.RecordBatch.from_arrays(
-                [ids.take(picked), batch.column("tie").take(picked), pa.array(first), pa.array(n), pa.array(seed), pa.array(kind),
-                 pa.array(times), pa.array(~head)],
-                ["doc_id", "tie", "first", "n", "seed", "kind", "times", "merged"],
+                [ids.take(picked), batch.column("tie").take(picked),
+                 pa.array(np.concatenate([first[head], ranges[1]])), pa.array(np.concatenate([n[head], ranges[2]])),
+                 *(pa.concat_arrays([pa.array(c[head]), none]) for c in (seed, kind, times))],
+                ["doc_id", "tie", "first", "n", "seed", "kind", "times"],
             )
 
     return run
 
 
+def joined(owner: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges of windows as fewer and longer ones: those of an owner that follow each other become one."""
+    order = np.lexsort((first, owner))
+    owner, first, n = owner[order], first[order], n[order]
+    if not len(owner):
+        return owner, first, n
+    head = np.concatenate([[True], (owner[1:] != owner[:-1]) | (first[1:] != first[:-1] + n[:-1])])
+    return owner[head], first[head], np.add.reduceat(n, np.flatnonzero(head))
+
+
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
     """Texts with their id, and a hash that tells rows of one id apart."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -186,10 +201,21 @@ def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tie"] == b["tie"])
 
 
+def _packed():
+    pack = zstandard.ZstdCompressor(level=1).compress
+    return lambda texts: pa.array([pack(raw) for raw in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+def unpacked(batch: pa.RecordBatch) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(raw) for raw in batch.column("packed").to_pylist()]
+
+
 def with_ranges(docs: DataFrame, ranges: DataFrame, fields: list[str]) -> DataFrame:
-    """Texts with an array of what ``ranges`` has for them, null if nothing."""
+    """Texts, compressed as they are shuffled, with an array of what ``ranges`` has for them, null if nothing."""
+    docs = docs.select("doc_id", "tie", array_udf(_packed, "binary")(F.col("text")).alias("packed"))
     gathered = ranges.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(*fields)).alias("ranges"))
-    return docs.join(gathered, same_document(docs, gathered), "left").select(docs["doc_id"], docs["tie"], docs["text"], gathered["ranges"])
+    return docs.join(gathered, same_document(docs, gathered), "left").select(docs["doc_id"], docs["tie"], docs["packed"], gathered["ranges"])
 
 
 def _parts(scheme: Scheme):
@@ -199,8 +225,9 @@ def _parts(scheme: Scheme):
         of = scheme.of()
         for batch in batches:
             rows = []
-            for doc_id, tie, raw, ranges in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "tie", "text", "ranges"))):
-                symbols = of((raw or "").encode())
+            columns = (batch.column(c).to_pylist() for c in ("doc_id", "tie", "ranges"))
+            for raw, doc_id, tie, ranges in zip(unpacked(batch), *columns):
+                symbols = of(raw)
                 for r in ranges or ():
                     first, n = r["first"], r["n"]
                     if not r["crowded"]:
@@ -237,11 +264,8 @@ def groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple]
 
 def as_ranges(rows: list[tuple], owner: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Windows (index of their row, place in it) as ranges of windows that follow each other."""
-    order = np.lexsort((place, owner))
-    owner, place = owner[order], place[order]
-    head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (place[1:] != place[:-1] + 1)])) if len(owner) else []
-    n = np.diff(np.append(head, len(owner)))
-    found = [(*rows[o][2:4], rows[o][4] + int(p), int(k)) for o, p, k in zip(owner[head], place[head], n)] if len(owner) else []
+    owner, place, n = joined(owner, place, np.ones(len(owner), dtype=np.int64))
+    found = [(*rows[o][2:4], rows[o][4] + p, k) for o, p, k in zip(owner.tolist(), place.tolist(), n.tolist())]
     columns = list(zip(*found)) if found else [()] * 4
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.int64()])], ["doc_id", "tie", "first", "n"]
@@ -266,15 +290,13 @@ def repeated_windows(texts: DataFrame, scheme: Scheme, solve: Callable, keep_fir
     shipped = ship(spark, bitmap=repeated_seeds(texts, scheme))
     every = cut(texts.mapInArrow(_segments(scheme, shipped, keep_first), SEGMENT))
     kind = Window.partitionBy("seed", "kind")  # every task has left one row of a kind at most per batch
-    one = every.where(~F.col("merged"))
+    one = every.where(F.col("seed").isNotNull())
     if keep_first:
         place = F.struct("doc_id", "tie", "first")  # nulls come first
         one = one.withColumn("repeats", place > F.min(place).over(kind)).withColumn("goes_on", ~F.col("repeats"))
-        early = F.col("merged")
     else:
         one = one.withColumn("repeats", F.sum("times").over(kind) > 1)
         one = one.withColumn("goes_on", F.row_number().over(kind.orderBy("doc_id", "tie", "first")) == 1)
-        early = F.col("times") > 1
     one = cut(one.select("doc_id", "tie", "first", "n", "seed", "repeats", "goes_on"))
     kinds = one.where("goes_on")
     many = kinds.groupBy("seed").agg(F.count("*").alias("kinds"), F.min("repeats").alias("done")).where("kinds > 1 and not done")
@@ -283,7 +305,7 @@ def repeated_windows(texts: DataFrame, scheme: Scheme, solve: Callable, keep_fir
     parts = parts.mapInArrow(_parts(scheme), PART)
     solved = parts.repartition("seed", "sub").sortWithinPartitions("seed", "sub").mapInArrow(solve, RANGE)
     names = ["doc_id", "tie", "first", "n"]
-    return every.where(early).select(*names).union(one.where("repeats").select(*names)).union(solved.select(*names))
+    return every.where(F.col("seed").isNull()).select(*names).union(one.where("repeats").select(*names)).union(solved.select(*names))
 
 
 by_value(__name__)
