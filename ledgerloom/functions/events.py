@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The audit contract.
+# The audit contract, down to the sentences of the decisions.
 EXCLUDED = "excluded"
 DEFAULTED = "default_applied"
 CLEANED = "cleaned"

@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.cleaning import profile_decimal
+from ledgerloom.functions.cleaning import clean_text, profile_decimal
 from ledgerloom.operators import profiling as p
-from ledgerloom.operators.joins import orphans
+from ledgerloom.operators.joins import lookup, orphans
 from ledgerloom.session import cut
 from ledgerloom.sources.extracts import EXTRACTS, named
 
@@ -175,6 +175,7 @@ class RowCheck:
         return reduce(Column.__add__, [F.count_if(t) for t in tests])
 
 
+# What the report checks, with its wording.
 A_CUSTOMER_TEXT = ("customer_id", "first_name", "last_name", "email", "phone", "address", "city", "country",
                    "registration_date", "tax_id", "is_active")
 ROW_CHECKS = (
@@ -198,59 +199,81 @@ ROW_CHECKS = (
 )
 
 
-def _finding(count: DataFrame, source: str, table: str, issue: str, tolerance: str, action: str) -> DataFrame:
-    return count.select(F.lit(source).alias("source"), F.lit(table).alias("table"), F.lit(issue).alias("issue"),
-                        F.col("affected_rows").cast("bigint").alias("affected_rows"),
-                        F.lit(tolerance).alias("tolerance"), F.lit(action).alias("action"))
-
-
-def _row_findings(raw: Extracts) -> list[DataFrame]:
-    """All row checks of an extract in one scan of it."""
-    parts = []
-    for name in dict.fromkeys(c.extract for c in ROW_CHECKS):
-        checks = [c for c in ROW_CHECKS if c.extract == name]
-        counts = raw[name].agg(*[c.counts(raw[name]).alias(f"n{i}") for i, c in enumerate(checks)])
-        entries = [F.struct(F.lit(c.issue).alias("issue"), F.col(f"n{i}").alias("affected_rows"),
-                            F.lit(c.tolerance).alias("tolerance"), F.lit(c.action).alias("action"))
-                   for i, c in enumerate(checks)]
-        parts.append(_labelled(counts.select(F.explode(F.array(*entries)).alias("f")).select("f.*"), name))
-    return parts
-
-
-def _rows(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("affected_rows"))
+# The labels of the findings report.
+UNKNOWN_CUSTOMER = ("unknown customer", "CERO", "exclude the invoice and its dependents")
+BEYOND_TOTAL = ("payments exceed the invoice total", "CERO", "exclude the payments beyond it")
+SEVERAL_PAYMENTS = ("invoices with several payments", "CRITERIO", "accept within the invoice total")
+REPEATED_PAYMENTS = ("repeated payments", "CRITERIO", "keep the first of equal business keys")
+NO_ID = ("missing source id", "CERO", "exclude the row")
+NO_DATE = ("missing or invalid date", "ALTA", "use 1900-01-01")
+SHARED_TAX_ID = ("tax id in both sources", "CRITERIO", "keep both records")
+NO_COMMON_CODE = ("no common product code", "CRITERIO", "keep every product with its source")
+
+PRODUCT_CODES = {"source_a/products": "sku", "source_b/productos": "CodigoBarras", "source_c/products_catalog": "product_code"}
+FINDING = ["source", "table", "issue", "tolerance", "action"]
+
+
+def _entries(counts: DataFrame, found: dict[str, tuple[str, str, tuple[str, str, str]]]) -> DataFrame:
+    """One row of counts as a finding per column: source, table and label of each."""
+    entries = [F.struct(*[F.lit(v).alias(n) for n, v in zip(FINDING, (source, table, *label))],
+                        F.col(c).cast("bigint").alias("affected_rows")) for c, (source, table, label) in found.items()]
+    return counts.select(F.explode(F.array(*entries)).alias("f")).select("f.*")
+
+
+def _extract_findings(raw: Extracts, name: str) -> DataFrame:
+    """Everything that single rows of an extract tell, in one scan of it."""
+    df, extract = raw[name], named(name)
+    own = (extract.source_system, name.split("/")[1])
+    checks = [c for c in ROW_CHECKS if c.extract == name]
+    columns = {f"n{i}": c.counts(df) for i, c in enumerate(checks)}
+    found = {f"n{i}": (*own, (c.issue, c.tolerance, c.action)) for i, c in enumerate(checks)}
+    columns["ids"] = F.count_if(clean_text(F.col(extract.id_column)) == "")
+    found["ids"] = ("GLOBAL", "all_sources", NO_ID)
+    if name in SWEPT_DATES:
+        patterns = {f.source: f.extra for f in extract.dates()}
+        columns["dates"] = reduce(Column.__add__, [
+            F.count_if(F.try_to_date(F.col(c), patterns[c]).isNull()) for c in SWEPT_DATES[name]])
+        found["dates"] = ("GLOBAL", "date_fields", NO_DATE)
+    if name in PRODUCT_CODES:
+        code = PRODUCT_CODES[name]
+        columns["codes"] = F.count_distinct(F.when(~p.missing(df, code), p.stripped(code)))
+        found["codes"] = ("CROSS", "products", NO_COMMON_CODE)
+    return _entries(df.agg(*[c.alias(n) for n, c in columns.items()]), found)
+
+
+def _payment_findings(raw: Extracts, source: str, name: str) -> DataFrame:
+    """Repeats, invoices with several payments and overpaid invoices: payments are scanned and
+    shuffled once, by their business key, and go on as counts and sums."""
+    payments, invoices = payments_a(raw) if source == "SOURCE_A" else payments_b(raw)
+    keys = PAYMENT_KEYS[name]
+    same = payments.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("paid").alias("paid"))
+    by_invoice = same.groupBy(keys[0]).agg(
+        F.sum("n").alias("n"), F.sum("paid").alias("paid"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeats"))
+    id_column = named({"SOURCE_A": "source_a/invoices", "SOURCE_B": "source_b/facturas"}[source]).id_column
+    totals = invoices.where(~p.missing(invoices, id_column)).select(F.col(id_column).alias("_key"), "total")
+    both = lookup(by_invoice, totals, {keys[0]: "_key"}, {"total": "total"})
+    known = ~p.missing(payments, keys[0])
+    excess = F.round(F.col("paid") - F.col("total"), 2) > F.lit(p.TOLERANCE).cast("decimal(3,2)")
+    counts = both.agg(F.sum("repeats").alias("again"), F.count_if(known & (F.col("n") > 1)).alias("several"),
+                      F.count_if(known & excess).alias("beyond"))
+    own = (source, name.split("/")[1])
+    return _entries(counts, {"again": (*own, REPEATED_PAYMENTS), "several": (*own, SEVERAL_PAYMENTS), "beyond": (*own, BEYOND_TOTAL)})
 
 
 def findings(raw: Extracts) -> DataFrame:
     """The consolidated list of findings with the number of values, rows or keys each one
-    affects. ``raw`` is best ``parsed_once``."""
-    parts = _row_findings(raw)
+    affects. Extracts are scanned once for what their rows tell, and once more for each
+    comparison with another extract."""
+    parts = [_extract_findings(raw, e.name) for e in EXTRACTS]
+    parts += [_payment_findings(raw, *x) for x in (("SOURCE_A", "source_a/payments"), ("SOURCE_B", "source_b/pagos"))]
     for name, key, parent, parent_key in RELATIONS:
         if name in ("source_a/invoices", "source_b/facturas"):
-            count = _rows(orphan_rows(raw, name, key, parent, parent_key))
-            parts.append(_finding(count, named(name).source_system, name.split("/")[1], "unknown customer", "CERO",
-                                  "exclude the invoice and its dependents"))
-    for source, name in (("SOURCE_A", "source_a/payments"), ("SOURCE_B", "source_b/pagos")):
-        table, keys = name.split("/")[1], PAYMENT_KEYS[name]
-        parts.append(_finding(_rows(overpaid(raw, source)), source, table, "payments exceed the invoice total", "CERO",
-                              "exclude the payments beyond it"))
-        parts.append(_finding(_rows(p.frequent_keys(raw[name], keys[0], "payments")), source, table,
-                              "invoices with several payments", "CRITERIO", "accept within the invoice total"))
-        parts.append(_finding(_rows(p.members_of_repeats(raw[name], keys)), source, table, "repeated payments",
-                              "CRITERIO", "keep the first of equal business keys"))
-    total = F.sum("affected_rows").alias("affected_rows")
-    parts.append(_finding(missing_ids(raw).agg(total), "GLOBAL", "all_sources", "missing source id", "CERO",
-                          "exclude the row"))
-    parts.append(_finding(invalid_dates(raw).agg(total), "GLOBAL", "date_fields", "missing or invalid date", "ALTA",
-                          "use 1900-01-01"))
-    parts.append(_finding(_rows(customer_overlap(raw)), "CROSS", "customers", "tax id in both sources", "CRITERIO",
-                          "keep both records"))
-    parts.append(_finding(_rows(supplier_overlap(raw)), "CROSS", "suppliers", "tax id in both sources", "CRITERIO",
-                          "keep both records"))
-    distinct = product_overlap(raw).filter(~F.contains("sets", F.lit("&"))).agg(F.sum("codes").alias("affected_rows"))
-    parts.append(_finding(distinct, "CROSS", "products", "no common product code", "CRITERIO",
-                          "keep every product with its source"))
-    return union(parts)
+            lost = orphan_rows(raw, name, key, parent, parent_key).agg(F.count("*").alias("n"))
+            parts.append(_entries(lost, {"n": (named(name).source_system, name.split("/")[1], UNKNOWN_CUSTOMER)}))
+    for table, shared in (("customers", customer_overlap(raw)), ("suppliers", supplier_overlap(raw))):
+        parts.append(_entries(shared.agg(F.count("*").alias("n")), {"n": ("CROSS", table, SHARED_TAX_ID)}))
+    rows = union(parts).groupBy(*FINDING).agg(F.coalesce(F.sum("affected_rows"), F.lit(0)).alias("affected_rows"))
+    return rows.select("source", "table", "issue", "affected_rows", "tolerance", "action")
 
 
 def profile(raw: Extracts) -> dict[str, DataFrame]:

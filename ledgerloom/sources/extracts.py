@@ -48,6 +48,7 @@ def _extract(source: str, table: str, path: str, columns: str, fields: list[tupl
     return Extract(source, table, path, names, names[0], tuple(Field(*f) for f in fields))
 
 
+# The files of the contract, their columns and where each goes.
 EXTRACTS = (
     _extract(
         "SOURCE_A", "Customers", "source_a/customers.csv",

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# table -> columns in order, without the audit columns; "!" marks NOT NULL.
+# Fixed values. table -> columns in order, without the audit columns; "!" marks NOT NULL.
 STAR = {
     "Customers": "customer_id bigint!, customer_code string!, first_name string!, last_name string!, "
                  "full_name string, email string!, phone string, address string, city string, country string, "
