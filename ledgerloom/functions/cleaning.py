@@ -21,7 +21,10 @@ TRUE_TOKENS = ["1", "true", "t", "yes", "y", "si", "activo"]
 
 ISO_DATE = "yyyy-MM-dd"
 DAY_FIRST_DATE = "d/M/yyyy"  # takes one- and two-digit days and months
-STAGING_DECIMAL = "decimal(28,10)"
+# 25 digits before the point and 12 after it, further ones being rounded. One digit less than
+# Spark has, so that sums and differences of two amounts are exact.
+STAGING_DECIMAL = "decimal(37,12)"
+_PLAIN_NUMBER = r"^[+-]?\d+(\.\d*)?$"
 COMMA_SOURCES = {"SOURCE_B"}
 
 # Unicode white space plus the four ASCII separators that Java's class leaves out.
@@ -100,12 +103,15 @@ def number_text(text: Column, source: str) -> Column:
 
 
 def decimal(column: Column, field: str, source: str, text: Column | None = None) -> Cleaned:
-    """An empty amount is a silent zero; one that does not parse is a zero with an event."""
+    """An empty amount is a silent zero; one that does not parse is a zero with an event, and
+    so is a number that is too large, with an event of its own."""
     digits = number_text(clean_text(column) if text is None else text, source)
     parsed = digits.try_cast(STAGING_DECIMAL)
     return Cleaned(
         F.coalesce(parsed, F.lit(0).cast(STAGING_DECIMAL)),
-        ev.reported(((digits != "") & parsed.isNull(),
+        ev.reported((parsed.isNull() & digits.rlike(_PLAIN_NUMBER),
+                     ev.event(ev.DEFAULTED, ev.LARGE_DECIMAL, field, raw_text(column), "0")),
+                    ((digits != "") & parsed.isNull(),
                      ev.event(ev.DEFAULTED, ev.BAD_DECIMAL, field, raw_text(column), "0"))),
     )
 

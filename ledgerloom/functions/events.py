@@ -18,6 +18,7 @@ EMPTY_DATE = "Fecha vacia"
 BAD_DATE = "Fecha invalida"
 BAD_OPTIONAL_DATE = "Fecha opcional invalida convertida a NULL"
 BAD_DECIMAL = "Decimal invalido"
+LARGE_DECIMAL = "Decimal fuera de rango"  # not in the contract: a number beyond the staging type
 ORPHAN_INVOICE = "Factura con cliente inexistente"
 ORPHAN_LINE = "Linea con factura inexistente"
 ORPHAN_PAYMENT = "Pago con factura inexistente"

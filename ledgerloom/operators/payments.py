@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -24,7 +23,9 @@ from pyspark.sql import types as T
 from ledgerloom.operators.joins import lookup
 from ledgerloom.session import cut, fresh_path
 
-MONEY = "decimal(38,10)"
+# One digit less than Spark has, so that the sum of two amounts is exact.
+AMOUNT = "decimal(37,12)"
+MONEY = "decimal(38,12)"
 # Longest group that is folded as one array.
 FOLD_ROWS = 4096
 # Rows of a long group that one task goes through.
@@ -80,7 +81,7 @@ def _accept_short(rows: DataFrame, keys: list[str], order: str, amount: str, fla
     groups = rows.groupBy(*keys, "_limit").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
 
     def step(state: Column, e: Column) -> Column:
-        paid = (state["paid"] + e["a"]).cast(MONEY)
+        paid = (state["paid"].cast(AMOUNT) + e["a"].cast(AMOUNT)).cast(MONEY)
         fits = paid <= F.col("_limit")
         return F.struct(F.when(fits, paid).otherwise(state["paid"]).alias("paid"),
                         F.concat(state["flags"], F.array(fits)).alias("flags"))
@@ -163,9 +164,9 @@ def walk_chunks(chunks: list[tuple[int, dict]], room: int) -> tuple[list[tuple[i
 
 
 def _whole_units(money: Column) -> Column:
-    """Exact integer units of the staging scale, as text for Python's integers."""
-    shift = F.lit(Decimal(10) ** 10).cast("decimal(11,0)")
-    return (money.cast("decimal(28,10)") * shift).cast("decimal(38,0)").cast("string")
+    """Exact integer units of the staging scale, as text for Python's integers: the digits
+    of the plain number (ANSI casts write no exponents) without the point."""
+    return F.replace(money.cast(AMOUNT).cast("string"), F.lit("."), F.lit(""))
 
 
 SUMMARY_TYPE = "_key string, _chunk int, _limit string, k int, total string, high string, low string, least string"

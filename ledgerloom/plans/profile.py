@@ -117,14 +117,14 @@ def orphan_counts(raw: Extracts) -> DataFrame:
 
 def payments_a(raw: Extracts) -> tuple[DataFrame, DataFrame]:
     """Payments and invoices of SOURCE_A with numeric amounts."""
-    payments = raw["source_a/payments"].withColumn("paid", F.col("amount").try_cast("decimal(28,10)"))
-    return payments, raw["source_a/invoices"].withColumn("total", F.col("total_amount").try_cast("decimal(28,10)"))
+    payments = raw["source_a/payments"].withColumn("paid", F.col("amount").try_cast("decimal(37,12)"))
+    return payments, raw["source_a/invoices"].withColumn("total", F.col("total_amount").try_cast("decimal(37,12)"))
 
 
 def payments_b(raw: Extracts) -> tuple[DataFrame, DataFrame]:
     """The same for SOURCE_B, whose payments write decimals with a comma and invoices with a point."""
     payments = raw["source_b/pagos"].withColumn("paid", profile_decimal(F.col("Monto")))
-    return payments, raw["source_b/facturas"].withColumn("total", F.col("Total").try_cast("decimal(28,10)"))
+    return payments, raw["source_b/facturas"].withColumn("total", F.col("Total").try_cast("decimal(37,12)"))
 
 
 def overpaid(raw: Extracts, source: str) -> DataFrame:
@@ -289,7 +289,7 @@ def profile(raw: Extracts) -> dict[str, DataFrame]:
         "overpaid_a": overpaid(raw, "SOURCE_A"),
         "overpaid_b": overpaid(raw, "SOURCE_B"),
         "amount_mismatch_b": p.unequal_sums(
-            raw["source_b/facturas"].withColumns({c: F.col(c).try_cast("decimal(28,10)")
+            raw["source_b/facturas"].withColumns({c: F.col(c).try_cast("decimal(37,12)")
                                                   for c in ("Subtotal", "IVA", "Total")}),
             ["Subtotal", "IVA"], "Total"),
         "missing_bank_methods": p.frequency_where(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.payments import accept_in_order, accept_within_cap, mark_first
 
-SCHEMA = "k string, seq long, amount decimal(28,10), cap decimal(28,10)"
+SCHEMA = "k string, seq long, amount decimal(37,12), cap decimal(37,12)"
 
 
 def accepted(spark, rows, **sizes):
@@ -64,7 +64,7 @@ def test_equals_a_sequential_loop(spark, sizes):
 
 def test_long_groups_with_large_and_fine_amounts(spark):
     rng = random.Random(9)
-    rows = [("big", i, Decimal(rng.randint(1, 10**27)).scaleb(-10), Decimal(10**17)) for i in range(900)]
+    rows = [("big", i, Decimal(rng.randint(1, 10**27)).scaleb(-12), Decimal(10**17)) for i in range(900)]
     assert accepted(spark, rows, fold_rows=0, chunk_rows=100) == one_by_one(rows)
 
 
@@ -76,7 +76,7 @@ def test_loop_helper():
 def test_first_of_equal_keys(spark, small):
     rows = [("a", Decimal("10.0"), 3), ("a", Decimal("10.00"), 1), ("a", Decimal("11"), 2), ("b", Decimal("10"), 0)]
     rows += [("hot", Decimal(1), 100 + i) for i in range(500)]
-    df = spark.createDataFrame(rows, "k string, amount decimal(28,10), seq int")
+    df = spark.createDataFrame(rows, "k string, amount decimal(37,12), seq int")
     first = mark_first(df, ["k", "amount"], "seq", "first", small).filter("first")
     assert sorted(r.seq for r in first.collect()) == [0, 1, 2, 100]
 

@@ -75,6 +75,8 @@ ACCOUNTS = """
 SELECT c_custkey, cast(cast(c_acctbal AS decimal(12,2)) AS string) AS plain FROM {customer}"""
 COMMAS = f"""
 SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN '' WHEN c_custkey % 17 = 0 THEN 'n/a' WHEN c_custkey % 5 = 0 THEN plain
+                       WHEN c_custkey % 19 = 0 THEN '12.345.678.901.234.567.890,5' WHEN c_custkey % 23 = 0 THEN '0,000123456789'
+                       WHEN c_custkey % 29 = 0 THEN '1' || repeat('0', 30) || ',1'
                        ELSE '1.' || replace(plain, '.', ',') END AS amount FROM ({ACCOUNTS})"""
 SIGNS = f"""
 SELECT c_custkey, CASE WHEN c_custkey % 13 = 0 THEN '$' WHEN c_custkey % 17 = 0 THEN '$x' WHEN c_custkey % 5 = 0 THEN plain
@@ -96,7 +98,7 @@ def decimal_currency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("decimal_profile", f"""
-SELECT c_custkey, TRY_CAST(replace(replace(amount, '.', ''), ',', '.') AS DECIMAL(28,10)) AS value
+SELECT c_custkey, TRY_CAST(replace(replace(amount, '.', ''), ',', '.') AS DECIMAL(37,12)) AS value
 FROM ({COMMAS.format(customer='customer')})""")
 def decimal_profile(spark: SparkSession, folder: str) -> DataFrame:
     rows = spark.sql(COMMAS, customer=tables.table(spark, folder, "customer"))

@@ -8,7 +8,7 @@ from workload.raw_extracts import raw_sql
 SPACES = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")
 EVENT = "STRUCT(action VARCHAR, reason VARCHAR, field VARCHAR, original_value VARCHAR, new_value VARCHAR)"
 DATE_FORMATS = {"yyyy-MM-dd": "%Y-%m-%d", "d/M/yyyy": "%d/%m/%Y"}
-MONEY = "DECIMAL(28,10)"
+MONEY = "DECIMAL(37,12)"
 
 
 def clean(column: str) -> str:
@@ -67,8 +67,10 @@ def rule_sql(field: Field, extract: Extract) -> tuple[str, str | None]:
         case "decimal":
             number = digits(text, source)
             bad = event("default_applied", "Decimal invalido", target, raw, "'0'")
+            large = event("default_applied", "Decimal fuera de rango", target, raw, "'0'")
             return f"CAST({amount(raw, source)} AS {MONEY})", (
-                f"CASE WHEN {number} <> '' AND TRY_CAST({number} AS {MONEY}) IS NULL THEN {bad} END")
+                f"CASE WHEN TRY_CAST({number} AS {MONEY}) IS NULL AND regexp_matches({number}, '^[+-]?[0-9]+([.][0-9]*)?$') THEN {large} "
+                f"WHEN {number} <> '' AND TRY_CAST({number} AS {MONEY}) IS NULL THEN {bad} END")
         case "decimal_text":
             number = digits(text, source)
             return f"CASE WHEN TRY_CAST({number} AS {MONEY}) IS NULL THEN '0' ELSE {number} END", None

@@ -94,11 +94,11 @@ def uneven_spacing(spark: SparkSession, folder: str) -> DataFrame:
 
 # Line items as payments of their order.
 PAID = """
-SELECT l_orderkey AS invoice, l_linenumber AS line, cast(cast(l_extendedprice AS decimal(12,2)) AS decimal(28,10)) AS amount FROM {lineitem}"""
-DUE = "SELECT o_orderkey AS invoice, cast(cast(o_totalprice AS decimal(12,2)) AS decimal(28,10)) AS total FROM {orders}"
+SELECT l_orderkey AS invoice, l_linenumber AS line, cast(cast(l_extendedprice AS decimal(12,2)) AS decimal(37,12)) AS amount FROM {lineitem}"""
+DUE = "SELECT o_orderkey AS invoice, cast(cast(o_totalprice AS decimal(12,2)) AS decimal(37,12)) AS total FROM {orders}"
 PAID_SQL, DUE_SQL = f"({PAID.format(lineitem='lineitem')})", f"({DUE.format(orders='orders')})"
 OVERPAID_SQL = f"""
-SELECT invoice, CAST(sum(amount) AS DECIMAL(38,10)) AS total_paid, total AS invoice_total,
+SELECT invoice, CAST(sum(amount) AS DECIMAL(38,12)) AS total_paid, total AS invoice_total,
        CAST(round(sum(amount) - total, 2) AS DECIMAL(38,2)) AS excess
 FROM {PAID_SQL} JOIN {DUE_SQL} USING (invoice) GROUP BY invoice, total HAVING excess > 0.01"""
 
@@ -119,7 +119,7 @@ def multi_payment(spark: SparkSession, folder: str) -> DataFrame:
 @query("overpaid", OVERPAID_SQL)
 def overpaid(spark: SparkSession, folder: str) -> DataFrame:
     found = p.overpaid(_paid(spark, folder), _due(spark, folder), "invoice", "amount", "total")
-    return found.select("invoice", F.col("total_paid").cast("decimal(38,10)").alias("total_paid"), "invoice_total",
+    return found.select("invoice", F.col("total_paid").cast("decimal(38,12)").alias("total_paid"), "invoice_total",
                         F.col("excess").cast("decimal(38,2)").alias("excess"))
 
 
@@ -297,15 +297,15 @@ def orphan_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _amount(name: str, column: str) -> str:
     if name == "source_b/pagos":
-        return f"TRY_CAST(replace(replace(\"{column}\", '.', ''), ',', '.') AS DECIMAL(28,10))"
-    return f'TRY_CAST("{column}" AS DECIMAL(28,10))'
+        return f"TRY_CAST(replace(replace(\"{column}\", '.', ''), ',', '.') AS DECIMAL(37,12))"
+    return f'TRY_CAST("{column}" AS DECIMAL(37,12))'
 
 
 def _overpaid_count(payments: str, key: str, amount: str, invoices: str, total: str) -> str:
     invoice_id = named(invoices).id_column
     return (f"SELECT count(*) FROM (SELECT \"{key}\" AS k, sum({_amount(payments, amount)}) AS s FROM ({raw_sql(payments)}) "
             f"WHERE \"{key}\" <> '' GROUP BY 1) JOIN (SELECT \"{invoice_id}\" AS k, "
-            f"TRY_CAST(\"{total}\" AS DECIMAL(28,10)) AS t FROM ({raw_sql(invoices)})) USING (k) WHERE round(s - t, 2) > 0.01")
+            f"TRY_CAST(\"{total}\" AS DECIMAL(37,12)) AS t FROM ({raw_sql(invoices)})) USING (k) WHERE round(s - t, 2) > 0.01")
 
 
 def _repeat_count(name: str) -> str:
@@ -390,7 +390,7 @@ def row_profiles(spark: SparkSession, folder: str) -> DataFrame:
 
 # Payments with repeats, ordered by a unique position.
 PAYMENTS = f"""
-SELECT l_orderkey AS invoice, cast(l_shipdate AS date) AS paid_on, cast(cast(l_extendedprice AS decimal(12,2)) AS decimal(28,10)) AS amount,
+SELECT l_orderkey AS invoice, cast(l_shipdate AS date) AS paid_on, cast(cast(l_extendedprice AS decimal(12,2)) AS decimal(37,12)) AS amount,
        l_returnflag AS method, {PAYMENT_SEQ} AS seq FROM {PAYMENT_ROWS} AS p"""
 PAYMENTS_SQL = f"({PAYMENTS.format(lineitem='lineitem')})"
 
@@ -428,8 +428,8 @@ def capped_payments(spark: SparkSession, folder: str) -> DataFrame:
 # The whole event stream counts against one cap per event type: a few very long groups, with refunds.
 STREAM = """
 SELECT event_id, event_type,
-       CASE WHEN event_id % 5 = 0 THEN -1 ELSE 1 END * cast(cast(value AS decimal(12,2)) AS decimal(28,10)) AS amount,
-       cast(1000 AS decimal(28,10)) AS cap FROM {events}"""
+       CASE WHEN event_id % 5 = 0 THEN -1 ELSE 1 END * cast(cast(value AS decimal(12,2)) AS decimal(37,12)) AS amount,
+       cast(1000 AS decimal(37,12)) AS cap FROM {events}"""
 
 
 @query("capped_long_groups", f"""
