@@ -139,16 +139,19 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compares the neighbours of a sorted partition; its first and last document come out with their texts as edges."""
     names, types = _columns(f"{RESULT}, {EDGE}")
     held, blank = None, (None,) * 7
-    gc.disable()  # the phrase trees hold no cycles, and the collector would walk them over and over
     for batch in batches:
         rows = []
-        for part, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-            now = (part, doc_id, Parsed(text or ""))
-            if held is None:
-                rows.append((*blank, part, "first", doc_id, now[2].text, now[2].print))
-            else:
-                rows.append((*compare(held[1], held[2], now[2].text, now[2].print), *(None,) * 5))
-            held = now
+        gc.disable()  # the phrase trees hold no cycles, and the collector would walk them over and over
+        try:
+            for part, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                now = (part, doc_id, Parsed(text or ""))
+                if held is None:
+                    rows.append((*blank, part, "first", doc_id, now[2].text, now[2].print))
+                else:
+                    rows.append((*compare(held[1], held[2], now[2].text, now[2].print), *(None,) * 5))
+                held = now
+        finally:
+            gc.enable()
         yield _table(rows, names, types)
     if held is not None:
         yield _table([(*blank, held[0], "last", held[1], held[2].text, held[2].print)], names, types)
@@ -181,9 +184,8 @@ def neighbour_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "tex
     first, last = (done.where(F.col("place") == place) for place in ("first", "last"))
     # One narrow row per partition; the texts are joined to it.
     every = Window.orderBy("part")
-    around = first.select("part").withColumn("next", F.lead("part").over(every))
-    start = first.agg(F.min("part").alias("start"))
-    around = around.join(F.broadcast(start)).select("part", F.coalesce("next", "start").alias("next"))
+    start = F.min("part").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    around = first.select("part", F.coalesce(F.lead("part").over(every), start).alias("next"))
     following = first.select(F.col("part").alias("next"), F.col("own").alias("following"), F.col("own_print").alias("its_print"))
     pairs = last.join(around, "part").join(following, "next").select("own_id", "own", "following", "its_print")
     columns = _columns(RESULT)[0]
