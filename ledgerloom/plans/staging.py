@@ -101,7 +101,3 @@ def stage(raw: DataFrame, extract: Extract) -> DataFrame:
 
 def accepted(staged: DataFrame) -> DataFrame:
     return staged.filter(F.col("_reject").isNull())
-
-
-def rejected(staged: DataFrame) -> DataFrame:
-    return staged.filter(F.col("_reject").isNotNull())

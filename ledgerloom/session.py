@@ -110,9 +110,3 @@ def cut(df: DataFrame) -> DataFrame:
     path = fresh_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def pin(df: DataFrame) -> DataFrame:
-    """Like ``cut``, and also keeps which partition a row is in and the order there."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
