@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import by_value
+from ledgerloom.llm.common import by_value, packed, unpacked
 from ledgerloom.llm.hashing import Stretches, mix
 from ledgerloom.session import cut
 
@@ -143,8 +143,9 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         gc.disable()  # the phrase trees hold no cycles, and the collector would walk them over and over
         try:
-            for part, doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                now = (part, doc_id, Parsed(text or ""))
+            parts, ids = (batch.column(c).to_pylist() for c in ("part", "id"))
+            for part, doc_id, raw in zip(parts, ids, unpacked(batch.column("packed"))):
+                now = (part, doc_id, Parsed(raw.decode()))
                 if held is None:
                     rows.append((*blank, part, "first", doc_id, now[2].text, now[2].print))
                 else:
@@ -176,10 +177,10 @@ def neighbour_fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "tex
     The texts are range-sorted once. Neighbours meet in a partition; between partitions only the first and the last
     document of each are joined.
     """
-    keyed = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = ["id", "tie"]
-    ordered = keyed.withColumn("tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
-    parts = ordered.select(F.spark_partition_id().alias("part"), "id", "text")
+    keyed = docs.select(F.col(id).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), packed(F.col(text)).alias("packed"))
+    ordered = keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = ordered.select(F.spark_partition_id().alias("part"), "id", "packed")
     done = cut(parts.mapInArrow(_in_order, f"{RESULT}, {EDGE}"))
     first, last = (done.where(F.col("place") == place) for place in ("first", "last"))
     # One narrow row per partition; the texts are joined to it.
