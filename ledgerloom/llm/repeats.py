@@ -7,33 +7,36 @@ to be compared only where seeds agree. Neighbouring windows mostly share a seed
 1. Seeds are counted. A filter of a fixed size remembers those that come more than once.
 2. Segments with such seeds are compared as wholes by a hash of their symbols. Most repeats end here: all but the first of
    equal segments repeat it in every window.
-3. What is left is one segment of each kind. Where a seed has several kinds, their windows are handed to the operator's own
-   method, with their symbols: a group for each seed, or for each window if a seed has very many kinds.
+3. What is left is one segment of each kind. Where a seed has several kinds, they are handed to the operator's own method,
+   with their symbols, a group for each seed. A seed with very many kinds would make too large a group: its windows are
+   compared one by one, by their hashes.
 
 Rows of one kind are merged in every task before they are shuffled, and no group holds all rows of a common passage.
 """
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import array_udf, by_value, ship
+from ledgerloom.llm.common import by_value, packed, ship, unpacked
 from ledgerloom.llm.hashing import Stretches, mix
 from ledgerloom.session import cut
 
 FILTER_BITS = 27  # the filter has 2 ** 27 bits, 16 MB, whatever the input; beyond its capacity it lets more seeds pass
-KINDS = 256  # segments of one seed that are compared in one group
+KINDS = 1024  # segments of one seed that are compared in one group
 CHUNK = 1 << 16  # symbols that are hashed at a time
 
+NAMES = ["doc_id", "tie", "first", "n", "seed", "kind", "times"]
+TYPES = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.binary()]
 RANGE = "doc_id long, tie int, first long, n long"
 SEGMENT = "doc_id long, tie int, first long, n long, seed long, kind long, times long"
-PART = "seed long, sub long, doc_id long, tie int, first long, n long, symbols binary"
+PART = f"{SEGMENT}, symbols binary"
 
 
 @dataclass(frozen=True)
@@ -143,40 +146,41 @@ def _passes(bitmap: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     return of
 
 
+def _merged(batch: pa.RecordBatch, row: np.ndarray, found: Found, keep_first: bool) -> list[pa.Array]:
+    """Columns of ``SEGMENT``. Of equal segments of a batch only the first (by document, then place) goes on, with their
+    number. What is settled by that comes out as ranges, joined where they follow each other, without a seed."""
+    ids, ties = batch.column("doc_id"), batch.column("tie").to_numpy()
+    known, number = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
+    order = np.lexsort((found.first, ties[row], number[row], known[row], found.kind, found.seed))
+    row, first, n, seed, kind = (c[order] for c in (row, found.first, found.n, found.seed, found.kind))
+    head = np.ones(len(row), dtype=bool)
+    head[1:] = (seed[1:] != seed[:-1]) | (kind[1:] != kind[:-1])
+    at = np.flatnonzero(head)
+    group = np.cumsum(head) - 1
+    times = np.diff(np.append(at, len(row)))[group] if len(row) else n
+    if keep_first and len(row):
+        # Rows that repeat a document as a whole are one document: its first place is nowhere earlier.
+        own = at[group]
+        again = ~head & (first == first[own])
+        for c in (ties, number, known):
+            again &= c[row] == c[row[own]]
+        row, first, n, seed, kind, times, head = (c[~again] for c in (row, first, n, seed, kind, times, head))
+    settled = ~head if keep_first else times > 1
+    ranges = joined(row[settled], first[settled], n[settled])
+    none = pa.nulls(len(ranges[0]), pa.int64())
+    picked = pa.array(np.concatenate([row[head], ranges[0]]))
+    return [ids.take(picked), batch.column("tie").take(picked),
+            pa.array(np.concatenate([first[head], ranges[1]])), pa.array(np.concatenate([n[head], ranges[2]])),
+            *(pa.concat_arrays([pa.array(c[head]), none]) for c in (seed, kind, times))]
+
+
 def _segments(scheme: Scheme, shipped, keep_first: bool):
-    """Segments whose seeds may repeat. Of equal ones in a batch only the first (by document, then place) goes on, with
-    their number. What is settled by that comes out as ranges, joined where they follow each other, without a seed."""
+    """Segments whose seeds may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, passes = scheme.of(), _passes(shipped.value["bitmap"])
         for batch in batches:
-            row, found = _collected(batch, scheme, of, passes)
-            ids, ties = batch.column("doc_id"), batch.column("tie").to_numpy()
-            known, number = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
-            order = np.lexsort((found.first, ties[row], number[row], known[row], found.kind, found.seed))
-            row, first, n, seed, kind = (c[order] for c in (row, found.first, found.n, found.seed, found.kind))
-            head = np.ones(len(row), dtype=bool)
-            head[1:] = (seed[1:] != seed[:-1]) | (kind[1:] != kind[:-1])
-            at = np.flatnonzero(head)
-            group = np.cumsum(head) - 1
-            times = np.diff(np.append(at, len(row)))[group] if len(row) else n
-            if keep_first and len(row):
-                # Rows that repeat a document as a whole are one document: its first place is nowhere earlier.
-                own = at[group]
-                again = ~head & (first == first[own])
-                for c in (ties, number, known):
-                    again &= c[row] == c[row[own]]
-                row, first, n, seed, kind, times, head = (c[~again] for c in (row, first, n, seed, kind, times, head))
-            settled = ~head if keep_first else times > 1
-            ranges = joined(row[settled], first[settled], n[settled])
-            none = pa.nulls(len(ranges[0]), pa.int64())
-            picked = pa.array(np.concatenate([row[head], ranges[0]]))
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(picked), batch.column("tie").take(picked),
-                 pa.array(np.concatenate([first[head], ranges[1]])), pa.array(np.concatenate([n[head], ranges[2]])),
-                 *(pa.concat_arrays([pa.array(c[head]), none]) for c in (seed, kind, times))],
-                ["doc_id", "tie", "first", "n", "seed", "kind", "times"],
-            )
+            yield pa.RecordBatch.from_arrays(_merged(batch, *_collected(batch, scheme, of, passes), keep_first), NAMES)
 
     return run
 
@@ -201,63 +205,54 @@ def same_document(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["tie"] == b["tie"])
 
 
-def _packed():
-    pack = zstandard.ZstdCompressor(level=1).compress
-    return lambda texts: pa.array([pack(raw) for raw in texts.cast(pa.binary()).to_pylist()], pa.binary())
-
-
-def unpacked(batch: pa.RecordBatch) -> list[bytes]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(raw) for raw in batch.column("packed").to_pylist()]
-
-
 def with_ranges(docs: DataFrame, ranges: DataFrame, fields: list[str]) -> DataFrame:
     """Texts, compressed as they are shuffled, with an array of what ``ranges`` has for them, null if nothing."""
-    docs = docs.select("doc_id", "tie", array_udf(_packed, "binary")(F.col("text")).alias("packed"))
+    docs = docs.select("doc_id", "tie", packed(F.col("text")).alias("packed"))
     gathered = ranges.groupBy("doc_id", "tie").agg(F.collect_list(F.struct(*fields)).alias("ranges"))
     return docs.join(gathered, same_document(docs, gathered), "left").select(docs["doc_id"], docs["tie"], docs["packed"], gathered["ranges"])
 
 
-def _parts(scheme: Scheme):
-    """The symbols of the segments that must be compared window by window; whole, or a part for each window."""
+def _parts(scheme: Scheme, keep_first: bool):
+    """The segments that must be compared window by window: with their symbols, or, of a crowded seed, as windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = scheme.of()
         for batch in batches:
-            rows = []
+            rows, windows = [], []
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "tie", "ranges"))
-            for raw, doc_id, tie, ranges in zip(unpacked(batch), *columns):
+            for at, (raw, doc_id, tie, ranges) in enumerate(zip(unpacked(batch.column("packed")), *columns)):
                 symbols = of(raw)
-                for r in ranges or ():
-                    first, n = r["first"], r["n"]
-                    if not r["crowded"]:
-                        rows.append((r["seed"], 0, doc_id, tie, first, n, symbols[first:first + n - 1 + scheme.length].tobytes()))
-                        continue
+                for r in ranges:
+                    first, n, seed = r["first"], r["n"], r["seed"]
                     part = symbols[first:first + n - 1 + scheme.length]
-                    subs = mix(Stretches(numbers(part)).raw_all(scheme.length)).view(np.int64).tolist()
-                    for k, sub in enumerate(subs):
-                        rows.append((r["seed"], sub, doc_id, tie, first + k, 1, part[k:k + scheme.length].tobytes()))
-            columns = list(zip(*rows)) if rows else [()] * 7
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types)], ["seed", "sub", "doc_id", "tie", "first", "n", "symbols"]
-            )
+                    if r["crowded"]:
+                        kinds = mix(Stretches(numbers(part)).raw_all(scheme.length)).view(np.int64)
+                        windows.append((np.full(n, at), first + np.arange(n), np.full(n, seed), kinds))
+                    else:
+                        rows.append((doc_id, tie, first, n, seed, 0, None, part.tobytes()))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], [*NAMES, "symbols"])
+            if windows:
+                row, first, seed, kind = (np.concatenate(c) for c in zip(*windows))
+                merged = _merged(batch, row, Found(row, first, np.ones(len(row), dtype=np.int64), seed, kind), keep_first)
+                yield pa.RecordBatch.from_arrays([*merged, pa.nulls(len(merged[0]), pa.binary())], [*NAMES, "symbols"])
 
     return run
 
 
 def groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple]]:
-    """Rows of whole groups (seed, sub) of a sorted partition, many groups at a time, up to about ``most`` bytes of symbols."""
+    """Rows (seed, doc_id, tie, first, symbols) of whole groups of a partition that is sorted by seed, many groups at a
+    time, up to about ``most`` bytes of symbols."""
     held: list[tuple] = []
     size, last = 0, None
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            if size >= most and row[:2] != last:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("seed", "doc_id", "tie", "first", "symbols"))):
+            if size >= most and row[0] != last:
                 yield held
                 held, size = [], 0
             held.append(row)
-            last = row[:2]
-            size += len(row[6])
+            last = row[0]
+            size += len(row[4])
     if held:
         yield held
 
@@ -265,7 +260,7 @@ def groups(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[tuple]
 def as_ranges(rows: list[tuple], owner: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Windows (index of their row, place in it) as ranges of windows that follow each other."""
     owner, place, n = joined(owner, place, np.ones(len(owner), dtype=np.int64))
-    found = [(*rows[o][2:4], rows[o][4] + p, k) for o, p, k in zip(owner.tolist(), place.tolist(), n.tolist())]
+    found = [(*rows[o][1:3], rows[o][3] + p, k) for o, p, k in zip(owner.tolist(), place.tolist(), n.tolist())]
     columns = list(zip(*found)) if found else [()] * 4
     return pa.RecordBatch.from_arrays(
         [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.int64()])], ["doc_id", "tie", "first", "n"]
@@ -283,29 +278,34 @@ def covered(size: int, ranges: list[dict] | None, length: int) -> np.ndarray:
     return np.cumsum(steps[:-1]) > 0
 
 
+def _compared(rows: DataFrame, keep_first: bool) -> DataFrame:
+    """``repeats``: whether a row's seed and kind come elsewhere too, or earlier; ``goes_on``: one row of each kind. Every
+    task has left one row of a kind at most per batch, so that no kind is large."""
+    kind = Window.partitionBy("seed", "kind")
+    if keep_first:
+        place = F.struct("doc_id", "tie", "first")  # nulls come first
+        return rows.withColumn("repeats", place > F.min(place).over(kind)).withColumn("goes_on", ~F.col("repeats"))
+    rows = rows.withColumn("repeats", F.sum("times").over(kind) > 1)
+    return rows.withColumn("goes_on", F.row_number().over(kind.orderBy("doc_id", "tie", "first")) == 1)
+
+
 def repeated_windows(texts: DataFrame, scheme: Scheme, solve: Callable, keep_first: bool) -> DataFrame:
     """``RANGE`` rows: the windows that come elsewhere too, or, with ``keep_first``, that come earlier too (in a document of a
-    smaller id, or earlier in the same one; null ids are smallest, rows of one id follow a hash of their texts). ``solve`` maps sorted partitions of ``PART`` rows to such ranges. Ranges may overlap."""
-    spark = texts.sparkSession
-    shipped = ship(spark, bitmap=repeated_seeds(texts, scheme))
+    smaller id, or earlier in the same one; null ids are smallest, rows of one id follow a hash of their texts). ``solve``
+    maps partitions of ``PART`` rows, sorted by seed, to such ranges. Ranges may overlap."""
+    shipped = ship(texts.sparkSession, bitmap=repeated_seeds(texts, scheme))
     every = cut(texts.mapInArrow(_segments(scheme, shipped, keep_first), SEGMENT))
-    kind = Window.partitionBy("seed", "kind")  # every task has left one row of a kind at most per batch
-    one = every.where(F.col("seed").isNotNull())
-    if keep_first:
-        place = F.struct("doc_id", "tie", "first")  # nulls come first
-        one = one.withColumn("repeats", place > F.min(place).over(kind)).withColumn("goes_on", ~F.col("repeats"))
-    else:
-        one = one.withColumn("repeats", F.sum("times").over(kind) > 1)
-        one = one.withColumn("goes_on", F.row_number().over(kind.orderBy("doc_id", "tie", "first")) == 1)
-    one = cut(one.select("doc_id", "tie", "first", "n", "seed", "repeats", "goes_on"))
+    one = cut(_compared(every.where(F.col("seed").isNotNull()), keep_first).drop("kind", "times"))
     kinds = one.where("goes_on")
     many = kinds.groupBy("seed").agg(F.count("*").alias("kinds"), F.min("repeats").alias("done")).where("kinds > 1 and not done")
     open_ = kinds.join(many, "seed").withColumn("crowded", F.col("kinds") > KINDS)
     parts = with_ranges(texts, open_, ["seed", "first", "n", "crowded"]).where(F.col("ranges").isNotNull())
-    parts = parts.mapInArrow(_parts(scheme), PART)
-    solved = parts.repartition("seed", "sub").sortWithinPartitions("seed", "sub").mapInArrow(solve, RANGE)
-    names = ["doc_id", "tie", "first", "n"]
-    return every.where(F.col("seed").isNull()).select(*names).union(one.where("repeats").select(*names)).union(solved.select(*names))
+    parts = cut(parts.mapInArrow(_parts(scheme, keep_first), PART))
+    solved = parts.where(F.col("symbols").isNotNull()).repartition("seed").sortWithinPartitions("seed").mapInArrow(solve, RANGE)
+    alone = parts.where(F.col("symbols").isNull()).drop("symbols")
+    found = [every.where(F.col("seed").isNull()), one.where("repeats"), solved, alone.where(F.col("seed").isNull()),
+             _compared(alone.where(F.col("seed").isNotNull()), keep_first).where("repeats")]
+    return reduce(DataFrame.union, [rows.select("doc_id", "tie", "first", "n") for rows in found])
 
 
 by_value(__name__)
