@@ -121,8 +121,8 @@ def targets(sources: DataFrame, cap: int) -> DataFrame:
     return sources.withColumn("target", F.least(F.col("source_size") * cap, F.col("weight") * F.lit(level)).cast("double"))
 
 
-def plan_sources(rows: DataFrame, cap: int, block_words: int, shards: int, seed: str) -> DataFrame:
-    """One row per source: sizes, target, quota, and where each shard's stretch of the source's draws ends."""
+def plan_sources(rows: DataFrame, cap: int, block_words: int) -> DataFrame:
+    """One row per source: sizes, target, full passes over its blocks, and the words and blocks of the last pass."""
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("source_rows"))
     ordered = sizes.withColumn("last", F.col("source").isNull())
     ranked = assign_keys(ordered, "rank", ["last", "source"], first=0).withColumn("weight", F.col("rank") % 3 + 1)
@@ -132,13 +132,17 @@ def plan_sources(rows: DataFrame, cap: int, block_words: int, shards: int, seed:
     goals = goals.withColumn("blocks", F.expr(f"(source_size + {block_words - 1}) div {block_words}"))
     goals = goals.withColumn("passes", F.floor(words / size).cast("long"))
     goals = goals.withColumn("rest", words - F.col("passes") * F.col("source_size"))
-    goals = goals.withColumn("part", F.expr(f"(rest + {block_words - 1}) div {block_words}"))
+    return cut(goals.withColumn("part", F.expr(f"(rest + {block_words - 1}) div {block_words}")).drop("last"))
+
+
+def deal_quotas(goals: DataFrame, shards: int, seed: str) -> DataFrame:
+    """``goals`` with every source's quota of blocks, and where each shard's stretch of the source's draws ends."""
     goals = cut(goals.withColumn("draws", F.col("passes") * F.col("blocks") + F.col("part")))
     dealt = split_quotas(goals.select("rank", "draws"), shards, seed)
     stretches = dealt.groupBy("rank").agg(F.sort_array(F.collect_list(F.struct("shard", "draws"))).alias("given"))
     ends = F.transform(F.sequence(F.lit(1), F.size("given")), lambda k: F.aggregate(
         F.slice("given", F.lit(1), k), F.lit(0).cast("long"), lambda n, g: n + g["draws"]))
-    return cut(goals.drop("last").join(stretches.select("rank", ends.alias("ends")), "rank"))
+    return cut(goals.join(stretches.select("rank", ends.alias("ends")), "rank"))
 
 
 def _running(rows: DataFrame, keys: list[str], order: list[str], value: str, name: str) -> DataFrame:
@@ -146,6 +150,17 @@ def _running(rows: DataFrame, keys: list[str], order: list[str], value: str, nam
     return rows.withColumn(name, F.coalesce(F.sum(value).over(before), F.lit(0)))
 
 
+def _ahead(fine: DataFrame, place: str, width: int) -> DataFrame:
+    """``fine`` (rank, place, words) with ``ahead``: the source's words at smaller places.
+
+    Windows run over the places of a group, ``width`` at most, and a source's groups.
+    """
+    fine = fine.withColumn("group", F.expr(f"{place} div {width}"))
+    coarse = _running(fine.groupBy("rank", "group").agg(F.sum("words").alias("words")), ["rank"], ["group"], "words", "earlier")
+    fine = _running(fine, ["rank", "group"], [place], "words", "before").join(coarse.drop("words"), ["rank", "group"])
+    return fine.withColumn("ahead", F.col("before") + F.col("earlier")).drop("group", "before", "earlier")
+
+
 def _placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """Rows with their source's plan and ``start``: the words of the source that stand before them in its hashed order.
 
@@ -155,26 +170,44 @@ def _placed(rows: DataFrame, sources: DataFrame) -> DataFrame:
     buckets = F.expr(f"(source_rows + {BUCKET_ROWS - 1}) div {BUCKET_ROWS}")
     plan = sources.withColumnRenamed("source", "_source")
     rows = rows.join(plan, rows["source"].eqNullSafe(plan["_source"])).drop("_source")
-    rows = rows.withColumn("bucket", F.pmod("hash", buckets)).withColumn("group", F.expr(f"bucket div {BUCKET_ROWS}"))
-    fine = rows.groupBy("rank", "group", "bucket").agg(F.sum("size").alias("words"))
-    coarse = _running(fine.groupBy("rank", "group").agg(F.sum("words").alias("words")), ["rank"], ["group"], "words", "ahead")
-    fine = _running(fine, ["rank", "group"], ["bucket"], "words", "before").join(coarse.drop("words"), ["rank", "group"])
-    fine = fine.select("rank", "bucket", (F.col("before") + F.col("ahead")).alias("ahead"))
+    rows = rows.withColumn("bucket", F.pmod("hash", buckets))
+    fine = _ahead(rows.groupBy("rank", "bucket").agg(F.sum("size").alias("words")), "bucket", BUCKET_ROWS).drop("words")
     rows = _running(rows, ["rank", "bucket"], ["hash", "doc_id", "size"], "size", "inside")
     return rows.join(fine, ["rank", "bucket"]).withColumn("start", F.col("ahead") + F.col("inside"))
 
 
+def _first_block(block_words: int) -> Column:
+    return F.least(F.floor(F.col("start") / block_words).cast("long"), F.col("blocks") - 1)
+
+
+def _place_in_pass(block: Column, turn: Column, seed: str) -> Column:
+    """Which draw of a pass a block is. The last block, which may be short, is the last of every pass."""
+    key = F.concat_ws("-", F.lit(seed), "rank", turn)
+    return F.when(block == F.col("blocks") - 1, block).otherwise(permute(block, F.col("blocks") - 1, key))
+
+
+def _edges(placed: DataFrame, block_words: int, seed: str) -> DataFrame:
+    """``rank, part, edge_ahead, edge_head``: where the last pass over whole documents ends.
+
+    ``part`` blocks are drawn until the documents that begin in them hold the words that are left. The final one has
+    ``edge_ahead`` words of the pass before it and ``edge_head`` words of the source before its first document.
+    """
+    plan = ["rank", "passes", "blocks", "rest"]
+    blocks = placed.where("rest > 0").groupBy(*plan, _first_block(block_words).alias("block"))
+    blocks = blocks.agg(F.sum("size").alias("words"), F.min("start").alias("edge_head"))
+    blocks = blocks.withColumn("place", _place_in_pass(F.col("block"), F.col("passes"), seed))
+    edge = _ahead(blocks, "place", BUCKET_ROWS * BUCKET_ROWS).where("ahead < rest and rest <= ahead + words")
+    return edge.select("rank", (F.col("place") + 1).alias("part"), F.col("ahead").alias("edge_ahead"), "edge_head")
+
+
 def _pieces(block_words: int, seed: str, whole: bool) -> Column:
     """The pieces of a document that the mix takes: shard, order in it, pass, first word in the document and words."""
     start, size, blocks = F.col("start"), F.col("size"), F.col("blocks")
-    first = F.least(F.floor(start / block_words).cast("long"), blocks - 1)
+    first = _first_block(block_words)
     last = first if whole else F.floor((start + size - 1) / block_words).cast("long")
 
     def draw(block: Column, turn: Column) -> Column:
-        key = F.concat_ws("-", F.lit(seed), "rank", turn)
-        # The last block, which may be short, is the last of every pass.
-        at = F.when(block == blocks - 1, block).otherwise(permute(block, blocks - 1, key))
-        return turn * blocks + at
+        return turn * blocks + _place_in_pass(block, turn, seed)
 
     def piece(block: Column, turn: Column, number: Column) -> Column:
         final = (number == F.col("draws") - 1) & (F.col("part") > 0)
@@ -182,7 +215,9 @@ def _pieces(block_words: int, seed: str, whole: bool) -> Column:
         end = block * block_words + F.when(final, F.col("rest") - (F.col("part") - 1) * block_words).otherwise(block_words)
         begin = F.greatest(start, block * block_words)
         if whole:
-            words, taken = size, F.least(start, F.col("source_size") - 1) < end
+            # Documents of the final draw are taken as long as that brings the sum nearer to the words that are left.
+            words, before = size, F.col("edge_ahead") + start - F.col("edge_head")
+            taken = ~final | (2 * before + size <= 2 * F.col("rest"))
         else:
             words = F.least(start + size, end) - begin
             taken = words > 0
@@ -209,8 +244,9 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
     share the words of all documents by weight, but no source gives more than ``cap`` times its words; what is left over is
     shared out again. ``pieces`` says what the mix takes of a document: shard, order in the shard, pass, first word and
     number of words; ``taken`` is the sum of their words, at most ``cap`` times the size, and a source's add up to its
-    rounded target. With ``whole``, blocks take the documents that begin in them, whole, so sums come near the target, and
-    empty documents have pieces of no words.
+    rounded target. With ``whole``, blocks take the documents that begin in them, whole, and the last pass counts their
+    words: a source's sum misses its rounded target by at most half of the one document at which the words run out. Empty
+    documents then have pieces of no words.
 
     Reruns agree, however the rows are partitioned. Rows that agree in id and text are dealt in any order among themselves.
     A source without words gives nothing. An empty table gives an empty result; other columns are not looked at.
@@ -220,7 +256,15 @@ def mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "
         F.col(id).alias("doc_id"), F.col(source).alias("source"), word_count(body).alias("size"),
         F.xxhash64(F.lit(seed), F.col(id), body).alias("hash"),
     ))
-    placed = _placed(rows, plan_sources(rows, cap, block_words, shards, seed))
+    goals = plan_sources(rows, cap, block_words)
+    if whole:
+        placed = cut(_placed(rows, goals.drop("part")))
+        edges = _edges(placed, block_words, seed)
+        goals = goals.drop("part").join(edges, "rank", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+        dealt = deal_quotas(goals, shards, seed).select("rank", "part", "edge_ahead", "edge_head", "draws", "ends")
+        placed = placed.join(dealt, "rank")
+    else:
+        placed = _placed(rows, deal_quotas(goals, shards, seed))
     placed = placed.withColumn("pieces", _pieces(block_words, seed, whole))
     taken = F.coalesce(F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["words"]), F.lit(0).cast("long"))
     return placed.select("doc_id", "source", "hash", "size", "source_size", "target", taken.alias("taken"), "pieces")

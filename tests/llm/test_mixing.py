@@ -102,6 +102,26 @@ def test_whole_documents(spark):
     assert max(Counter(r.doc_id for r in found).values()) <= 3
 
 
+def test_long_whole_documents_meet_the_targets(spark):
+    """Sums miss by at most half of the document at the edge, however many blocks the documents fill."""
+    lengths = [5000 if k % 40 == 0 else 0 if k % 13 == 0 else 20 + k % 60 for k in range(320)]
+    rows = [(1000 * s + k, "w " * n, f"src{s}") for s in range(6) for k, n in enumerate(lengths)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    target = water({f"src{s}": sum(lengths) for s in range(6)})
+    for seed in ("mix", "x"):
+        taken, copies = Counter(), Counter()
+        for r in mix(docs, seed=seed, whole=True).collect():
+            taken[r.source] += r.taken
+            copies[r.doc_id] = len(r.pieces)
+            assert r.taken == len(r.pieces) * r["size"]
+        assert all(abs(taken[s] - t) <= 2500 + 1 for s, t in target.items()), (seed, taken, target)
+        for s, t in target.items():
+            passes = int(t // sum(lengths))
+            mine = [n for i, n in copies.items() if f"src{i // 1000}" == s]
+            assert set(mine) <= {passes, passes + 1}
+        assert sum(taken.values()) == sum(words(r.text) for r in mix_documents(docs, seed=seed).collect())
+
+
 def test_hypergeometric_draws_follow_the_distribution(spark):
     for good, bad, draws in ((5, 7, 6), (3, 40, 20), (50, 50, 30), (4, 0, 2), (0, 9, 3), (9, 2, 10)):
         n = 2000
