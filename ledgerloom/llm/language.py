@@ -257,6 +257,15 @@ def fit(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", lang
     return model
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter, as the scorer sees it; a null text has none."""
+
+    def of(texts: pa.Array) -> pa.Array:
+        return pa.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()], pa.bool_())
+
+    return array_udf(lambda: of, "boolean")(text)
+
+
 def predict(text: Column, model: Model, docs: DataFrame) -> Column:
     """``struct<lang_pred, score>`` of a text: ``und`` and 0 if it is null or has no letter."""
     shipped = shipped_model(docs.sparkSession, model)
@@ -287,8 +296,14 @@ def identify(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
 
 
 def drop_undetermined(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without the documents that have no language: a null text, or no letter in it."""
-    found = docs.withColumn("_language", predict(F.col(text), fit(docs, path, id, text, lang), docs))
+    """``docs`` without the documents that have no language: a null text, or no letter in it.
+
+    Where nothing can be learned, every text with a letter stays.
+    """
+    model = fit(docs, path, id, text, lang)
+    if not model.languages:
+        return docs.where(has_letter(F.col(text)))
+    found = docs.withColumn("_language", predict(F.col(text), model, docs))
     return found.where(F.col("_language.lang_pred") != UNDETERMINED).select(*docs.columns)
 
 

@@ -4,8 +4,8 @@ import zlib
 
 from ledgerloom.llm import queries
 from ledgerloom.llm.common import tokenizer
-from ledgerloom.llm.language import identify
-from tests.llm.cases import awkward, empty
+from ledgerloom.llm.language import drop_undetermined, identify
+from tests.llm.cases import awkward, empty, table
 
 SF = "/root/testdata/sf0.001"
 MODEL = tokenizer("piece_bpe_32k.model")
@@ -27,3 +27,15 @@ def test_awkward_rows(spark):
     assert len(rows) == len(texts)
     assert sum(r.lang_pred == "und" for r in rows) == sum(not any(c.isalpha() for c in t or "") for t in texts)
     assert identify(empty(spark), MODEL).count() == 0
+
+
+def test_without_labels_every_text_with_a_letter_stays(spark):
+    texts = {1: "One two three", 2: None, 3: "12 -- 7!", 4: "Été", 5: "", 6: "日本"}
+    unlabelled = table(spark, [(i, t, None, "a") for i, t in texts.items()])
+    # Labels of held-out documents teach nothing.
+    ids = [i for i in range(1, 99) if zlib.crc32(str(i).encode()) % 5 == 0][:6]
+    held = table(spark, [(i, t, "en", "a") for i, t in zip(ids, texts.values())])
+    for docs in (unlabelled, held):
+        rows = drop_undetermined(docs, MODEL).collect()
+        assert sorted(r.text for r in rows) == sorted(["One two three", "Été", "日本"])
+        assert list(rows[0].asDict()) == docs.columns
