@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ledgerloom.llm.common import array_udf, by_value
 from ledgerloom.llm.components import components
@@ -114,6 +115,18 @@ def link_fingerprints(prints: DataFrame, max_bits: int) -> DataFrame:
     return lists.where(F.size("members") > 1).select("members").mapInArrow(_list_links(max_bits), "u long, v long").distinct()
 
 
+def _connected(narrow: DataFrame, max_bits: int) -> DataFrame:
+    """``fingerprint, least, root``: every fingerprint's smallest id and the fingerprint that stands for its component."""
+    if not 0 <= max_bits <= 3:
+        raise ValueError("max_bits is 0 to 3")
+    classes = cut(narrow.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
+    links = cut(link_fingerprints(classes.select("fingerprint"), max_bits))
+    roots = components(links)
+    return classes.join(roots, classes["fingerprint"] == roots["node"], "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
+    )
+
+
 def simhash_components(docs: DataFrame, words: int, max_bits: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, fingerprint`` (16 hex digits) and ``component_id`` for every document.
 
@@ -122,15 +135,8 @@ def simhash_components(docs: DataFrame, words: int, max_bits: int, id: str = "do
     smallest id that links of at most ``max_bits`` (0 to 3) bits reach, null ids aside. Repeated rows share a fingerprint. An empty
     table gives an empty result.
     """
-    if not 0 <= max_bits <= 3:
-        raise ValueError("max_bits is 0 to 3")
     narrow = cut(docs.select(F.col(id).alias("doc_id"), simhash(F.col(text), words).alias("fingerprint")))
-    classes = cut(narrow.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    links = cut(link_fingerprints(classes.select("fingerprint"), max_bits))
-    roots = components(links)
-    grouped = classes.join(roots, classes["fingerprint"] == roots["node"], "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
+    grouped = _connected(narrow, max_bits)
     least = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
     named = cut(grouped.join(least, "root").select("fingerprint", "component_id"))
     return narrow.join(named, "fingerprint").select(
@@ -139,10 +145,30 @@ def simhash_components(docs: DataFrame, words: int, max_bits: int, id: str = "do
 
 
 def drop_near_copies(docs: DataFrame, words: int, max_bits: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the document of the smallest id of each component; ids tell documents apart."""
-    found = simhash_components(docs, words, max_bits, id, text)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs[id].eqNullSafe(kept["_kept"]), "left_semi")
+    """``docs`` with one row of each component: that of the smallest id, or any if all its ids are null.
+
+    Rows are told apart by id and text. Of a component's rows that share the smallest id, one text is kept, once.
+    """
+    same_text = F.xxhash64(text)
+    narrow = cut(docs.select(F.col(id).alias("doc_id"), same_text.alias("hash"), simhash(F.col(text), words).alias("fingerprint")))
+    first = F.min(F.struct(F.col("least").isNull().alias("unknown"), "least", "fingerprint")).alias("first")
+    firsts = _connected(narrow, max_bits).groupBy("root").agg(first).select("root", "first.*")
+    kept = narrow.join(firsts, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("least")))
+    kept = kept.groupBy("root", "doc_id", "hash").agg(F.count("*").alias("rows"))
+    kept = kept.groupBy("root").agg(F.min(F.struct("doc_id", "hash", "rows")).alias("row"))
+    kept = cut(kept.select(F.col("row.doc_id").alias("_id"), F.col("row.hash").alias("_hash"), F.col("row.rows").alias("_rows")))
+
+    def found(rows: DataFrame) -> DataFrame:
+        keyed = docs.withColumn("_same", same_text)
+        return keyed.join(rows, keyed["_same"].eqNullSafe(rows["_hash"]) & keyed[id].eqNullSafe(rows["_id"]), "left_semi")
+
+    once = found(kept.where("_rows = 1")).select(*docs.columns)
+    repeated = kept.where("_rows > 1")
+    if repeated.isEmpty():
+        return once
+    # Only rows that come several times need a shuffle of whole documents.
+    number = F.row_number().over(Window.partitionBy(id, "_same").orderBy(F.lit(1)))
+    return once.union(found(repeated).withColumn("_number", number).where("_number = 1").select(*docs.columns))
 
 
 by_value(__name__)

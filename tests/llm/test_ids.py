@@ -11,7 +11,7 @@ from ledgerloom.llm import queries
 from ledgerloom.llm.components import components
 from ledgerloom.llm.exact_dedup import KEY, digests, drop_exact_copies, exact_groups, merge_runs
 from ledgerloom.llm.sharding import shard_documents
-from ledgerloom.llm.simhash import link_fingerprints, simhash_components
+from ledgerloom.llm.simhash import drop_near_copies, link_fingerprints, simhash_components
 from tests.llm.cases import awkward, empty, table
 from tests.oracle import _rows, duck
 
@@ -157,3 +157,19 @@ def test_shards_are_shuffled(spark):
     rows = sorted(shard_documents(spark.read.parquet(f"{SF}/documents.parquet"), 24).collect(), key=lambda r: r.doc_id)
     places = [r.shard + 24 * r.slot for r in rows]
     assert places != sorted(places) and sum(abs(p - i) > 20 for i, p in enumerate(places)) > len(rows) / 2
+
+
+def test_near_copies_without_ids_or_under_one_id(spark):
+    """A component keeps one row, whatever its ids."""
+    near = "lorem ipsum dolor sit amet consectetur " * 30
+    other = " ".join(f"w{k * k}" for k in range(200))
+    third = " ".join(f"v{k * 7}" for k in range(200))
+    rows = [
+        (None, near, None, "a"), (None, near.upper(), None, "a"), (None, near + " ", None, "b"), (None, near, None, "a"),  # all null
+        (None, other, None, "a"), (5, other + "  ", None, "a"),  # a null id beside a known one
+        (7, third, None, "a"), (7, third.upper(), None, "a"), (3, "one two three four", None, "a"), (7, "five six seven eight", None, "a"),
+        (None, "nine ten eleven twelve", None, "a"),
+    ]
+    found = [(r.doc_id, fold(r.text).strip()) for r in drop_near_copies(table(spark, rows), words=3, max_bits=2).collect()]
+    want = [(None, near.strip()), (5, other), (7, third), (3, "one two three four"), (7, "five six seven eight"), (None, "nine ten eleven twelve")]
+    assert sorted(map(repr, found)) == sorted(map(repr, want))
