@@ -277,12 +277,18 @@ def deal(mixed: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:
-    """``docs`` as whole documents in mix proportions: a row comes as often as the mix takes it, not at all or up to ``CAP`` times."""
+    """``docs`` as whole documents in mix proportions: a row comes as often as the mix takes it, not at all or up to ``CAP`` times.
+
+    The copies stand by shard and by their block's shuffled order in it; the documents of a block stay together.
+    """
     mixed = mix(docs, id, text, source, seed=seed, whole=True)
-    copies = mixed.where(F.size("pieces") > 0).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.size("pieces").alias("_copies"))
+    places = F.transform("pieces", lambda p: F.struct(p["shard"].alias("shard"), p["order"].alias("order")))
+    copies = mixed.where(F.size("pieces") > 0).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.struct(F.size("pieces"), places.alias("places")).alias("_mixed"))
     # Rows that agree in id and text share what the mix takes of them.
-    copies = copies.groupBy("_id", "_hash").agg(F.max("_copies").alias("_copies"))
+    copies = copies.groupBy("_id", "_hash").agg(F.max("_mixed").alias("_mixed"))
+    copies = cut(copies.select("_id", F.col("_hash").alias("_key"), F.col("_mixed.places").alias("_places")))
     keyed = docs.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(id), F.col(text)))
-    often = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    same = keyed["_hash"].eqNullSafe(copies["_hash"]) & keyed[id].eqNullSafe(copies["_id"])
-    return keyed.join(copies, same).withColumn("_copy", often).select(*[keyed[c] for c in docs.columns])
+    same = keyed["_hash"].eqNullSafe(copies["_key"]) & keyed[id].eqNullSafe(copies["_id"])
+    dealt = keyed.join(copies, same).select(*[keyed[c] for c in docs.columns], "_hash", F.explode("_places").alias("_place"))
+    dealt = dealt.select(*docs.columns, "_hash", F.col("_place.shard").alias("_shard"), F.col("_place.order").alias("_order"))
+    return dealt.repartitionByRange("_shard", "_order").sortWithinPartitions("_shard", "_order", "_hash").select(*docs.columns)

@@ -21,7 +21,7 @@ SHARDS = 24
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "pieces")
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -122,6 +122,27 @@ def test_long_whole_documents_meet_the_targets(spark):
         assert sum(taken.values()) == sum(words(r.text) for r in mix_documents(docs, seed=seed).collect())
 
 
+def test_the_query_returns_the_dealt_pieces(spark):
+    rows = queries.op1_mix_sources(spark, SF).collect()
+    want = {r.doc_id: r.pieces for r in mix(spark.read.parquet(f"{SF}/documents.parquet")).collect()}
+    assert {r.doc_id: r.pieces for r in rows} == want
+    assert all(r.taken == sum(p.words for p in r.pieces or []) for r in rows)
+
+
+def test_copies_stand_where_their_pieces_are_dealt(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    places = defaultdict(list)
+    for r in mix(docs, whole=True).collect():
+        for p in r.pieces or []:
+            places[p["shard"], p["order"]].append(r.doc_id)
+    found = [r.doc_id for r in mix_documents(docs).collect()]
+    at = 0
+    for place in sorted(places):
+        assert sorted(found[at:at + len(places[place])]) == sorted(places[place])
+        at += len(places[place])
+    assert at == len(found) and len({shard for shard, _ in places}) == 16
+
+
 def test_hypergeometric_draws_follow_the_distribution(spark):
     for good, bad, draws in ((5, 7, 6), (3, 40, 20), (50, 50, 30), (4, 0, 2), (0, 9, 3), (9, 2, 10)):
         n = 2000
