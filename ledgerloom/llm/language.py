@@ -24,7 +24,7 @@ from ledgerloom.llm.common import array_udf, by_value, kept, ship
 from ledgerloom.llm.piece_bpe import BYTE, MARK, NORMAL, Vocabulary, read_model
 from ledgerloom.session import cut
 
-# Labelled documents per language, about, that the models are fitted on; a hash of the text picks them.
+# Distinct labelled texts per language, about, that the models are fitted on; a hash of the text picks them.
 SAMPLE_DOCS = 1_000
 STEPS = 2  # of expectation maximisation
 UNSEEN = 0.1  # what a piece counts at least
@@ -232,18 +232,20 @@ def held_out(id: Column) -> Column:
 
 
 def fit(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", lang: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Models of all labels that learning documents carry, from about ``sample_docs`` documents of each."""
+    """Models of all labels that learning documents carry, from about ``sample_docs`` distinct texts of each."""
     spark = docs.sparkSession
     vocabulary = read_model(path)
     labelled = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"), held_out(F.col(id)).alias("held_out"))
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.col("held_out")).drop("held_out")
-    totals = {r.lang: r["count"] for r in labelled.groupBy("lang").count().collect()}  # one entry per language
+    labelled = labelled.withColumn("hash", F.xxhash64("text"))
+    # One entry per language. Copies count once, or a group of them could be most of a sample.
+    totals = {r.lang: max(r.n, 1) for r in labelled.groupBy("lang").agg(F.approx_count_distinct("hash").alias("n")).collect()}
     languages, parts = sorted(totals), 1_000_003
     start = np.full((len(vocabulary.pieces), len(languages)), 1 / len(vocabulary.pieces))
     if not languages:
         return Model(vocabulary, [], start)
     shares = F.create_map(*[F.lit(x) for k in languages for x in (k, min(parts, -(-parts * sample_docs // totals[k])))])
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < shares[F.col("lang")])
+    sample = labelled.where(F.pmod("hash", F.lit(parts)) < shares[F.col("lang")]).dropDuplicates(["lang", "hash"])
     counted = sample.select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long")
     counted = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     model = Model(vocabulary, languages, start)

@@ -92,10 +92,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
-    """The log-likelihood ratio of every transition, from a sample of about ``sample_docs`` documents."""
-    total, parts = docs.count(), 1_000_003
+    """The log-likelihood ratio of every transition, from a sample of about ``sample_docs`` distinct texts."""
+    hashed = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    # Copies count once, or a group of them could be most of the sample.
+    total, parts = hashed.agg(F.approx_count_distinct("hash")).first()[0], 1_000_003
     share = min(parts, -(-parts * sample_docs // max(total, 1)))
-    sample = docs.select(text).where(F.pmod(F.xxhash64(text), F.lit(parts)) < share)
+    sample = hashed.where(F.pmod("hash", F.lit(parts)) < share).dropDuplicates(["hash"]).select("text")
     counted = sample.mapInArrow(_count, "label long, step long, n long").groupBy("label", "step").agg(F.sum("n").alias("n"))
     counts = np.zeros((2, STATES * STATES))
     for r in counted.collect():  # at most two entries for each pair of characters

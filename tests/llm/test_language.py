@@ -2,9 +2,11 @@
 
 import zlib
 
-from ledgerloom.llm import queries
+import numpy as np
+
+from ledgerloom.llm import queries, secrets
 from ledgerloom.llm.common import tokenizer
-from ledgerloom.llm.language import drop_undetermined, identify
+from ledgerloom.llm.language import drop_undetermined, fit, identify
 from tests.llm.cases import awkward, empty, table
 
 SF = "/root/testdata/sf0.001"
@@ -39,3 +41,17 @@ def test_without_labels_every_text_with_a_letter_stays(spark):
         rows = drop_undetermined(docs, MODEL).collect()
         assert sorted(r.text for r in rows) == sorted(["One two three", "Été", "日本"])
         assert list(rows[0].asDict()) == docs.columns
+
+
+def test_copies_do_not_change_what_is_learned(spark):
+    """Models of a table with many copies of some texts equal those of the table without the copies."""
+    texts = [f"word{k} and word{k * k} go to place{k * 7}" for k in range(400)]
+    plain = [(k, t, "en", "a") for k, t in enumerate(texts)]
+    copies = [(10_000 + 400 * n + k, texts[k], "en", "a") for k in range(0, 400, 4) for n in range(30)]
+    once, often = table(spark, plain), table(spark, plain + copies)
+    # A text that only held-out rows have is learned if a copy of it is not held out, so compare with those rows alone.
+    known = {t for i, t, _, _ in plain + copies if zlib.crc32(str(i).encode()) % 5}
+    ids = [i for i in range(9_999) if zlib.crc32(str(i).encode()) % 5]
+    learned = table(spark, [(i, t, "en", "a") for i, t in zip(ids, sorted(known))])
+    assert np.allclose(fit(learned, MODEL).probability, fit(often, MODEL).probability)
+    assert np.allclose(secrets.fit(once), secrets.fit(often))
