@@ -5,8 +5,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.alignment import alignment_counts
 from ledgerloom.llm.common import documents, tokenizer
 from ledgerloom.llm.exact_dedup import exact_groups
+from ledgerloom.llm.itq import near_vectors
 from ledgerloom.llm.language import identify
 from ledgerloom.llm.lz_fingerprint import neighbour_fingerprints
 from ledgerloom.llm.mixing import mix
@@ -16,6 +18,7 @@ from ledgerloom.llm.secrets import scan_documents
 from ledgerloom.llm.sharding import shard_documents
 from ledgerloom.llm.simhash import simhash_components
 from ledgerloom.llm.suffix_dedup import drop_repeated_bytes
+from ledgerloom.llm.whitening import whiten
 
 SHARDS = 24
 
@@ -64,6 +67,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment_counts(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op12_itq_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(embeddings(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(embeddings(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_language_id": op2_language_id,
@@ -75,6 +94,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_rlz_dedup": op8_rlz_dedup,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_itq_dedup": op12_itq_dedup,
+    "op13_whitening": op13_whitening,
 }
 
 SQL: dict[str, str] = {
@@ -127,4 +149,21 @@ SQL: dict[str, str] = {
         )
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(t) AS text_sha256 FROM grouped
     """,
+    "op12_itq_dedup": """
+        WITH RECURSIVE good AS (
+            SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+              AND len(list_filter(embedding, lambda c: c <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS u, b.vec_id AS v FROM good a JOIN good b ON a.label = b.label AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+        ), reach AS (
+            SELECT vec_id AS u, vec_id AS v FROM embeddings
+            UNION
+            SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+        ), roots AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u),
+        counts AS (SELECT u AS vec_id, count(*) AS n FROM links GROUP BY u)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM roots LEFT JOIN counts USING (vec_id)
+    """,
 }
