@@ -9,7 +9,7 @@ Very long texts are taken in pieces that end between words, where both sides end
 """
 
 import hashlib
-import os
+import json
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -32,6 +32,8 @@ ID_BITS = 20  # of a token id within a pair's number
 LARGE_GROUP = 1 << 16  # a group with more links is counted by its distinct ids
 PAIRS_IN_A_ROW = 1 << 20
 BROADCAST_PAIRS = 500_000  # only so many pairs, the most frequent ones, are ever sent to all tasks
+# Fixed value: how a byte-level vocabulary of this kind cuts a text before it merges bytes.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Both tokenizers start anew at a space between two letters or digits.
 BETWEEN_WORDS = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
 
@@ -43,6 +45,16 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
+def byte_ranks(vocabulary: str) -> dict[bytes, int]:
+    """Token bytes and ids of a byte-level vocabulary file whose merges stand in the order of their ids."""
+    model, stands = json.loads(vocabulary)["model"], byte_characters()
+    ids = model["vocab"]
+    merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+    if len(stands) + len(merges) != len(ids) or any(ids[a + b] != len(stands) + k for k, (a, b) in enumerate(merges)):
+        raise ValueError("ids of the vocabulary do not follow its merges")
+    return {bytes(stands[c] for c in token): i for token, i in ids.items()}
+
+
 @dataclass
 class Side:
     """One side's ids of many texts, one after the other."""
@@ -89,9 +101,13 @@ def align_sides(places: np.ndarray, a: Side, b: Side) -> Aligned:
     alone = b.starts != a.starts[over_b]  # equal starts are found from both sides
     overlaps = np.concatenate([np.stack([own_a, over_a], axis=1), np.stack([over_b, own_b], axis=1)[alone]])
     overlaps = overlaps[np.lexsort((overlaps[:, 1], overlaps[:, 0]))]
-    both = a.ends[overlaps[:, 0]] == b.ends[overlaps[:, 1]]
-    group_ends = a.ends[overlaps[both, 0]]
-    return Aligned(places, a, b, overlaps, group_ends, np.searchsorted(group_ends, a.ends), np.searchsorted(group_ends, b.ends))
+    last = overlaps[a.ends[overlaps[:, 0]] == b.ends[overlaps[:, 1]]]
+    groups = []
+    for side, tokens in ((a, last[:, 0]), (b, last[:, 1])):
+        ends = np.zeros(len(side.ids), dtype=np.int64)
+        ends[tokens] = 1
+        groups.append(np.cumsum(ends) - ends)
+    return Aligned(places, a, b, overlaps, a.ends[last[:, 0]], *groups)
 
 
 def pieces_of(text: str, chars: int = PIECE_CHARS) -> list[str]:
@@ -105,17 +121,15 @@ def pieces_of(text: str, chars: int = PIECE_CHARS) -> list[str]:
 
 class Aligner:
     def __init__(self, vocabulary: str, model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
-        import tokenizers
+        import tiktoken
 
-        self.byte_level = tokenizers.Tokenizer.from_str(vocabulary)
-        self.byte_level.encode_special_tokens = True
+        ranks = byte_ranks(vocabulary)
+        self.byte_level = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        stands = byte_characters()
-        self.a_bytes = [b""] * self.byte_level.get_vocab_size()
-        for token, i in self.byte_level.get_vocab(with_added_tokens=False).items():
-            self.a_bytes[i] = bytes(stands[c] for c in token)
+        self.a_bytes = [b""] * (max(ranks.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
         names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.pieces.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(names)]
         self.cuts = not any(MARK in p.lstrip(MARK) for p in names)  # no piece reaches into the next word
@@ -129,18 +143,19 @@ class Aligner:
     def align(self, texts: list[str]) -> Aligned:
         """Of texts that are not empty; one that a side does not give back byte by byte is left out."""
         spaced = [" " + t for t in texts]
-        a = [e.ids for e in self.byte_level.encode_batch_fast(spaced, add_special_tokens=False)]
+        a = [self.byte_level.encode_to_numpy(t, disallowed_special=()) for t in spaced]
         b = self.pieces.encode(texts, num_threads=1)
         raw = [t.encode() for t in spaced]
-        good = [k for k, want in enumerate(raw) if b"".join(map(self.a_bytes.__getitem__, a[k])) == want
-                and b"".join(map(self.b_bytes.__getitem__, b[k])) == want]
+        # Byte-level tokens are stretches of the text, so their sizes tell whether any of it is left out.
+        good = [k for k, want in enumerate(raw) if self.a_sizes[a[k]].sum() == len(want) and b"".join(map(self.b_bytes.__getitem__, b[k])) == want]
 
-        def side(ids: list[list[int]], sizes: np.ndarray) -> Side:
-            counts = np.array([len(ids[k]) for k in good], dtype=np.int64)
-            flat = np.fromiter(chain.from_iterable(ids[k] for k in good), np.int64, int(counts.sum()))
-            return Side(flat, np.repeat(np.arange(len(good)), counts), np.cumsum(sizes[flat]) if len(flat) else flat)
+        def side(ids: list, flat: np.ndarray, sizes: np.ndarray) -> Side:
+            text = np.repeat(np.arange(len(good)), [len(ids[k]) for k in good])
+            return Side(flat, text, np.cumsum(sizes[flat]) if len(flat) else flat)
 
-        return align_sides(np.array(good, dtype=np.int64), side(a, self.a_sizes), side(b, self.b_sizes))
+        a_ids = np.concatenate([a[k] for k in good] or [np.zeros(0)]).astype(np.int64)
+        b_ids = np.fromiter(chain.from_iterable(b[k] for k in good), np.int64)
+        return align_sides(np.array(good, dtype=np.int64), side(a, a_ids, self.a_sizes), side(b, b_ids, self.b_sizes))
 
     def listing(self, found: Aligned) -> list[bytes]:
         """Each text's groups as decimal ids: ``a1,a2|b1;a3|b2,b3``, with a last semicolon."""
