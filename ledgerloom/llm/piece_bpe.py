@@ -6,14 +6,14 @@ does not fit its left neighbour, or ends where covering has failed before (a bit
 shorter one, and if none is left the neighbour is taken back.
 
 Words can be encoded alone: no piece has a space mark after another character, and a character that occurs in no longer
-piece never merges. Each worker keeps the results of the words it met lately, up to a fixed number.
+piece never merges. Each worker keeps the ids of short words it met lately, up to a fixed size.
 """
 
 import hashlib
-import heapq
 import re
 from array import array
 from dataclasses import asdict, dataclass
+from operator import or_
 
 import ahocorasick
 import numpy as np
@@ -25,8 +25,13 @@ from ledgerloom.llm.common import array_udf, by_value, kept, ship
 
 MARK = "▁"
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
-MAX_WORDS = 250_000
-MAX_PAIRS = 500_000
+NEVER = float("inf")
+OUTSIDE = -1  # stands for a character that is no piece
+NOTHING = -2
+PAIR_BITS = 20
+MAX_PAIRS = 300_000  # pairs whose compatibility a worker remembers
+CACHED_WORD = 64  # characters of the longest words whose ids a worker remembers
+CACHE_CHARS = 6 << 20  # characters and bytes of the words and ids that it remembers; beyond them it starts anew
 
 
 @dataclass
@@ -56,100 +61,125 @@ def read_model(path: str) -> Vocabulary:
 class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self.pieces = vocabulary.pieces
-        self.scores = vocabulary.scores
         self.ids = {p: i for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds)) if k == NORMAL}
+        self.ranks = {p: -vocabulary.scores[i] for p, i in self.ids.items()}
         self.bytes = {int(p[3:5], 16): i for i, (p, k) in enumerate(zip(vocabulary.pieces, vocabulary.kinds)) if k == BYTE}
         self.values = {i: b for b, i in self.bytes.items()}
+        self.numbers = [str(i) for i in range(len(self.pieces))]
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece spans a word boundary")
         joining = {c for p in self.ids if len(p) > 1 for c in p} - {MARK}
         chars = "".join(map(re.escape, sorted(joining)))
         self.words = re.compile(f"{MARK}*[{chars}]+|{MARK}+|[^{chars}{MARK}]")
         self.matcher = ahocorasick.Automaton()
-        for p in self.ids:
+        for p, i in self.ids.items():
             # A piece that its own merges do not give never comes out of them.
             if self.merged(p) == [p]:
-                self.matcher.add_word(p, p)
+                self.matcher.add_word(p, i)
         self.matcher.make_automaton()
-        self.fit: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[list[int], str, str]] = {}
-        self.older: dict[str, tuple[list[int], str, str]] = {}
+        # Both lists end with the entry of a character outside the vocabulary.
+        self.sizes = [*map(len, self.pieces), 1]
+        self.shorter = [NOTHING] * len(self.sizes)
+        for p in self.matcher:
+            prefixes = (p[:k] for k in range(len(p) - 1, 0, -1))
+            self.shorter[self.ids[p]] = next((self.ids[q] for q in prefixes if q in self.matcher), OUTSIDE if len(p) > 1 else NOTHING)
+        self.raw = [bytes([self.values[i]]) if i in self.values else p.replace(MARK, " ").encode() for i, p in enumerate(self.pieces)]
+        self.left = [i << PAIR_BITS for i in range(len(self.pieces))]
+        self.fitting: set[int] = set()
+        self.unfit: set[int] = set()
+        self.known: dict[str, bytes] = {}
+        self.room = CACHE_CHARS
 
     def merged(self, word: str) -> list[str]:
         """The merges themselves: always the best-scored pair, the leftmost of equals."""
-        parts: list[str | None] = list(word)
-        after = [*range(1, len(parts)), None]
-        before = [None, *range(len(parts) - 1)] if parts else []
-        todo: list[tuple[float, int, str]] = []
-
-        def offer(i: int | None, j: int | None) -> None:
-            if i is not None and j is not None and (both := parts[i] + parts[j]) in self.ids:
-                heapq.heappush(todo, (-self.scores[self.ids[both]], i, both))
-
-        for i in range(len(parts) - 1):
-            offer(i, i + 1)
-        while todo:
-            _, i, both = heapq.heappop(todo)
-            j = after[i]
-            if parts[i] is None or j is None or parts[i] + parts[j] != both:
-                continue
-            parts[i], parts[j], after[i] = both, None, after[j]
-            if after[i] is not None:
-                before[after[i]] = i
-            offer(before[i], i)
-            offer(i, after[i])
-        return [p for p in parts if p is not None]
-
-    def fits(self, left: str, right: str) -> bool:
-        found = self.fit.get((left, right))
-        if found is None:
-            if len(self.fit) >= MAX_PAIRS:
-                self.fit.clear()
-            found = self.fit[left, right] = self.merged(left + right) == [left, right]
+        parts, rank = list(word), self.ranks.get
+        pairs = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := min(pairs)) < NEVER:
+            k = pairs.index(best)
+            parts[k:k + 2] = [parts[k] + parts[k + 1]]
+            del pairs[k]
+            if k:
+                pairs[k - 1] = rank(parts[k - 1] + parts[k], NEVER)
+            if k < len(pairs):
+                pairs[k] = rank(parts[k] + parts[k + 1], NEVER)
+        return parts
+
+    def fits(self, left: int, right: int) -> bool:
+        """Whether two pieces next to each other come out of their merges as they are."""
+        pair = self.left[left] | right
+        if pair in self.fitting:
+            return True
+        if pair in self.unfit:
+            return False
+        if len(self.fitting) + len(self.unfit) >= MAX_PAIRS:
+            self.fitting.clear()
+            self.unfit.clear()
+        same = self.merged(self.pieces[left] + self.pieces[right]) == [self.pieces[left], self.pieces[right]]
+        (self.fitting if same else self.unfit).add(pair)
+        return same
+
+    def longest(self, word: str, at: int) -> int:
+        """The longest piece that starts there."""
+        for end, piece in self.matcher.iter_long(word, at):
+            return piece if end + 1 - self.sizes[piece] == at else OUTSIDE
+        return OUTSIDE
+
+    def split(self, word: str) -> list[int]:
+        """The ids of one word's pieces; -1 for a character outside the vocabulary."""
+        # The longest matches one after the other often fit.
+        sizes, found = self.sizes, [i for _, i in self.matcher.iter_long(word)]
+        if sum(map(sizes.__getitem__, found)) != len(word):
+            return self.backtrack(word, [], 0, self.longest(word, 0) if word else NOTHING)
+        if self.fitting.issuperset(map(or_, map(self.left.__getitem__, found), found[1:])):
+            return found
+        at = 0
+        for k in range(1, len(found)):
+            at += sizes[found[k - 1]]
+            if not self.fits(found[k - 1], found[k]):
+                return self.backtrack(word, found[:k], at, self.shorter[found[k]])
         return found
 
-    def split(self, word: str) -> list[str]:
-        """The pieces of one word; a character outside the vocabulary is a piece of its own."""
-        starts: list[list[str]] = [[] for _ in word]
-        for end, piece in self.matcher.iter(word):
-            starts[end + 1 - len(piece)].append(piece)  # shortest first
-        for at, c in enumerate(word):
-            if not starts[at] or len(starts[at][0]) > 1:
-                starts[at].insert(0, c)
-        failed = bytearray(len(word) + 1)
-        chosen: list[str] = []
-        ranks: list[int] = []
-        at, rank = 0, len(starts[0]) - 1 if word else -1
+    def backtrack(self, word: str, chosen: list[int], at: int, piece: int) -> list[int]:
+        """Go on from pieces that fit: a piece that does not fit, or ends where covering has failed, gives way to the next
+        shorter one; if none is left, covering fails here and the piece before gives way."""
+        sizes, shorter, left, fitting = self.sizes, self.shorter, self.left, self.fitting
+        failed = bytearray(len(word) // 8 + 1)  # a bit for every position
         while at < len(word):
-            while rank >= 0:
-                piece = starts[at][rank]
-                if not failed[at + len(piece)] and (not chosen or self.fits(chosen[-1], piece)):
-                    break
-                rank -= 1
-            if rank >= 0:
+            while piece != NOTHING:
+                end = at + sizes[piece]
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if not chosen or piece == OUTSIDE or (last := chosen[-1]) == OUTSIDE or left[last] | piece in fitting or self.fits(last, piece):
+                        break
+                piece = shorter[piece]
+            if piece != NOTHING:
                 chosen.append(piece)
-                ranks.append(rank)
-                at += len(piece)
-                rank = len(starts[at]) - 1 if at < len(word) else -1
+                at = end
+                piece = self.longest(word, at) if at < len(word) else NOTHING
             else:
                 if not chosen:
                     raise ValueError(f"no tokens for {word!r}")
-                failed[at] = 1
-                at -= len(chosen.pop())
-                rank = ranks.pop() - 1
+                failed[at >> 3] |= 1 << (at & 7)
+                piece = chosen.pop()
+                at -= sizes[piece]
+                piece = shorter[piece]
         return chosen
 
     def encode_word(self, word: str) -> list[int]:
-        ids: list[int] = []
-        for piece in self.split(word):
-            if piece in self.ids:
-                ids.append(self.ids[piece])
+        found = self.split(word)
+        if OUTSIDE not in found:
+            return found
+        ids, at = [], 0
+        for i in found:
+            if i == OUTSIDE:
+                ids += [self.bytes[b] for b in word[at].encode()]
+                at += 1
             else:
-                ids += [self.bytes[b] for b in piece.encode()]
+                ids.append(i)
+                at += self.sizes[i]
         return ids
 
     def decode_raw(self, ids: list[int]) -> str:
-        """Pieces and bytes put together, with the space mark of the first piece still there."""
+        """Pieces and bytes put together, with the space of the first piece still there."""
         out: list[str] = []
         pending = bytearray()
         for i in ids:
@@ -174,30 +204,37 @@ class Encoder:
         raw = self.decode_raw(ids)
         return raw[1:] if raw.startswith(" ") else raw
 
-    def look_up(self, word: str) -> tuple[list[int], str, str]:
-        """A word's ids, the same as text, and what they decode to."""
+    def look_up(self, word: str) -> bytes:
+        """A word's ids as 32-bit numbers; long words are not kept."""
         found = self.known.get(word)
         if found is None:
-            if len(self.known) >= MAX_WORDS:
-                self.known, self.older = {}, self.known
-            found = self.older.get(word)
-            if found is None:
-                ids = self.encode_word(word)
-                found = (ids, ",".join(map(str, ids)), self.decode_raw(ids))
-            self.known[word] = found
+            found = array("i", self.encode_word(word)).tobytes()
+            if len(word) <= CACHED_WORD:
+                self.room -= len(word) + len(found)
+                if self.room < 0:
+                    self.known.clear()
+                    self.room = CACHE_CHARS
+                self.known[word] = found
         return found
 
-    def look_up_all(self, text: str) -> tuple[list[tuple[list[int], str, str]], str]:
-        """The text's words, and the decoded text; words decode alone, as no run of bytes spans two."""
-        words = [self.look_up(w) for w in self.cut_words(text)]
-        decoded = "".join([w[2] for w in words])
-        return words, decoded[1:] if decoded.startswith(" ") else decoded
+    def encode_cached(self, text: str) -> np.ndarray:
+        words = self.cut_words(text)
+        parts = list(map(self.known.get, words))
+        if None in parts:
+            parts = [self.look_up(word) if found is None else found for word, found in zip(words, parts)]
+        return np.frombuffer(b"".join(parts), dtype=np.int32)
+
+    def decode_whole(self, ids: list[int]) -> str:
+        """The same for ids whose bytes make whole characters, as those of a text do."""
+        raw = b"".join(map(self.raw.__getitem__, ids)).decode()
+        return raw[1:] if raw.startswith(" ") else raw
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids, SHA-256 of the decoded text."""
-        words, decoded = self.look_up_all(text)
-        ids = ",".join([w[1] for w in words])
-        return sum([len(w[0]) for w in words]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+        ids = self.encode_cached(text).tolist()
+        written = ",".join(map(self.numbers.__getitem__, ids))
+        decoded = self.decode_whole(ids)
+        return len(ids), hashlib.sha256(written.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 def encoder_of(pieces: list[str], scores: list[float], kinds: list[int]) -> Encoder:
@@ -208,7 +245,7 @@ def _digests(vocabulary):
     encoder = kept(vocabulary, encoder_of)
 
     def of(texts: pa.Array) -> pa.Array:
-        rows = [encoder.digest(t or "") for t in texts.to_pylist()]
+        rows = [encoder.digest(t.as_py() or "") for t in texts]
         columns = list(zip(*rows)) if rows else [(), (), ()]
         types = [pa.int64(), pa.string(), pa.string()]
         return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["n_tokens", "ids_sha256", "decoded_sha256"])
@@ -220,15 +257,14 @@ def _round_trips(vocabulary):
     encoder = kept(vocabulary, encoder_of)
 
     def of(texts: pa.Array) -> pa.Array:
-        ids, ends, same = array("i"), [0], []
-        for text in texts.to_pylist():
-            words, decoded = encoder.look_up_all(text or "")
-            for w in words:
-                ids.extend(w[0])
-            ends.append(len(ids))
-            same.append(decoded == (text or ""))
+        found, same = [], []
+        for text in texts:
+            text = text.as_py() or ""
+            found.append(encoder.encode_cached(text))
+            same.append(encoder.decode_whole(found[-1].tolist()) == text)
         # Offsets of a list array are 32-bit; a batch of texts is far smaller.
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, dtype=np.int32)))
+        ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found or [np.zeros(0, dtype=np.int32)])))
         return pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], ["ids", "round_trip"])
 
     return of
