@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.sources.extracts import ENCODINGS, EXTRACTS, Extract
+from ledgerloom.sources.records import header, parsed, read_records
 
 SEQUENCE = "_seq"
 
@@ -57,8 +58,8 @@ def write_csv(rows: DataFrame, path: str, encoding: str = "UTF-8") -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """What ``write_csv`` wrote; line breaks inside quotes make its files unsplittable."""
-    return spark.read.schema(schema).options(**EXACT_CSV, multiLine=True, mode="FAILFAST").csv(path)
+    """What ``write_csv`` wrote, line breaks inside quotes too."""
+    return parsed(read_records(spark, path), schema).select("values.*")
 
 
 def write_extract(rows: DataFrame, folder: str, extract: Extract) -> None:
@@ -71,25 +72,29 @@ def read_extract(spark: SparkSession, folder: str, extract: Extract, strict_enco
 
     Columns are found by the names in the header, in any order; columns beyond the contract
     are left out, and a missing one is an error. So is a row with too few or too many values.
-    ``line_breaks`` lets quoted values hold line breaks; a file is then read by one task.
+    ``line_breaks`` lets quoted values hold line breaks; a file is still read by many tasks.
     """
     encoding = ENCODINGS[extract.source_system]
     path = f"{folder}/{extract.path}"
-    exact = {"header": True, "encoding": encoding, "quote": '"', "escape": '"', "multiLine": line_breaks}
-    header = spark.read.options(**exact).csv(path).columns
-    absent = [c for c in extract.columns if c not in header]
+    names = header(spark, path, encoding)
+    absent = [c for c in extract.columns if c not in names]
     if absent:
         raise ValueError(f"{path} has no column {', '.join(absent)}")
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    # Parsing only the columns that are asked for would let rows of another length pass.
-    raw = spark.read.schema(schema).options(**exact, mode="FAILFAST", columnPruning=False).csv(path)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    if line_breaks:
+        raw = parsed(read_records(spark, path, encoding), schema).select(
+            "values.*", F.struct(F.col("file").alias("file"), F.col("offset").alias("offset"), F.col("row").alias("row")).alias(SEQUENCE))
+    else:
+        # Parsing only the columns that are asked for would let rows of another length pass.
+        exact = {"header": True, "encoding": encoding, "quote": '"', "escape": '"', "mode": "FAILFAST", "columnPruning": False}
+        raw = spark.read.schema(schema).options(**exact).csv(path).withColumn(SEQUENCE, file_position())
     repair = encoding != "UTF-8" and not strict_encoding
 
     def value(column: str) -> Column:
         text = F.coalesce(F.col(f"`{column}`"), F.lit(""))
         return (repaired(text) if repair else text).alias(column)
 
-    return raw.select(*[value(c) for c in extract.columns], file_position().alias(SEQUENCE))
+    return raw.select(*[value(c) for c in extract.columns], SEQUENCE)
 
 
 def read_all(spark: SparkSession, folder: str, strict_encoding: bool = False,

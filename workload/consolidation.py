@@ -15,7 +15,7 @@ from ledgerloom.plans.publish import KEYS, REFERENCES, build_table, current, pub
 from ledgerloom.plans.staging import accepted, staged_types
 from ledgerloom.session import cut, fresh_path
 from ledgerloom.sources import files
-from ledgerloom.sources.extracts import TABLES, named
+from ledgerloom.sources.extracts import EXTRACTS, TABLES, named
 from workload.expected import ALL_EVENTS, consolidation
 from workload.raw_extracts import RawExtracts, raw_sql
 from workload.registry import query
@@ -76,24 +76,21 @@ def quality_log_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return files.read_csv(spark, f"{out}/quality_report_csv", events.schema).fillna("")
 
 
-ROUNDTRIPS = ("source_a/customers", "source_b/clientes")
-
-
 def _line(columns: tuple[str, ...]) -> str:
     return "concat_ws('|', " + ", ".join(f'"{c}"' for c in columns) + ")"
 
 
 @query("extract_roundtrip", " UNION ALL ".join(
-    f"SELECT '{n}' AS extract, {_line(named(n).columns)} AS line FROM ({raw_sql(n)})" for n in ROUNDTRIPS))
+    f"SELECT '{n}' AS extract, {_line(named(n).columns)} AS line FROM ({raw_sql(n)})" for n in [e.name for e in EXTRACTS]))
 def extract_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Derived extracts, line breaks among their values, written as files and read by their headers."""
+    """All derived extracts, line breaks among their values, written as files and read by their headers."""
     raw, out = RawExtracts(spark, folder), fresh_path(spark)
     parts = []
-    for name in ROUNDTRIPS:
-        files.write_extract(raw[name], out, named(name))
-        rows = files.read_extract(spark, out, named(name), line_breaks=True)
-        parts.append(rows.select(F.lit(name).alias("extract"), F.concat_ws("|", *named(name).columns).alias("line")))
-    return parts[0].union(parts[1])
+    for extract in EXTRACTS:
+        files.write_extract(raw[extract.name], out, extract)
+        rows = files.read_extract(spark, out, extract, line_breaks=True)
+        parts.append(rows.select(F.lit(extract.name).alias("extract"), F.concat_ws("|", *extract.columns).alias("line")))
+    return reduce(DataFrame.union, parts)
 
 
 @query("missing_id_excluded", consolidation(" UNION ALL ".join(
