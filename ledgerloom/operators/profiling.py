@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerloom.functions.cleaning import clean_text
+from ledgerloom.functions.cleaning import DAY_FIRST_DATE, ISO_DATE, clean_text
 from ledgerloom.operators.joins import lookup
 
 TOLERANCE = "0.01"
@@ -56,6 +56,42 @@ def null_profile(df: DataFrame) -> DataFrame:
             .select("column", "null_count", share.alias("null_percent")))
 
 
+# What texts can be read as, a bit each: a column is of the narrowest type that has all its bits.
+BOOL, WHOLE, DECIMAL, DATE, TEXT = 1, 2, 4, 8, 16
+BOOL_TEXT = "^([Tt]rue|TRUE|[Ff]alse|FALSE)$"
+WHOLE_TEXT = "^ *[+-]?[0-9]+ *$"
+DECIMAL_TEXT = "^ *[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)? *$"
+
+
+def value_type(column: str) -> Column:
+    """The bit of one value; whole numbers are decimals too, but not the other way round."""
+    value = F.col(column)
+    date = F.try_to_date(value, ISO_DATE).isNotNull() | F.try_to_date(value, DAY_FIRST_DATE).isNotNull()
+    return (F.when(value.rlike(WHOLE_TEXT), WHOLE).when(value.rlike(DECIMAL_TEXT), DECIMAL).when(value.rlike(BOOL_TEXT), BOOL)
+            .when(date, DATE).otherwise(TEXT))
+
+
+def type_name(bits: Column) -> Column:
+    """The join of the bits in the lattice: nothing below all, text above all, whole below decimal."""
+    named = {0: "nothing", BOOL: "bool", WHOLE: "whole", DECIMAL: "decimal", WHOLE | DECIMAL: "decimal", DATE: "date"}
+    found = F.lit("text")
+    for value, name in named.items():
+        found = F.when(bits == value, name).otherwise(found)
+    return found
+
+
+def column_types(df: DataFrame) -> DataFrame:
+    """``column, type, known, missing``: what type the values of each text column have together, how many there are, and how many
+    are missing. One scan; the bits of tasks are merged by OR."""
+    columns = text_columns(df)
+    counts = df.agg(F.count("*").alias("row_count"), *[
+        F.struct(F.coalesce(F.bit_or(F.when(~missing(df, c), value_type(c))), F.lit(0)).alias("bits"),
+                 F.count_if(missing(df, c)).alias("missing")).alias(c) for c in columns])
+    found = _per_column(counts, columns, "found")
+    return found.select("column", type_name(F.col("found.bits")).alias("type"),
+                        (F.col("row_count") - F.col("found.missing")).alias("known"), F.col("found.missing").alias("missing"))
+
+
 def repeated_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Later occurrences of a key (or of a whole row): rows minus distinct keys. Missing
     values equal each other. Counts are combined map-side before the shuffle. Of whole rows
@@ -63,9 +99,10 @@ def repeated_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     if keys is not None:
         groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
         return groups.agg(F.sum("n").alias("row_count"), F.sum(F.col("n") - 1).alias("repeated_rows"))
-    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
-    sizes = hashed.groupBy("_hash").agg(F.count("*").alias("n"))
-    again = hashed.join(sizes.where("n > 1").select("_hash"), "_hash", "left_semi").drop("_hash")
+    row = F.struct(*df.columns).alias("row")
+    hashed = df.select(F.xxhash64(*df.columns).alias("hash"), row)
+    sizes = hashed.groupBy("hash").agg(F.count("*").alias("n"))
+    again = hashed.join(sizes.where("n > 1").select("hash"), "hash", "left_semi").select("row.*")
     repeats = again.groupBy(*df.columns).agg(F.count("*").alias("n")).agg(
         F.lit(None).cast("bigint").alias("row_count"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated_rows"))
     total = sizes.agg(F.sum("n").alias("row_count"), F.lit(None).cast("bigint").alias("repeated_rows"))

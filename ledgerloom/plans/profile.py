@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.cleaning import clean_text, profile_decimal
+from ledgerloom.operators import keysets as k
 from ledgerloom.operators import profiling as p
-from ledgerloom.operators.joins import lookup, orphans
+from ledgerloom.operators.joins import orphans
 from ledgerloom.session import cut
 from ledgerloom.sources.extracts import EXTRACTS, named
 
@@ -108,11 +109,27 @@ def orphan_rows(raw: Extracts, child: str, key: str, parent: str, parent_key: st
 
 
 def orphan_counts(raw: Extracts) -> DataFrame:
-    parts = []
-    for child, key, parent, parent_key in RELATIONS:
-        count = orphan_rows(raw, child, key, parent, parent_key).agg(F.count("*").alias("affected_rows"))
-        parts.append(_labelled(count, child).withColumn("column", F.lit(key)))
-    return union(parts)
+    """Rows without a parent for every relation. Each extract is scanned once, for its own keys and for those it refers to."""
+    domains = {(parent, key): [r for r in RELATIONS if r[2:] == (parent, key)] for parent, key in dict.fromkeys(r[2:] for r in RELATIONS)}
+    sides = 1 + max(map(len, domains.values()))
+    tags: dict[str, list[k.Tag]] = {}
+    for (parent, parent_key), relations in domains.items():
+        tags.setdefault(parent, []).append(k.Tag(parent, F.col(parent_key), keep=F.col(parent_key).isNotNull()))
+        for side, (child, key, _, _) in enumerate(relations, 1):
+            tags.setdefault(child, []).append(k.Tag(parent, F.col(key), side))
+    found = k.orphan_totals(k.side_counts(union([k.tagged(raw[name], own) for name, own in tags.items()]), sides), sides)
+    names = [F.struct(F.lit(parent).alias("domain"), F.lit(side).alias("side"), F.lit(named(child).source_system).alias("source"),
+                      F.lit(child.split("/")[1]).alias("table"), F.lit(key).alias("column"))
+             for (parent, _), relations in domains.items() for side, (child, key, _, _) in enumerate(relations, 1)]
+    # Ten relations, also those whose tables are empty.
+    labels = found.sparkSession.range(1).select(F.explode(F.array(*names)).alias("l")).select("l.*")
+    return labels.join(found, ["domain", "side"], "left").select(
+        "source", "table", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("affected_rows"), "column")
+
+
+def column_types(raw: Extracts) -> DataFrame:
+    """The type that all values of a column have together."""
+    return union([_labelled(p.column_types(raw[e.name].select(*e.columns)), e.name) for e in EXTRACTS])
 
 
 def payments_a(raw: Extracts) -> tuple[DataFrame, DataFrame]:
@@ -158,7 +175,8 @@ class RowCheck:
     columns: tuple[str, ...]
     kind: str
 
-    def counts(self, df: DataFrame) -> Column:
+    def failing(self, df: DataFrame) -> Column:
+        """How many values of a row fail; a null one does not."""
         tests = []
         for column in self.columns:
             value = F.col(column)
@@ -172,7 +190,7 @@ class RowCheck:
                 tests.append(F.contains(value, F.lit(",")))
             else:
                 tests.append(F.contains(value, F.lit("$")))
-        return reduce(Column.__add__, [F.count_if(t) for t in tests])
+        return reduce(Column.__add__, [F.coalesce(t, F.lit(False)).cast("int") for t in tests])
 
 
 # What the report checks, with its wording.
@@ -213,66 +231,95 @@ PRODUCT_CODES = {"source_a/products": "sku", "source_b/productos": "CodigoBarras
 FINDING = ["source", "table", "issue", "tolerance", "action"]
 
 
-def _entries(counts: DataFrame, found: dict[str, tuple[str, str, tuple[str, str, str]]]) -> DataFrame:
-    """One row of counts as a finding per column: source, table and label of each."""
-    entries = [F.struct(*[F.lit(v).alias(n) for n, v in zip(FINDING, (source, table, *label))],
-                        F.col(c).cast("bigint").alias("affected_rows")) for c, (source, table, label) in found.items()]
-    return counts.select(F.explode(F.array(*entries)).alias("f")).select("f.*")
+INVOICES = {"source_a/payments": "source_a/invoices", "source_b/pagos": "source_b/facturas"}
+TAX_IDS = {"source_a/customers": ("customers", "tax_id"), "source_b/clientes": ("customers", "RFC"),
+           "source_a/suppliers": ("suppliers", "tax_id"), "source_b/proveedores": ("suppliers", "NIT")}
+# What tags of the findings carry besides their key: the rest of a payment's business key, amounts, and how many values fail.
+CARRIED = {"rest": "string", "paid": k.DECIMAL, "total": k.DECIMAL, "failing": "int"}
+
+
+def _check_labels(name: str) -> list[tuple[str, str, tuple[str, str, str]]]:
+    """Source, table and wording of what single rows of an extract tell."""
+    own = (named(name).source_system, name.split("/")[1])
+    found = [(*own, (c.issue, c.tolerance, c.action)) for c in ROW_CHECKS if c.extract == name]
+    found.append(("GLOBAL", "all_sources", NO_ID))
+    return [*found, ("GLOBAL", "date_fields", NO_DATE)] if name in SWEPT_DATES else found
 
 
-def _extract_findings(raw: Extracts, name: str) -> DataFrame:
-    """Everything that single rows of an extract tell, in one scan of it."""
-    df, extract = raw[name], named(name)
-    own = (extract.source_system, name.split("/")[1])
-    checks = [c for c in ROW_CHECKS if c.extract == name]
-    columns = {f"n{i}": c.counts(df) for i, c in enumerate(checks)}
-    found = {f"n{i}": (*own, (c.issue, c.tolerance, c.action)) for i, c in enumerate(checks)}
-    columns["ids"] = F.count_if(clean_text(F.col(extract.id_column)) == "")
-    found["ids"] = ("GLOBAL", "all_sources", NO_ID)
+def _row_checks(df: DataFrame, name: str) -> list[Column]:
+    """How many values of a row fail each of these checks."""
+    found = [c.failing(df) for c in ROW_CHECKS if c.extract == name]
+    found.append((clean_text(F.col(named(name).id_column)) == "").cast("int"))
     if name in SWEPT_DATES:
-        patterns = {f.source: f.extra for f in extract.dates()}
-        columns["dates"] = reduce(Column.__add__, [
-            F.count_if(F.try_to_date(F.col(c), patterns[c]).isNull()) for c in SWEPT_DATES[name]])
-        found["dates"] = ("GLOBAL", "date_fields", NO_DATE)
-    if name in PRODUCT_CODES:
-        code = PRODUCT_CODES[name]
-        columns["codes"] = F.count_distinct(F.when(~p.missing(df, code), p.stripped(code)))
-        found["codes"] = ("CROSS", "products", NO_COMMON_CODE)
-    return _entries(df.agg(*[c.alias(n) for n, c in columns.items()]), found)
-
-
-def _payment_findings(raw: Extracts, source: str, name: str) -> DataFrame:
-    """Repeats, invoices with several payments and overpaid invoices: payments are scanned and
-    shuffled once, by their business key, and go on as counts and sums."""
-    payments, invoices = payments_a(raw) if source == "SOURCE_A" else payments_b(raw)
-    keys = PAYMENT_KEYS[name]
-    same = payments.groupBy(*keys).agg(F.count("*").alias("n"), F.sum("paid").alias("paid"))
-    by_invoice = same.groupBy(keys[0]).agg(
-        F.sum("n").alias("n"), F.sum("paid").alias("paid"), F.sum(F.when(F.col("n") > 1, F.col("n"))).alias("repeats"))
-    id_column = named({"SOURCE_A": "source_a/invoices", "SOURCE_B": "source_b/facturas"}[source]).id_column
-    totals = invoices.where(~p.missing(invoices, id_column)).select(F.col(id_column).alias("_key"), "total")
-    both = lookup(by_invoice, totals, {keys[0]: "_key"}, {"total": "total"})
-    known = ~p.missing(payments, keys[0])
+        patterns = {f.source: f.extra for f in named(name).dates()}
+        bad = [F.try_to_date(F.col(c), patterns[c]).isNull().cast("int") for c in SWEPT_DATES[name]]
+        found.append(reduce(Column.__add__, bad))
+    return found
+
+
+def _finding_tags(df: DataFrame, name: str) -> list[k.Tag]:
+    """Everything the findings need of a row: its checks, its own keys, and those it refers to."""
+    none = F.lit(None)
+    tags = [k.Tag(f"check {i} {name}", none, keep=failing > 0, more={"failing": failing}) for i, failing in enumerate(_row_checks(df, name))]
+    for child, key, parent, parent_key in RELATIONS:
+        if child in INVOICES.values() and name in (child, parent):
+            key = F.col(key if name == child else parent_key)
+            tags.append(k.Tag(f"orphans {child}", key, int(name == child), key.isNotNull() | F.lit(name == child)))
+    for paying, invoices in INVOICES.items():
+        if name == paying:
+            amount = F.col("amount").try_cast(k.DECIMAL) if name == "source_a/payments" else profile_decimal(F.col("Monto"))
+            first, *others = PAYMENT_KEYS[name]
+            rest = F.to_json(F.struct(*others), {"ignoreNullFields": "false"})
+            tags.append(k.Tag(f"paid {paying}", F.col(first), 1, more={"rest": rest, "paid": amount}))
+        if name == invoices:
+            total = F.col("total_amount" if name == "source_a/invoices" else "Total").try_cast(k.DECIMAL)
+            tags.append(k.Tag(f"paid {paying}", F.col(named(name).id_column), 0, ~p.missing(df, named(name).id_column), {"total": total}))
+    for kind, (table, column) in (("shared", TAX_IDS.get(name, ("", ""))), ("codes", (name, PRODUCT_CODES.get(name, "")))):
+        if column:
+            side = int(kind == "shared" and named(name).source_system != "SOURCE_A")
+            tags.append(k.Tag(f"{kind} {table}", p.stripped(column), side, ~p.missing(df, column)))
+    return tags
+
+
+def _domain_totals(tags: DataFrame) -> DataFrame:
+    """One row per domain: each measure that a finding can be. Payments are added up by business key first."""
+    sums = [F.sum("paid").alias("paid"), F.max("total").alias("total"), F.sum("failing").alias("failing")]
+    same = tags.groupBy("domain", "key", "rest").agg(F.count_if(F.col("side") == 0).alias("n0"), F.count_if(F.col("side") == 1).alias("n1"), *sums)
+    again = F.sum(F.when(F.col("n1") > 1, F.col("n1"))).alias("again")
+    keys = same.groupBy("domain", "key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), again, *sums)
+    known = ~(F.col("key").isNull() | F.col("key").isin(p.BLANK_TOKENS))
     excess = F.round(F.col("paid") - F.col("total"), 2) > F.lit(p.TOLERANCE).cast("decimal(3,2)")
-    counts = both.agg(F.sum("repeats").alias("again"), F.count_if(known & (F.col("n") > 1)).alias("several"),
-                      F.count_if(known & excess).alias("beyond"))
-    own = (source, name.split("/")[1])
-    return _entries(counts, {"again": (*own, REPEATED_PAYMENTS), "several": (*own, SEVERAL_PAYMENTS), "beyond": (*own, BEYOND_TOTAL)})
+    return keys.groupBy("domain").agg(
+        F.sum("again").alias("again"), F.count_if(known & (F.col("n1") > 1)).alias("several"), F.count_if(known & excess).alias("beyond"),
+        F.sum(F.when(F.col("key").isNull() | (F.col("n0") == 0), F.col("n1"))).alias("orphans"),
+        k.shared_keys(keys).alias("shared"), F.count_if(F.col("n0") > 0).alias("keys"), F.sum("failing").alias("failing"))
+
+
+def _labels() -> list[tuple[str, str, str, str, tuple[str, str, str]]]:
+    """Domain and measure of every finding, and its source, table and wording."""
+    found = [(f"check {i} {e.name}", "failing", *label) for e in EXTRACTS for i, label in enumerate(_check_labels(e.name))]
+    for paying, invoices in INVOICES.items():
+        own = (named(paying).source_system, paying.split("/")[1])
+        found += [(f"paid {paying}", measure, *own, label) for measure, label in
+                  (("again", REPEATED_PAYMENTS), ("several", SEVERAL_PAYMENTS), ("beyond", BEYOND_TOTAL))]
+        found.append((f"orphans {invoices}", "orphans", named(invoices).source_system, invoices.split("/")[1], UNKNOWN_CUSTOMER))
+    found += [(f"shared {table}", "shared", "CROSS", table, SHARED_TAX_ID) for table in ("customers", "suppliers")]
+    return found + [(f"codes {name}", "keys", "CROSS", "products", NO_COMMON_CODE) for name in PRODUCT_CODES]
 
 
 def findings(raw: Extracts) -> DataFrame:
-    """The consolidated list of findings with the number of values, rows or keys each one
-    affects. Extracts are scanned once for what their rows tell, and once more for each
-    comparison with another extract."""
-    parts = [_extract_findings(raw, e.name) for e in EXTRACTS]
-    parts += [_payment_findings(raw, *x) for x in (("SOURCE_A", "source_a/payments"), ("SOURCE_B", "source_b/pagos"))]
-    for name, key, parent, parent_key in RELATIONS:
-        if name in ("source_a/invoices", "source_b/facturas"):
-            lost = orphan_rows(raw, name, key, parent, parent_key).agg(F.count("*").alias("n"))
-            parts.append(_entries(lost, {"n": (named(name).source_system, name.split("/")[1], UNKNOWN_CUSTOMER)}))
-    for table, shared in (("customers", customer_overlap(raw)), ("suppliers", supplier_overlap(raw))):
-        parts.append(_entries(shared.agg(F.count("*").alias("n")), {"n": ("CROSS", table, SHARED_TAX_ID)}))
-    rows = union(parts).groupBy(*FINDING).agg(F.coalesce(F.sum("affected_rows"), F.lit(0)).alias("affected_rows"))
+    """The consolidated list of findings with the number of values, rows or keys each one affects.
+
+    Every extract is scanned once: its rows emit their checks and all keys that any finding needs, and three aggregates, by
+    business key, by key and by domain, turn them into one row of measures for each domain."""
+    totals = _domain_totals(union([k.tagged(raw[e.name], _finding_tags(raw[e.name], e.name), CARRIED) for e in EXTRACTS]))
+    measures = [c for c in totals.columns if c != "domain"]
+    values = F.create_map(*[x for m in measures for x in (F.lit(m), F.col(m).cast("bigint"))])
+    labels = [F.struct(*[F.lit(x).alias(n) for n, x in zip(["domain", "measure", *FINDING], (domain, measure, source, table, *label))])
+              for domain, measure, source, table, label in _labels()]
+    wanted = totals.sparkSession.range(1).select(F.explode(F.array(*labels)).alias("l")).select("l.*")
+    rows = wanted.join(totals.select("domain", values.alias("values")), "domain", "left")
+    rows = rows.groupBy(*FINDING).agg(F.coalesce(F.sum(F.col("values")[F.col("measure")]), F.lit(0)).alias("affected_rows"))
     return rows.select("source", "table", "issue", "affected_rows", "tolerance", "action")
 
 
@@ -281,6 +328,7 @@ def profile(raw: Extracts) -> dict[str, DataFrame]:
     raw = parsed_once(raw)
     return {
         "null_columns": table_profiles(raw),
+        "column_types": column_types(raw),
         "row_profiles": row_profiles(raw),
         "whitespace": whitespace(raw),
         "missing_ids": missing_ids(raw),

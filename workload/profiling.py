@@ -232,6 +232,24 @@ def null_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return job.table_profiles(RawExtracts(spark, folder))
 
 
+def _bits(c: str) -> str:
+    dates = " OR ".join(f"TRY_STRPTIME({c}, '{f}') IS NOT NULL" for f in sql.DATE_FORMATS.values())
+    return (f"CASE WHEN regexp_matches({c}, '{p.WHOLE_TEXT}') THEN {p.WHOLE} WHEN regexp_matches({c}, '{p.DECIMAL_TEXT}') THEN {p.DECIMAL} "
+            f"WHEN regexp_matches({c}, '{p.BOOL_TEXT}') THEN {p.BOOL} WHEN {dates} THEN {p.DATE} ELSE {p.TEXT} END")
+
+
+@query("extract_types", " UNION ALL ".join(
+    f"""SELECT {_label(e.name)}, '{c}' AS "column",
+               CASE bit_or({_bits(f'"{c}"')}) FILTER (NOT {blank(f'"{c}"')})
+                 WHEN 1 THEN 'bool' WHEN 2 THEN 'whole' WHEN 4 THEN 'decimal' WHEN 6 THEN 'decimal' WHEN 8 THEN 'date'
+                 ELSE CASE WHEN bool_and({blank(f'"{c}"')}) THEN 'nothing' ELSE 'text' END END AS type,
+               count(*) FILTER (NOT {blank(f'"{c}"')}) AS known, count(*) FILTER ({blank(f'"{c}"')}) AS missing
+        FROM ({raw_sql(e.name)})""" for e in EXTRACTS for c in e.columns))
+def extract_types(spark: SparkSession, folder: str) -> DataFrame:
+    """What type the values of every column of every extract have together."""
+    return job.column_types(RawExtracts(spark, folder))
+
+
 @query("whitespace_sweep", " UNION ALL ".join(
     f"""SELECT {_label(e.name)}, '{c}' AS "column", count(*) FILTER ({strip(f'"{c}"')} <> "{c}") AS rows_with_spaces
         FROM ({raw_sql(e.name)}) HAVING rows_with_spaces > 0""" for e in EXTRACTS for c in e.columns))
