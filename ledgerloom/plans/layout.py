@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.sources.manifest import StoredTable
 from ledgerloom.sources.schemas import SHOP, STAR, shop_schema, star_schema
 from ledgerloom.sources.storage import Folder
 
 FOLDER_ROWS = 20_000_000
+ARCHIVE = "archive"
 
 
 def create_tables(spark: SparkSession, database: str, model: str = "star") -> None:
@@ -77,6 +79,18 @@ def archive_months(spark: SparkSession, active: str, archive: str, cutoff: date)
     return old
 
 
+def month_part(moment: str) -> Column:
+    return F.date_format(moment, "yyyy-MM")
+
+
+def archive_listed(table: StoredTable, moment: str, archive: str, cutoff: date) -> list[str]:
+    """Move the months that end by the cutoff to the archive: copied by one job, switched in one step, and only then deleted
+    where they were. A run that stops in between leaves a table that reads as before or after, and the next one cleans up."""
+    moved = table.move([n for n in table.manifest().names() if n < f"{cutoff:%Y-%m}"], ARCHIVE, archive, month_part(moment))
+    table.remove_unlisted(archive)
+    return moved
+
+
 def read_months(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table written by month, without its folder columns."""
     full = T.StructType([*schema.fields, T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import events as ev
 from ledgerloom.operators.keys import assign_keys
 from ledgerloom.plans import conform as job
-from ledgerloom.plans.publish import KEYS, REFERENCES, build_table, current, publish, reconcile, resolve, write_quality
+from ledgerloom.plans.publish import KEYS, REFERENCES, build_table, current, export_pending, publish, resolve, write_quality
 from ledgerloom.plans.staging import accepted, staged_types
 from ledgerloom.session import cut, fresh_path
 from ledgerloom.sources import files
@@ -195,5 +195,14 @@ def star_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query("reconcile_counts", consolidation(" UNION ALL ".join(
     f"SELECT '{n}' AS \"table\", count(*) AS rows FROM {t} WHERE reject IS NULL" for n, t in STAGED.items())))
 def reconcile_counts(spark: SparkSession, folder: str) -> DataFrame:
-    staged = job.conform(RawExtracts(spark, folder))
-    return reconcile({name: accepted(rows) for name, rows in staged.items()})
+    """Rows per table as they were counted while the version was written."""
+    counts = publish(job.conform(RawExtracts(spark, folder)), fresh_path(spark), "v1", LOADED_AT)
+    return spark.createDataFrame(list(counts.items()), "table string, rows long")
+
+
+@query("pending_counts", consolidation(" UNION ALL ".join(
+    f"SELECT '{n}_pending_rows' AS \"table\", count(*) AS rows FROM {t} WHERE reject IS NULL" for n, t in STAGED.items())))
+def pending_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per CSV table that waits for its database, counted as they were written."""
+    counts = export_pending(job.conform(RawExtracts(spark, folder)), fresh_path(spark))
+    return spark.createDataFrame(list(counts.items()), "table string, rows long")
