@@ -25,6 +25,17 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def unused(docs: DataFrame, *names: str) -> list[str]:
+    """Column names that a table does not have, made from these by underscores."""
+    taken, found = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def by_value(module: str) -> None:
     """Ship a module's functions to the workers themselves, so that tasks need not import this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

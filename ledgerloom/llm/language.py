@@ -5,13 +5,12 @@ ways to cut it into pieces, which a forward pass works out; a text's likelihood
 probabilities come from labelled documents by expectation maximisation over the same segmentations.
 
 Words are taken between white space, lower-cased, with the vocabulary's space mark in front, as UTF-8 bytes; a byte that is
-no piece itself counts as its byte piece, so that every word has a segmentation. Words of over ``LONGEST`` bytes are cut
-into parts of that length.
+no piece itself counts as its byte piece, so that every word has a segmentation. A long word is cut where no piece of the
+vocabulary reaches across, which changes no sum; parts that stay longer than ``LONGEST`` bytes are summed in logarithms.
 """
 
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict
 from functools import cached_property
 
@@ -29,9 +28,11 @@ SAMPLE_DOCS = 1_000
 STEPS = 2  # of expectation maximisation
 UNSEEN = 0.1  # what a piece counts at least
 FLOOR = 1e-8  # least probability; the product over LONGEST bytes is still a positive number
-LONGEST = 32
-MAX_WORDS = 300_000  # results of words that a worker keeps
-LETTER = re.compile(r"[^\W\d_]")
+LONGEST = 32  # bytes of the words whose probabilities are summed as they are
+CELLS = 1 << 19  # words times bytes that are summed at a time
+MAX_WORDS = 200_000  # results of words that a worker keeps
+MAX_CHARS = 4 << 20  # characters of these words
+LETTER = r"\p{L}"
 UNDETERMINED = "und"
 LEARNING_FOLDS = 5
 
@@ -40,9 +41,36 @@ def words(text: str) -> list[str]:
     return text.lower().split()
 
 
-def parts(word: str) -> list[bytes]:
-    raw = (MARK + word).encode()
-    return [raw[k:k + LONGEST] for k in range(0, len(raw), LONGEST)]
+def parts(word: str, joined: set[str]) -> list[bytes]:
+    """A word whole, or, if it is long, cut between characters that stand side by side in no piece."""
+    word = MARK + word
+    raw = word.encode()
+    if len(raw) <= LONGEST:
+        return [raw]
+    out, start = [], 0
+    for at in range(1, len(word)):
+        if at - start >= LONGEST // 4 and word[at - 1:at + 1] not in joined:
+            out.append(word[start:at].encode())
+            start = at
+    return [*out, word[start:].encode()]
+
+
+def joined_characters(vocabulary: Vocabulary) -> set[str]:
+    """Every two characters that some piece has side by side."""
+    return {p[k:k + 2] for p, kind in zip(vocabulary.pieces, vocabulary.kinds) if kind == NORMAL for k in range(len(p) - 1)}
+
+
+def in_portions(rows: list, size: Callable[[tuple], int]) -> Iterator[tuple[list, bool]]:
+    """Rows, longest first, by so many that their table has about ``CELLS`` cells; and whether they are long."""
+    at = 0
+    while at < len(rows):
+        longest = size(rows[at])
+        stop = at + max(1, CELLS // max(longest, 1))
+        if longest > LONGEST:
+            while stop > at + 1 and size(rows[min(stop, len(rows)) - 1]) <= LONGEST:
+                stop = at + max(1, (min(stop, len(rows)) - at) // 2)  # words that are not long are summed as they are
+        yield rows[at:stop], longest > LONGEST
+        at = stop
 
 
 class Pieces:
@@ -55,8 +83,6 @@ class Pieces:
             if kind not in (NORMAL, BYTE):
                 continue
             raw = piece.encode() if kind == NORMAL else bytes([int(piece[3:5], 16)])
-            if len(raw) > LONGEST:
-                continue
             node = 0
             for b in raw:
                 node = tree.setdefault(node << 8 | b, len(tree) + 1)
@@ -102,34 +128,53 @@ class Model:
     def pieces(self) -> Pieces:
         return Pieces(self.vocabulary)
 
+    @cached_property
+    def joined(self) -> set[str]:
+        return joined_characters(self.vocabulary)
+
     def log_likelihoods(self, words: list[bytes]) -> np.ndarray:
         """Log-likelihood of every word (rows, longest first) under every language."""
-        longest = len(words[0]) if words else 0
-        forward = np.zeros((longest + 1, len(words), len(self.languages)))
-        forward[0] = 1.0
+        out = [self._sums(some, is_long) for some, is_long in in_portions(words, len)]
+        return np.concatenate(out) if out else np.zeros((0, len(self.languages)))
+
+    def _sums(self, words: list[bytes], is_long: bool) -> np.ndarray:
+        forward = np.full((len(words[0]) + 1, len(words), len(self.languages)), -np.inf if is_long else 0.0)
+        forward[0] = 0.0 if is_long else 1.0
+        probability = np.log(self.probability) if is_long else self.probability
         for start, end, rows, piece in self.pieces.matches(words):
-            forward[end, rows] += forward[start, rows] * self.probability[piece]
-        return np.log(forward[[len(w) for w in words], np.arange(len(words))])
+            if is_long:
+                forward[end, rows] = np.logaddexp(forward[end, rows], forward[start, rows] + probability[piece])
+            else:
+                forward[end, rows] += forward[start, rows] * probability[piece]
+        sums = forward[[len(w) for w in words], np.arange(len(words))]
+        return sums if is_long else np.log(sums)
 
     def expected(self, words: list[bytes], language: np.ndarray, count: np.ndarray) -> np.ndarray:
         """How often each piece is expected in the words (longest first) of each language: pieces by languages."""
         found = np.zeros(self.probability.shape)
-        if not words:
-            return found
-        steps = [(s, e, rows, piece, self.probability[piece, language[rows]]) for s, e, rows, piece in self.pieces.matches(words)]
-        forward = np.zeros((len(words[0]) + 1, len(words)))
-        backward = np.zeros_like(forward)
+        at = 0
+        for some, _ in in_portions(words, len):
+            here = slice(at, at + len(some))
+            self._expect(some, language[here], count[here], found)
+            at += len(some)
+        return found
+
+    def _expect(self, words: list[bytes], language: np.ndarray, count: np.ndarray, found: np.ndarray) -> None:
+        logs = np.log(self.probability)
+        steps = [(s, e, rows, piece, logs[piece, language[rows]]) for s, e, rows, piece in self.pieces.matches(words)]
+        forward = np.full((len(words[0]) + 1, len(words)), -np.inf)
+        backward = forward.copy()
         lengths, every = [len(w) for w in words], np.arange(len(words))
-        forward[0] = 1.0
+        forward[0] = 0.0
         for start, end, rows, _, p in steps:
-            forward[end, rows] += forward[start, rows] * p
-        backward[lengths, every] = 1.0
+            forward[end, rows] = np.logaddexp(forward[end, rows], forward[start, rows] + p)
+        backward[lengths, every] = 0.0
         for start, end, rows, _, p in reversed(steps):
-            backward[start, rows] += p * backward[end, rows]
-        share = count / forward[lengths, every]
+            backward[start, rows] = np.logaddexp(backward[start, rows], p + backward[end, rows])
+        total = forward[lengths, every]
         for start, end, rows, piece, p in steps:
-            np.add.at(found, (piece, language[rows]), share[rows] * forward[start, rows] * p * backward[end, rows])
-        return found
+            share = count[rows] * np.exp(forward[start, rows] + p + backward[end, rows] - total[rows])
+            np.add.at(found, (piece, language[rows]), share)
 
 
 class Scorer:
@@ -138,17 +183,17 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.table = np.zeros((0, len(model.languages)))
 
     def learn(self, fresh: set[str]) -> None:
-        cut_up = [(w, part) for w in fresh for part in parts(w)]
+        joined = self.model.joined
+        cut_up = [(k, part) for k, w in enumerate(fresh) for part in parts(w, joined)]
         cut_up.sort(key=lambda x: -len(x[1]))
-        place = {w: k for k, w in enumerate(fresh, len(self.known))}
         more = np.zeros((len(fresh), len(self.model.languages)))
-        for k in range(0, len(cut_up), 20_000):
-            some = cut_up[k:k + 20_000]
-            np.add.at(more, [place[w] - len(self.known) for w, _ in some], self.model.log_likelihoods([part for _, part in some]))
-        self.known.update(place)
+        np.add.at(more, [k for k, _ in cut_up], self.model.log_likelihoods([part for _, part in cut_up]))
+        self.known.update({w: k for k, w in enumerate(fresh, len(self.known))})
+        self.chars += sum(map(len, fresh))
         self.table = np.concatenate([self.table, more])
 
     def total(self, found: list[str]) -> np.ndarray:
@@ -159,17 +204,18 @@ class Scorer:
             try:
                 rows = [self.known[w] for w in some]
             except KeyError:
-                if len(self.known) > MAX_WORDS:
-                    self.known, self.table = {}, self.table[:0]
+                if len(self.known) > MAX_WORDS or self.chars > MAX_CHARS:
+                    self.known, self.chars, self.table = {}, 0, np.zeros_like(self.table[:0])
                 self.learn({w for w in some if w not in self.known})
                 rows = [self.known[w] for w in some]
             sums += self.table[rows].sum(axis=0)
         return sums
 
     def score_all(self, texts: list[str | None]) -> Iterator[tuple[str, float]]:
-        """The language of each text and its posterior probability, all languages being equally likely beforehand."""
+        """The language of each text and its posterior probability, all languages being equally likely beforehand. A null text
+        is undetermined."""
         for k in range(0, len(texts), 200):
-            found = [words(t) if t and LETTER.search(t) else [] for t in texts[k:k + 200]]
+            found = [words(t) if t else [] for t in texts[k:k + 200]]
             self.total([w for some in found for w in some])  # the words of many texts are learned at once
             for some in found:
                 if not some or not self.model.languages:
@@ -193,20 +239,23 @@ def shipped_model(spark, model: Model):
     return ship(spark, vocabulary=asdict(model.vocabulary), languages=model.languages, probability=model.probability)
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        counts: Counter = Counter()
-        for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
-            counts.update((lang, w) for w in words(text))
-        cut_up: Counter = Counter()
-        for (lang, w), n in counts.items():
-            for part in parts(w):
-                cut_up[lang, part] += n
-        counts = cut_up
-        langs, found = zip(*counts) if counts else ((), ())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(found, pa.binary()), pa.array(counts.values(), pa.int64())], ["lang", "word", "n"]
-        )
+def _count_words(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = kept(model, model_of).joined
+        for batch in batches:
+            counts: Counter = Counter()
+            for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
+                counts.update((lang, w) for w in words(text))
+            cut_up: Counter = Counter()
+            for (lang, w), n in counts.items():
+                for part in parts(w, joined):
+                    cut_up[lang, part] += n
+            langs, found = zip(*cut_up) if cut_up else ((), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(langs, pa.string()), pa.array(found, pa.binary()), pa.array(cut_up.values(), pa.int64())], ["lang", "word", "n"]
+            )
+
+    return run
 
 
 def _expect(model):
@@ -246,26 +295,25 @@ def fit(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", lang
         return Model(vocabulary, [], start)
     shares = F.create_map(*[F.lit(x) for k in languages for x in (k, min(parts, -(-parts * sample_docs // totals[k])))])
     sample = labelled.where(F.pmod("hash", F.lit(parts)) < shares[F.col("lang")]).dropDuplicates(["lang", "hash"])
-    counted = sample.select("lang", "text").mapInArrow(_count_words, "lang string, word binary, n long")
-    counted = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     model = Model(vocabulary, languages, start)
+    shipped = shipped_model(spark, model)
+    counted = sample.select("lang", "text").mapInArrow(_count_words(shipped), "lang string, word binary, n long")
+    counted = cut(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     for _ in range(STEPS):
+        shipped.destroy()
         shipped = shipped_model(spark, model)
         expected = counted.mapInArrow(_expect(shipped), "language long, piece long, n double")
         sums = expected.groupBy("language", "piece").agg(F.sum("n").alias("n")).toArrow()
         counts = np.full(start.shape, UNSEEN)
         counts[sums["piece"].to_numpy(), sums["language"].to_numpy()] += sums["n"].to_numpy()
         model = Model(vocabulary, languages, np.maximum(counts / counts.sum(axis=0), FLOOR))
+    shipped.destroy()
     return model
 
 
 def has_letter(text: Column) -> Column:
-    """Whether a text has a letter, as the scorer sees it; a null text has none."""
-
-    def of(texts: pa.Array) -> pa.Array:
-        return pa.array([bool(t and LETTER.search(t)) for t in texts.to_pylist()], pa.bool_())
-
-    return array_udf(lambda: of, "boolean")(text)
+    """Whether a text has a letter in the sense of Unicode; a null text has none."""
+    return F.coalesce(text.rlike(LETTER), F.lit(False))
 
 
 def predict(text: Column, model: Model, docs: DataFrame) -> Column:
@@ -282,7 +330,7 @@ def predict(text: Column, model: Model, docs: DataFrame) -> Column:
 
         return of
 
-    return array_udf(make, "struct<lang_pred:string,score:double>")(text)
+    return array_udf(make, "struct<lang_pred:string,score:double>")(F.when(has_letter(text), text))
 
 
 def identify(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
@@ -298,15 +346,17 @@ def identify(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text",
 
 
 def drop_undetermined(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """``docs`` without the documents that have no language: a null text, or no letter in it.
+    """``docs`` without the documents that have no language, and with the language found as their ``lang``.
 
-    Where nothing can be learned, every text with a letter stays.
+    A null text and one without a letter have no language. Where nothing can be learned, every text with a letter stays and keeps
+    its ``lang``. Repeated rows repeat their results, an empty table gives an empty result; columns of any name come back as
+    they are.
     """
     model = fit(docs, path, id, text, lang)
     if not model.languages:
         return docs.where(has_letter(F.col(text)))
-    found = docs.withColumn("_language", predict(F.col(text), model, docs))
-    return found.where(F.col("_language.lang_pred") != UNDETERMINED).select(*docs.columns)
+    # Every text with a letter gets a language; said so, the filter needs no second look at the model.
+    return docs.where(has_letter(F.col(text))).withColumn(lang, predict(F.col(text), model, docs)["lang_pred"])
 
 
 by_value(__name__)
