@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import array_udf, by_value
+from ledgerloom.llm.common import array_udf, by_value, unused
 from ledgerloom.session import cut
 
 FAN = 8
@@ -110,15 +110,19 @@ def exact_groups(docs: DataFrame, id: str = "doc_id", text: str = "text", larges
 
 
 def drop_exact_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", largest: bool = False) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, that of the kept id; of rows that repeat it, any one."""
-    known, number = F.col("id").isNotNull().alias("_known"), F.coalesce("id", F.lit(0)).alias("_id")
-    kept = exact_groups(docs, id, text, largest).where("kept").select(known, number, F.col("sha").alias("_sha")).distinct()
-    keys = ["_known", "_id", "_sha"]
-    keyed = docs.withColumn("_digest", text_digest(F.col(text))).select(
-        *docs.columns, F.col(id).isNotNull().alias("_known"), F.coalesce(id, F.lit(0)).alias("_id"), F.col("_digest.sha").alias("_sha")
+    """``docs`` with one row of each group of equal texts, that of the kept id; of rows that repeat it, any one.
+
+    Null and empty texts are one group; a row with a null id stays only if its whole group has null ids. An empty table gives an
+    empty result. Columns of any name come back as they are.
+    """
+    digest, again, *keys = unused(docs, "digest", "again", "known", "number", "sha")
+    known, number = F.col("id").isNotNull(), F.coalesce("id", F.lit(0))
+    kept = exact_groups(docs, id, text, largest).where("kept").select(known.alias(keys[0]), number.alias(keys[1]), F.col("sha").alias(keys[2]))
+    keyed = docs.withColumn(digest, text_digest(F.col(text))).select(
+        *docs.columns, F.col(id).isNotNull().alias(keys[0]), F.coalesce(id, F.lit(0)).alias(keys[1]), F.col(f"{digest}.sha").alias(keys[2])
     )
-    again = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
-    return keyed.join(kept, keys, "left_semi").withColumn("_again", again).where("_again = 1").select(*docs.columns)
+    one = F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(1)))
+    return keyed.join(kept.distinct(), keys, "left_semi").withColumn(again, one).where(F.col(again) == 1).select(*docs.columns)
 
 
 by_value(__name__)

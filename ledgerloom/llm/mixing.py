@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerloom.llm.common import unused
 from ledgerloom.llm.feistel import hash60, permute
 from ledgerloom.operators.keys import assign_keys
 from ledgerloom.session import cut
@@ -279,16 +280,19 @@ def deal(mixed: DataFrame) -> DataFrame:
 def mix_documents(docs: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:
     """``docs`` as whole documents in mix proportions: a row comes as often as the mix takes it, not at all or up to ``CAP`` times.
 
-    The copies stand by shard and by their block's shuffled order in it; the documents of a block stay together.
+    The copies stand by shard and by their block's shuffled order in it; the documents of a block stay together. Null sources are
+    one source, a null text has no words. Rows that agree in id and text share what the mix takes of them. An empty table gives
+    an empty result. Columns of any name come back as they are.
     """
+    row_hash, place, shard, order = unused(docs, "row_hash", "place", "shard", "order")
+    copy_id, copy_hash, copy_places = unused(docs, "copy_id", "copy_hash", "copy_places")
     mixed = mix(docs, id, text, source, seed=seed, whole=True)
     places = F.transform("pieces", lambda p: F.struct(p["shard"].alias("shard"), p["order"].alias("order")))
-    copies = mixed.where(F.size("pieces") > 0).select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.struct(F.size("pieces"), places.alias("places")).alias("_mixed"))
-    # Rows that agree in id and text share what the mix takes of them.
-    copies = copies.groupBy("_id", "_hash").agg(F.max("_mixed").alias("_mixed"))
-    copies = cut(copies.select("_id", F.col("_hash").alias("_key"), F.col("_mixed.places").alias("_places")))
-    keyed = docs.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(id), F.col(text)))
-    same = keyed["_hash"].eqNullSafe(copies["_key"]) & keyed[id].eqNullSafe(copies["_id"])
-    dealt = keyed.join(copies, same).select(*[keyed[c] for c in docs.columns], "_hash", F.explode("_places").alias("_place"))
-    dealt = dealt.select(*docs.columns, "_hash", F.col("_place.shard").alias("_shard"), F.col("_place.order").alias("_order"))
-    return dealt.repartitionByRange("_shard", "_order").sortWithinPartitions("_shard", "_order", "_hash").select(*docs.columns)
+    copies = mixed.where(F.size("pieces") > 0).select("doc_id", "hash", F.struct(F.size("pieces"), places.alias("places")).alias("taken"))
+    copies = copies.groupBy("doc_id", "hash").agg(F.max("taken").alias("taken"))
+    copies = cut(copies.select(F.col("doc_id").alias(copy_id), F.col("hash").alias(copy_hash), F.col("taken.places").alias(copy_places)))
+    keyed = docs.withColumn(row_hash, F.xxhash64(F.lit(seed), F.col(id), F.col(text)))
+    same = keyed[row_hash].eqNullSafe(copies[copy_hash]) & keyed[id].eqNullSafe(copies[copy_id])
+    dealt = keyed.join(copies, same).select(*[keyed[c] for c in docs.columns], row_hash, F.explode(copy_places).alias(place))
+    dealt = dealt.select(*docs.columns, row_hash, F.col(f"{place}.shard").alias(shard), F.col(f"{place}.order").alias(order))
+    return dealt.repartitionByRange(shard, order).sortWithinPartitions(shard, order, row_hash).select(*docs.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerloom.llm.common import array_udf, by_value
+from ledgerloom.llm.common import array_udf, by_value, unused
 from ledgerloom.llm.components import components
 from ledgerloom.session import cut
 
@@ -133,7 +133,7 @@ def simhash_components(docs: DataFrame, words: int, max_bits: int, id: str = "do
     Texts are lower-cased in A-Z and cut into shingles of ``words`` words at ASCII white space; a shorter text is one
     shingle, a text without words or a null one has fingerprint zero and is linked like any other. ``component_id`` is the
     smallest id that links of at most ``max_bits`` (0 to 3) bits reach, null ids aside. Repeated rows share a fingerprint. An empty
-    table gives an empty result.
+    table gives an empty result; other columns are not looked at.
     """
     narrow = cut(docs.select(F.col(id).alias("doc_id"), simhash(F.col(text), words).alias("fingerprint")))
     grouped = _connected(narrow, max_bits)
@@ -147,8 +147,10 @@ def simhash_components(docs: DataFrame, words: int, max_bits: int, id: str = "do
 def drop_near_copies(docs: DataFrame, words: int, max_bits: int, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, or any if all its ids are null.
 
-    Rows are told apart by id and text. Of a component's rows that share the smallest id, one text is kept, once.
+    Rows are told apart by id and text. Of a component's rows that share the smallest id, one text is kept, once. Null texts and
+    texts without words are one component; an empty table gives an empty result. Columns of any name come back as they are.
     """
+    same, turn, row_id, row_hash, row_count = unused(docs, "same", "turn", "row_id", "row_hash", "row_count")
     same_text = F.xxhash64(text)
     narrow = cut(docs.select(F.col(id).alias("doc_id"), same_text.alias("hash"), simhash(F.col(text), words).alias("fingerprint")))
     first = F.min(F.struct(F.col("least").isNull().alias("unknown"), "least", "fingerprint")).alias("first")
@@ -156,19 +158,19 @@ def drop_near_copies(docs: DataFrame, words: int, max_bits: int, id: str = "doc_
     kept = narrow.join(firsts, "fingerprint").where(F.col("doc_id").eqNullSafe(F.col("least")))
     kept = kept.groupBy("root", "doc_id", "hash").agg(F.count("*").alias("rows"))
     kept = kept.groupBy("root").agg(F.min(F.struct("doc_id", "hash", "rows")).alias("row"))
-    kept = cut(kept.select(F.col("row.doc_id").alias("_id"), F.col("row.hash").alias("_hash"), F.col("row.rows").alias("_rows")))
+    kept = cut(kept.select(F.col("row.doc_id").alias(row_id), F.col("row.hash").alias(row_hash), F.col("row.rows").alias(row_count)))
 
     def found(rows: DataFrame) -> DataFrame:
-        keyed = docs.withColumn("_same", same_text)
-        return keyed.join(rows, keyed["_same"].eqNullSafe(rows["_hash"]) & keyed[id].eqNullSafe(rows["_id"]), "left_semi")
+        keyed = docs.withColumn(same, same_text)
+        return keyed.join(rows, keyed[same].eqNullSafe(rows[row_hash]) & keyed[id].eqNullSafe(rows[row_id]), "left_semi")
 
-    once = found(kept.where("_rows = 1")).select(*docs.columns)
-    repeated = kept.where("_rows > 1")
+    once = found(kept.where(F.col(row_count) == 1)).select(*docs.columns)
+    repeated = kept.where(F.col(row_count) > 1)
     if repeated.isEmpty():
         return once
     # Only rows that come several times need a shuffle of whole documents.
-    number = F.row_number().over(Window.partitionBy(id, "_same").orderBy(F.lit(1)))
-    return once.union(found(repeated).withColumn("_number", number).where("_number = 1").select(*docs.columns))
+    number = F.row_number().over(Window.partitionBy(id, same).orderBy(F.lit(1)))
+    return once.union(found(repeated).withColumn(turn, number).where(F.col(turn) == 1).select(*docs.columns))
 
 
 by_value(__name__)
