@@ -4,7 +4,8 @@ A text is a sequence of symbols and a window is ``length`` of them in a row. Eve
 stretch in it with the least hash (the leftmost of equals). Equal windows have equal seeds at equal places, so windows need
 to be compared only where seeds agree. Neighbouring windows mostly share a seed and form one segment.
 
-1. Seeds are counted. A filter of a fixed size remembers those that come more than once.
+1. Seeds are counted. A filter remembers those that come more than once; when they are too many for it, segments are joined
+   with them by a shuffle.
 2. Segments with such seeds are compared as wholes by a hash of their symbols. Most repeats end here: all but the first of
    equal segments repeat it in every window.
 3. What is left is one segment of each kind. Where a seed has several kinds, they are handed to the operator's own method,
@@ -26,16 +27,18 @@ from pyspark.sql.window import Window
 
 from ledgerloom.llm.common import by_value, packed, ship, unpacked
 from ledgerloom.llm.hashing import Stretches, mix
+from ledgerloom.operators.joins import lookup
 from ledgerloom.session import cut
 
-FILTER_BITS = 27  # the filter has 2 ** 27 bits, 16 MB, whatever the input; beyond its capacity it lets more seeds pass
+FILTER_BITS = 27  # the filter has 2 ** 27 bits, 16 MB, whatever the input
+FILTER_SEEDS = 1 << 23  # repeated seeds that it is used for, at most
 KINDS = 1024  # segments of one seed that are compared in one group
 CHUNK = 1 << 16  # symbols that are hashed at a time
 
 NAMES = ["doc_id", "tie", "first", "n", "seed", "kind", "times"]
-TYPES = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.binary()]
-RANGE = "doc_id long, tie int, first long, n long"
-SEGMENT = "doc_id long, tie int, first long, n long, seed long, kind long, times long"
+TYPES = [*[pa.int64()] * 7, pa.binary()]
+RANGE = "doc_id long, tie long, first long, n long"
+SEGMENT = "doc_id long, tie long, first long, n long, seed long, kind long, times long"
 PART = f"{SEGMENT}, symbols binary"
 
 
@@ -92,20 +95,27 @@ def segments(sequences: list[np.ndarray], scheme: Scheme) -> Found:
 
 
 def in_chunks(batch: pa.RecordBatch, scheme: Scheme, of: Callable[[bytes], np.ndarray]) -> Iterator[tuple[list[int], Found]]:
-    """Row numbers of some texts of the batch, and their segments."""
-    rows, sequences, total = [], [], 0
-    for row, raw in enumerate(batch.column("text").cast(pa.binary()).to_pylist()):
-        symbols = of(raw or b"")
-        if len(symbols) < scheme.length:
-            continue
-        rows.append(row)
-        sequences.append(symbols)
-        total += len(symbols)
-        if total >= CHUNK:
-            yield rows, segments(sequences, scheme)
-            rows, sequences, total = [], [], 0
+    """Row numbers of some texts of the batch, and their segments. A long text is taken in stretches that share a window less
+    one symbol, so that every window is in one of them."""
+    rows, starts, sequences, total = [], [], [], 0
+
+    def found() -> tuple[list[int], Found]:
+        here = segments(sequences, scheme)
+        here.first = here.first + np.array(starts, dtype=np.int64)[here.text]
+        return rows, here
+
+    for row, raw in enumerate(batch.column("text").cast(pa.binary())):
+        symbols = of(raw.as_py() or b"")
+        for start in range(0, len(symbols) - scheme.length + 1, CHUNK):
+            rows.append(row)
+            starts.append(start)
+            sequences.append(symbols[start:start + CHUNK + scheme.length - 1])
+            total += len(sequences[-1])
+            if total >= CHUNK:
+                yield found()
+                rows, starts, sequences, total = [], [], [], 0
     if rows:
-        yield rows, segments(sequences, scheme)
+        yield found()
 
 
 def _collected(batch: pa.RecordBatch, scheme: Scheme, of, passes: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, Found]:
@@ -127,12 +137,17 @@ def _seed_counts(scheme: Scheme):
     return run
 
 
-def repeated_seeds(docs: DataFrame, scheme: Scheme) -> np.ndarray:
-    """A bitmap of the low bits of all seeds that come more than once."""
+def repeated_seeds(docs: DataFrame, scheme: Scheme) -> DataFrame:
+    """``seed``: those that come more than once."""
     counts = docs.select("text").mapInArrow(_seed_counts(scheme), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+    return cut(counts.where(F.col("n") > 1).select("seed"))
+
+
+def seed_filter(seeds: DataFrame) -> np.ndarray:
+    """A bitmap of the seeds' low bits."""
     word = F.expr(f"shiftright(seed & {(1 << FILTER_BITS) - 1}L, 6)").alias("word")
     bits = F.expr("bit_or(shiftleft(1L, cast(seed & 63 AS int)))").alias("bits")
-    words = counts.where(F.col("n") > 1).groupBy(word).agg(bits).toArrow()
+    words = seeds.groupBy(word).agg(bits).toArrow()
     bitmap = np.zeros(1 << (FILTER_BITS - 6), dtype=np.int64)
     bitmap[words["word"].to_numpy()] = words["bits"].to_numpy()
     return bitmap
@@ -178,7 +193,7 @@ def _segments(scheme: Scheme, shipped, keep_first: bool):
     """Segments whose seeds may repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, passes = scheme.of(), _passes(shipped.value["bitmap"])
+        of, passes = scheme.of(), _passes(shipped.value["bitmap"]) if shipped else None
         for batch in batches:
             yield pa.RecordBatch.from_arrays(_merged(batch, *_collected(batch, scheme, of, passes), keep_first), NAMES)
 
@@ -196,9 +211,9 @@ def joined(owner: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndar
 
 
 def keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Texts with their id, and a hash that tells rows of one id apart."""
+    """Texts with their id, and a 64-bit hash that tells rows of one id apart."""
     body = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(F.col(id).alias("doc_id"), F.hash(body).alias("tie"), body.alias("text"))
+    return docs.select(F.col(id).alias("doc_id"), F.xxhash64(body).alias("tie"), body.alias("text"))
 
 
 def same_document(a: DataFrame, b: DataFrame) -> Column:
@@ -263,19 +278,21 @@ def as_ranges(rows: list[tuple], owner: np.ndarray, place: np.ndarray) -> pa.Rec
     found = [(*rows[o][1:3], rows[o][3] + p, k) for o, p, k in zip(owner.tolist(), place.tolist(), n.tolist())]
     columns = list(zip(*found)) if found else [()] * 4
     return pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int32(), pa.int64(), pa.int64()])], ["doc_id", "tie", "first", "n"]
+        [pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 4)], ["doc_id", "tie", "first", "n"]
     )
 
 
 def covered(size: int, ranges: list[dict] | None, length: int) -> np.ndarray:
     """Which symbols the windows of the ranges cover."""
-    if not ranges:
-        return np.zeros(size, dtype=bool)
-    first = np.array([r["first"] for r in ranges])
-    steps = np.zeros(size + 1, dtype=np.int64)
-    np.add.at(steps, first, 1)
-    np.add.at(steps, first + np.array([r["n"] for r in ranges]) - 1 + length, -1)
-    return np.cumsum(steps[:-1]) > 0
+    gone = np.zeros(size, dtype=bool)
+    if ranges:
+        first = np.array([r["first"] for r in ranges])
+        order = np.argsort(first)
+        first, end = first[order], np.maximum.accumulate((first + np.array([r["n"] for r in ranges]) - 1 + length)[order])
+        head = np.flatnonzero(np.append(True, first[1:] > end[:-1]))
+        for start, stop in zip(first[head].tolist(), end[np.append(head[1:], len(end)) - 1].tolist()):
+            gone[start:stop] = True
+    return gone
 
 
 def _compared(rows: DataFrame, keep_first: bool) -> DataFrame:
@@ -293,12 +310,20 @@ def repeated_windows(texts: DataFrame, scheme: Scheme, solve: Callable, keep_fir
     """``RANGE`` rows: the windows that come elsewhere too, or, with ``keep_first``, that come earlier too (in a document of a
     smaller id, or earlier in the same one; null ids are smallest, rows of one id follow a hash of their texts). ``solve``
     maps partitions of ``PART`` rows, sorted by seed, to such ranges. Ranges may overlap."""
-    shipped = ship(texts.sparkSession, bitmap=repeated_seeds(texts, scheme))
-    every = cut(texts.mapInArrow(_segments(scheme, shipped, keep_first), SEGMENT))
+    seeds = repeated_seeds(texts, scheme)
+    if seeds.count() <= FILTER_SEEDS:
+        shipped = ship(texts.sparkSession, bitmap=seed_filter(seeds))
+        every = cut(texts.mapInArrow(_segments(scheme, shipped, keep_first), SEGMENT))
+    else:
+        rows = texts.mapInArrow(_segments(scheme, None, keep_first), SEGMENT)
+        # What a batch has settled has no seed any more.
+        every = cut(rows.where(F.col("seed").isNotNull()).join(seeds, "seed", "left_semi").select(*rows.columns)
+                    .union(rows.where(F.col("seed").isNull())))
     one = cut(_compared(every.where(F.col("seed").isNotNull()), keep_first).drop("kind", "times"))
     kinds = one.where("goes_on")
     many = kinds.groupBy("seed").agg(F.count("*").alias("kinds"), F.min("repeats").alias("done")).where("kinds > 1 and not done")
-    open_ = kinds.join(many, "seed").withColumn("crowded", F.col("kinds") > KINDS)
+    open_ = lookup(kinds, cut(many.select("seed", "kinds")), {"seed": "seed"}, {"kinds": "kinds"}).where("kinds IS NOT NULL")
+    open_ = open_.withColumn("crowded", F.col("kinds") > KINDS)
     parts = with_ranges(texts, open_, ["seed", "first", "n", "crowded"]).where(F.col("ranges").isNotNull())
     parts = cut(parts.mapInArrow(_parts(scheme, keep_first), PART))
     solved = parts.where(F.col("symbols").isNotNull()).repartition("seed").sortWithinPartitions("seed").mapInArrow(solve, RANGE)
