@@ -113,3 +113,19 @@ def test_sorted_files(spark, tmp_path):
     orders = generate.orders(generate.series(spark, 500), AS_OF)
     layout.write_sorted(orders, str(tmp_path / "o"), ["OrderDate"])
     assert spark.read.parquet(str(tmp_path / "o")).count() == 500
+
+
+def test_statistics_are_known_after_analyzing_only(spark, tmp_path):
+    rows = spark.range(100).selectExpr("id", "IF(id % 4 = 0, NULL, id * 0.5D) AS half", "'x' AS text")
+    rows.write.parquet(str(tmp_path / "t"))
+    names = layout.catalogue(spark, "statistics_test", {"t": str(tmp_path / "t")})
+    found = {r.column: r for r in layout.column_statistics(spark, names).collect()}
+    assert set(found) == {"id", "half"}
+    assert (found["id"].rows, found["id"].nulls, found["id"].lowest, found["id"].highest) == (100, 0, 0.0, 99.0)
+    assert (found["half"].nulls, found["half"].lowest, found["half"].highest) == (25, 0.5, 49.5)
+    assert 90 <= found["id"].distinct <= 110
+    spark.sql(f"CREATE TABLE statistics_test.fresh USING parquet LOCATION '{tmp_path / 't'}'")
+    fresh = layout.column_statistics(spark, ["statistics_test.fresh"]).collect()
+    assert all(r.rows is None and r.nulls is None and r.lowest is None for r in fresh)
+    spark.sql("DROP DATABASE statistics_test CASCADE")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 100

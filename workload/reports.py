@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.plans import reports
+from ledgerloom.plans import layout, reports
 from ledgerloom.plans.layout import write_sorted
 from ledgerloom.session import fresh_path
 from ledgerloom.sources import tables
@@ -112,3 +114,21 @@ FROM events WHERE ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2025-01-01'
 GROUP BY event_type ORDER BY total_changes DESC""")
 def audit_by_actor(spark: SparkSession, folder: str) -> DataFrame:
     return reports.audit_by_actor(tables.history(spark, folder), "2024-01-01", "2025-01-01")
+
+
+# The numeric columns of the tables that the sales reports join.
+NUMERIC = {"orders": ["o_orderkey", "o_custkey", "o_totalprice"],
+           "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+           "part": ["p_partkey", "p_size", "p_retailprice"], "customer": ["c_custkey", "c_nationkey", "c_acctbal"]}
+
+
+@query("column_statistics", " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls,
+               CAST(min({c}) AS DOUBLE) + 0 AS lowest, CAST(max({c}) AS DOUBLE) + 0 AS highest FROM {t}""" for t, columns in NUMERIC.items() for c in columns))
+def column_statistics(spark: SparkSession, folder: str) -> DataFrame:
+    """What the catalogue knows of the report tables after they were analyzed."""
+    database = f"statistics_{uuid.uuid4().hex[:12]}"
+    names = layout.catalogue(spark, database, {t: f"{folder}/{t}.parquet" for t in NUMERIC})
+    found = layout.column_statistics(spark, names).drop("distinct")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return found
