@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import by_value, ship
+from ledgerloom.llm.common import by_value, kept, ship
 from ledgerloom.llm.components import components
 from ledgerloom.llm.whitening import matrix, usable
 from ledgerloom.operators.joins import lookup
@@ -62,21 +62,10 @@ def plan_tables(rows: int, cosine: float) -> tuple[int, int]:
 
 
 class Codes:
-    """Rotations learned on sample rows, with as many bits as the tables need."""
+    """Hyperplanes whose sides are bits, in substrings of ``width`` bits, one for each table."""
 
-    def __init__(self, sample: np.ndarray, width: int, tables: int):
-        x = unit(sample)
-        self.width, self.tables = width, tables
-        self.mean = x.mean(axis=0)
-        if np.linalg.norm(self.mean) > CENTRED:
-            self.mean = np.zeros_like(self.mean)
-        centred = x - self.mean
-        _, _, axes = np.linalg.svd(centred.T @ centred)  # principal axes, strongest first
-        need, planes, seed = width * tables, [], 0
-        while sum(p.shape[1] for p in planes) < need:
-            planes.append(axes.T @ learn_rotation(centred @ axes.T, seed))
-            seed += 1
-        self.planes = np.concatenate(planes, axis=1)[:, :need]
+    def __init__(self, mean: np.ndarray, planes: np.ndarray, width: int):
+        self.mean, self.planes, self.width, self.tables = mean, planes, width, planes.shape[1] // width
 
     def keys(self, x: np.ndarray) -> np.ndarray:
         """The substrings of unit rows, one number for each table."""
@@ -85,6 +74,24 @@ class Codes:
         return bits.reshape(len(x), self.tables, self.width).astype(np.int64) @ places
 
 
+def learn_codes(sample: np.ndarray, width: int, tables: int) -> Codes:
+    """Rotations learned on sample rows, with as many bits as the tables need."""
+    x = unit(sample)
+    mean = x.mean(axis=0)
+    if np.linalg.norm(mean) > CENTRED:
+        mean = np.zeros_like(mean)
+    centred = x - mean
+    _, _, axes = np.linalg.svd(centred.T @ centred)  # principal axes, strongest first
+    planes: list[np.ndarray] = []
+    while sum(p.shape[1] for p in planes) < width * tables:
+        planes.append(axes.T @ learn_rotation(centred @ axes.T, len(planes)))
+    return Codes(mean, np.concatenate(planes, axis=1)[:, :width * tables], width)
+
+
+def codes_of(mean: np.ndarray, planes: np.ndarray, width: int, **_) -> Codes:
+    return Codes(mean, planes, width)
+
+
 def roots(linked: np.ndarray) -> np.ndarray:
     """The least member of each row's component of a symmetric matrix of links."""
     label = np.arange(len(linked))
@@ -143,7 +150,7 @@ LINKS = "cid long, links long, other long"
 
 def _keys(shipped) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
-        codes, dims = shipped.value["codes"], shipped.value["dims"]
+        codes, dims = kept(shipped, codes_of), shipped.value["dims"]
         for batch in batches:
             keys = codes.keys(unit(matrix(batch.column("vector"), dims)))
             again = pa.array(np.repeat(np.arange(batch.num_rows), codes.tables))
@@ -159,7 +166,7 @@ def _links(shipped, cosine: float) -> Callable[[Iterator[pa.RecordBatch]], Itera
     """Groups come one after the other; the last of a batch waits for the next batch."""
 
     def run(batches):
-        codes, dims = shipped.value["codes"], shipped.value["dims"]
+        codes, dims = kept(shipped, codes_of), shipped.value["dims"]
         held: pa.Table | None = None
 
         def work(rows: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -205,7 +212,8 @@ def link_classes(classes: DataFrame, cosine: float = LEAST_COSINE, sample: int =
     share = min(1.0, sample / total)
     picked = classes.where(F.pmod(F.xxhash64("vector", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1).select("vector")
     rows = [matrix(b.column(0), dims) for b in picked.toArrow().to_batches() if b.num_rows]
-    shipped = ship(spark, codes=Codes(np.concatenate(rows) if rows else np.eye(dims), width, tables), dims=dims)
+    codes = learn_codes(np.concatenate(rows) if rows else np.eye(dims), width, tables)
+    shipped = ship(spark, mean=codes.mean, planes=codes.planes, width=width, dims=dims)
 
     group_type = classes.schema["grp"].dataType.simpleString()
     keys = cut(classes.select("cid", "grp", "vector").mapInArrow(_keys(shipped), f"cid long, grp {group_type}, t int, key long"))

@@ -8,7 +8,7 @@ project every vector; their number and width do not grow with the rows.
 """
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 from decimal import Decimal
 
 import numpy as np
@@ -222,8 +222,8 @@ def _centred(x: np.ndarray, mean: np.ndarray, **_) -> np.ndarray:
     return x - mean
 
 
-def _whitened(x: np.ndarray, model: "Whitening", **_) -> np.ndarray:
-    return model.project(x)
+def _whitened(x: np.ndarray, model: dict, **_) -> np.ndarray:
+    return Whitening(**model).project(x)
 
 
 def fit_whitening(fit: DataFrame, components: int = COMPONENTS) -> tuple[Whitening | None, int]:
@@ -255,7 +255,7 @@ def deviations(x: np.ndarray, n: int, sums: list[int]) -> list[int | None]:
 
 def _project(shipped) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
-        model, width, error = shipped.value["model"], shipped.value["width"], shipped.value["error"]
+        model, width, error = Whitening(**shipped.value["model"]), shipped.value["width"], shipped.value["error"]
         size = len(model.eigenvalues)
         explained = model.eigenvalues / model.trace if size else model.eigenvalues
         for batch in batches:
@@ -290,9 +290,9 @@ def whiten(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", co
     if model is None or not len(model.eigenvalues):
         return vectors.sparkSession.createDataFrame([], schema)
     size = len(model.eigenvalues)
-    spread = _covariance(fit, model.n, size, _whitened, width=width, model=model)
+    spread = _covariance(fit, model.n, size, _whitened, width=width, model=asdict(model))
     error = float(np.abs(spread - np.eye(size)).max())
-    return rows.mapInArrow(_project(ship(vectors.sparkSession, model=model, width=width, error=error)), schema)
+    return rows.mapInArrow(_project(ship(vectors.sparkSession, model=asdict(model), width=width, error=error)), schema)
 
 
 by_value(__name__)

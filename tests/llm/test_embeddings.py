@@ -1,12 +1,16 @@
 """Whitening and near-duplicate embeddings against plain numpy."""
 
 import math
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from ledgerloom.llm import queries
-from ledgerloom.llm.itq import Codes, learn_rotation, near_vectors, plan_tables, roots, unit
+from ledgerloom.llm.itq import learn_codes, learn_rotation, near_vectors, plan_tables, roots, unit
 from ledgerloom.llm.whitening import below, leading_components, tridiagonal, whiten
 from tests.oracle import _rows, duck
 
@@ -127,7 +131,7 @@ def test_rotation_and_codes():
     loss = lambda q: np.square(np.where(x @ q >= 0, 1, -1) - x @ q).sum()
     start, _ = np.linalg.qr(np.random.default_rng(3).normal(size=(16, 16)))
     assert loss(r) < loss(start)
-    codes = Codes(x, 8, 5)
+    codes = learn_codes(x, 8, 5)
     keys = codes.keys(unit(x))
     assert keys.shape == (2000, 5) and keys.min() >= 0 and keys.max() < 256
     bits = (unit(x) - codes.mean) @ codes.planes > 0
@@ -211,3 +215,25 @@ def test_eigenvectors_equal_a_library(size):
         diagonal, second, _ = tridiagonal(symmetric)
         for at in (want.min() - 0.37, want.max() + 0.37, 1.5):
             assert below(diagonal, second, at) == (np.linalg.eigvalsh(symmetric) < at).sum()
+
+
+ALONE = """
+import sys
+sys.path.insert(0, {root!r})
+from ledgerloom.session import local_session
+from ledgerloom.llm import queries
+spark = local_session("4")
+for name in ("op2_language_id", "op7_sentencepiece", "op11_token_alignment", "op12_itq_dedup", "op13_whitening"):
+    print(name, queries.QUERIES[name](spark, {folder!r}).count())
+"""
+
+
+def test_tasks_need_no_import_of_this_package(tmp_path):
+    """From a folder where workers cannot import the package."""
+    root = str(Path(__file__).resolve().parents[2])
+    script = tmp_path / "alone.py"
+    script.write_text(ALONE.format(root=root, folder=SF))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert len(done.stdout.split("op")) == 6
