@@ -220,3 +220,15 @@ def test_profile_tables_build(spark, folder):
     assert tables["overpaid_b"].count() == 0
     repeated = {(r.source, r.table): r.repeated_ids for r in tables["row_profiles"].collect()}
     assert repeated[("SOURCE_A", "customers")] == 1
+
+
+def test_tables_without_rows_are_not_written(spark, staged, tmp_path):
+    without = staged | {"Payments": staged["Payments"].limit(0)}
+    out = str(tmp_path / "star")
+    counts = publish.publish(without, out, "v1", datetime(2026, 1, 2))
+    assert counts["Payments"] == 0 and counts["Customers"] == 5
+    assert not (tmp_path / "star/versions/v1/Payments").exists()
+    assert publish.current(spark, out)["Payments"].collect() == []
+    pending = publish.export_pending(without, str(tmp_path / "pending"))
+    assert pending["Payments_pending_rows"] == 0 and pending["Customers_pending_rows"] == 5
+    assert not (tmp_path / "pending/Payments").exists() and (tmp_path / "pending/Customers").exists()
