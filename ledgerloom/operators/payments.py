@@ -10,7 +10,9 @@ rejected rows too.
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -19,6 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgerloom.operators.joins import lookup
 from ledgerloom.session import cut, fresh_path
@@ -102,11 +105,21 @@ def _accept_short(rows: DataFrame, keys: list[str], order: str, amount: str, fla
 # down, and the least room that lets an amount in between pass. Those numbers tell, without
 # looking at rows, whether the room keeps its bit length through the chunk, and what it is
 # afterwards; and then its rows pass when they are below 2**(k-1), which needs no Python.
-# Only a chunk where the bit length changes is gone through row by row. Without negative
-# amounts it changes no more often than the cap has bits, so nearly all chunks are settled
-# by their summaries, however long the group is. With many refunds every chunk may have to
-# be gone through: a round walks twice as many chunks on from an open one as the round
-# before it, so the rounds grow with the logarithm of the chunks.
+# Only a chunk where the bit length changes needs its rows. Without negative amounts it
+# changes no more often than the cap has bits, so nearly all chunks are settled by their
+# summaries, however long the group is, and the few others are walked.
+#
+# With many refunds every chunk may have to be looked into. A chunk is a function of the
+# room it is entered with, and that function is made of stretches on which it only adds a
+# constant. So after two rounds of walking, one chunk and then two, all further chunks are
+# turned into tables at the same time, each for the rooms that are possible there: a first
+# pass takes the range of rooms through each chunk and so gets the range of the next.
+# Afterwards one lookup a chunk tells the room before the next one. Only a chunk whose table
+# has too many stretches is walked, and then a round walks twice as many chunks on from an
+# open one as the round before it.
+
+# Stretches of a chunk's table of rooms; a table of more is not kept.
+STRETCHES = 4096
 
 
 def accept_in_order(amounts: list[int], room: int) -> tuple[list[bool], int]:
@@ -163,6 +176,50 @@ def walk_chunks(chunks: list[tuple[int, dict]], room: int) -> tuple[list[tuple[i
     return entered, None
 
 
+def reach(amounts: Iterable[int], low: int, high: int) -> tuple[int, int]:
+    """A range that holds the room after the amounts whenever the room before is in ``low..high``."""
+    for a in amounts:
+        if a <= low:
+            low, high = low - a, high - a
+        elif a <= high:
+            # Smaller rooms stay as they are, the others go on from nothing.
+            low, high = min(low, 0), max(a - 1, high - a)
+    return low, high
+
+
+def room_table(amounts: Iterable[int], low: int, high: int, most: int = STRETCHES) -> tuple[list[int], list[int]] | None:
+    """The room after the amounts for every room from ``low`` to ``high`` before them: from
+    each start on, up to the next one, it is the room before plus the shift. None if that
+    takes more than ``most`` stretches."""
+    # Amounts beyond ``high`` plus all refunds never pass; the bound keeps sums inside 64 bits.
+    amounts = list(amounts)
+    ceiling = max(abs(low), abs(high)) + sum(-a for a in amounts if a < 0)
+    kind = np.int64 if ceiling < 1 << 61 else object
+    starts, shifts = np.array([low], dtype=kind), np.array([0], dtype=kind)
+    common, least, largest = 0, low, high  # added to every shift; the range of rooms now
+    for a in amounts:
+        if a <= least:
+            common, least, largest = common - a, least - a, largest - a
+            continue
+        if a > largest:
+            continue
+        ends = np.append(starts[1:] - 1, np.array([high], dtype=kind))
+        inside = (starts + shifts < a - common) & (ends + shifts >= a - common)
+        if inside.any():
+            starts = np.concatenate((starts, a - common - shifts[inside]))
+            shifts = np.concatenate((shifts, shifts[inside]))
+            order = np.argsort(starts, kind="stable")
+            starts, shifts = starts[order], shifts[order]
+        shifts = np.where(starts + shifts >= a - common, shifts - a, shifts)
+        changes = np.append(True, shifts[1:] != shifts[:-1])
+        starts, shifts = starts[changes], shifts[changes]
+        if len(starts) > most:
+            return None
+        ends = np.append(starts[1:] - 1, np.array([high], dtype=kind))
+        least, largest = int((starts + shifts).min()) + common, int((ends + shifts).max()) + common
+    return [int(v) for v in starts], [int(v) + common for v in shifts]
+
+
 def _whole_units(money: Column) -> Column:
     """Exact integer units of the staging scale, as text for Python's integers: the digits
     of the plain number (ANSI casts write no exponents) without the point."""
@@ -171,6 +228,9 @@ def _whole_units(money: Column) -> Column:
 
 SUMMARY_TYPE = "_key string, _chunk int, _limit string, k int, total string, high string, low string, least string"
 PASSED_TYPE = "_key string, _after int, _room string"
+RANGE_TYPE = "_key string, _chunk int, _low string, _high string"
+# What is known of a chunk: the room after it, or its table.
+KNOWN_TYPE = "_key string, _after int, _room string, _starts string, _shifts string"
 ENTERED_TYPE = "_key string, _chunk int, _room string, _most string, _open boolean"
 
 
@@ -194,27 +254,80 @@ def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield report(head, held)
 
 
-def _chain(key: tuple, summaries: pd.DataFrame, passed: pd.DataFrame) -> pd.DataFrame:
+def _chain(key: tuple, summaries: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     """Chain the chunk summaries of one key; there is at most one chunk per partition."""
     table: dict[int, dict] = {}
     for row in summaries.itertuples(index=False, name=None):
         _, chunk, _, k, total, high, low, least = row
         table.setdefault(int(chunk), {})[int(k)] = (
             int(total), int(high), int(low), None if pd.isna(least) else int(least))
-    after = {int(c): int(r) for c, r in zip(passed["_after"], passed["_room"])}
+    after = {int(c): int(r) for c, r in zip(known["_after"], known["_room"]) if not pd.isna(r)}
+    tables = {int(c): (s, d) for c, s, d in zip(known["_after"], known["_starts"], known["_shifts"]) if not pd.isna(s)}
     todo, room = sorted(table.items()), int(summaries["_limit"].iloc[0])
-    entered: list[tuple[int, int, int | None]] = []
+    at, entered = 0, []
     while True:
-        found, stop = walk_chunks(todo, room)
+        found, stop = walk_chunks(todo[at:], room)
         entered.extend(found)
-        if stop not in after:
+        at += len(found)
+        if stop in after:
+            room = after[stop]
+        elif stop in tables:
+            starts, shifts = ([int(v) for v in part.split(",")] for part in tables[stop])
+            room = found[-1][1]
+            room += shifts[bisect_right(starts, room) - 1]
+        else:
             break
-        room = after[stop]
-        todo = [c for c in todo if c[0] > stop]
     return pd.DataFrame([(key[0], c, str(r), None if m is None else str(m), c == stop) for c, r, m in entered],
                         columns=["_key", "_chunk", "_room", "_most", "_open"])
 
 
+def _chunks_of(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[tuple, Iterator[int]]]:
+    """The chunks of a partition that is sorted by key and chunk: key, chunk and range of rooms, and the amounts."""
+    rows = (r for b in batches for r in zip(b["_key"], b["_chunk"], b["_low"], b["_high"], b["_units"]))
+    for head, part in groupby(rows, key=lambda r: r[:4]):
+        yield (head[0], head[1], int(head[2]), int(head[3])), (int(r[4]) for r in part)
+
+
+def _reach(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The range of rooms after each chunk."""
+    for (key, chunk, low, high), amounts in _chunks_of(batches):
+        yield pd.DataFrame([(key, chunk, *map(str, reach(amounts, low, high)))], columns=["_key", "_chunk", "_low", "_high"])
+
+
+def _tabulate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The tables of the chunks that have one."""
+    for (key, chunk, low, high), amounts in _chunks_of(batches):
+        found = room_table(amounts, low, high)
+        if found:
+            texts = [",".join(map(str, part)) for part in found]
+            yield pd.DataFrame([(key, chunk, None, *texts)], columns=["_key", "_after", "_room", "_starts", "_shifts"])
+
+
+def _room_tables(ordered: DataFrame, summaries: DataFrame, opened: DataFrame) -> DataFrame:
+    """Tables of the open chunks and of all that come after them in their groups, a task for each chunk."""
+    # The room is never above the cap and all refunds so far, and below nothing only if the cap is.
+    refunds = -F.col("total").cast("decimal(38,0)")
+    before = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)  # a row for each chunk
+    limit = F.col("_limit").cast("decimal(38,0)")
+    widest = summaries.where("k = 0").withColumn("_refunded", F.coalesce(F.sum(refunds).over(before), F.lit(0)))
+    widest = widest.join(opened.select("_key", "_from"), "_key").where(F.col("_chunk") >= F.col("_from")).select(
+        "_key", "_chunk", F.least(limit, F.lit(0)).cast("string").alias("_low"),
+        (limit + F.col("_refunded")).cast("string").alias("_high"))
+    rows = ordered.select("_key", "_chunk", "_place", "_units")
+
+    def chunkwise(ranges: DataFrame) -> DataFrame:
+        held = rows.join(ranges, ["_key", "_chunk"]).repartition("_key", "_chunk")
+        return held.sortWithinPartitions("_key", "_chunk", "_place").drop("_place")
+
+    after = cut(chunkwise(widest).mapInPandas(_reach, RANGE_TYPE))
+    # A chunk is entered with a room that the chunk before it leaves; the open one may be entered with any.
+    previous = Window.partitionBy("_key").orderBy("_chunk")
+    entered = widest.join(after.withColumnsRenamed({"_low": "_least", "_high": "_largest"}), ["_key", "_chunk"]).select(
+        "_key", "_chunk", F.coalesce(F.lag("_least").over(previous), "_low").alias("_low"),
+        F.coalesce(F.lag("_largest").over(previous), "_high").alias("_high"))
+    return cut(chunkwise(cut(entered)).mapInPandas(_tabulate, KNOWN_TYPE))
+
+
 def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Goes through open chunks row by row; rows come sorted by key, chunk and place. ``_room``
     is what the first of a key's chunks is entered with."""
@@ -249,19 +362,24 @@ def _accept_long(rows: DataFrame, keys: list[str], order: str, amount: str, flag
     summaries = ordered.select("_key", "_chunk", "_limit", "_units", "_place")
     summaries = summaries.repartition("_chunk").sortWithinPartitions("_chunk", "_place").drop("_place")
     summaries = cut(summaries.mapInPandas(_summaries, SUMMARY_TYPE))
-    passed = rows.sparkSession.createDataFrame([], PASSED_TYPE)
-    stride = 1
+    known = rows.sparkSession.createDataFrame([], KNOWN_TYPE)
+    stride, tabled = 1, False
     while True:
-        entered = cut(summaries.groupBy("_key").cogroup(passed.groupBy("_key")).applyInPandas(_chain, ENTERED_TYPE))
+        entered = cut(summaries.groupBy("_key").cogroup(known.groupBy("_key")).applyInPandas(_chain, ENTERED_TYPE))
         opened = entered.filter("_open").select("_key", "_room", F.col("_chunk").alias("_from"))
         starts = [r[0] for r in opened.select("_from").distinct().collect()]  # at most one per chunk
         if not starts:
             break
+        if stride > 2 and not tabled:
+            known = cut(known.unionByName(_room_tables(ordered, summaries, opened)))
+            stride, tabled = 1, True
+            continue
         wanted = sorted({c + i for c in starts for i in range(stride) if c + i < chunks})
         here = ordered.where(F.col("_chunk").isin(wanted)).select("_key", "_chunk", "_place", "_units").join(opened, "_key")
         here = here.where((F.col("_chunk") >= F.col("_from")) & (F.col("_chunk") < F.col("_from") + stride))
         here = here.repartition("_key").sortWithinPartitions("_key", "_chunk", "_place")
-        passed = cut(passed.unionByName(here.select("_key", "_chunk", "_room", "_units").mapInPandas(_walk, PASSED_TYPE)))
+        walked = here.select("_key", "_chunk", "_room", "_units").mapInPandas(_walk, PASSED_TYPE)
+        known = cut(known.unionByName(walked, allowMissingColumns=True))
         stride *= 2
 
     at_chunk = ordered.join(entered.select("_key", "_chunk", "_room", "_most"), ["_key", "_chunk"])

@@ -1,10 +1,13 @@
 import random
+from bisect import bisect_right
 from decimal import Decimal
 
 import pytest
+from pyspark.accumulators import AccumulatorParam
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.payments import accept_in_order, accept_within_cap, mark_first
+from ledgerloom.operators import payments
+from ledgerloom.operators.payments import accept_in_order, accept_within_cap, mark_first, reach, room_table
 
 SCHEMA = "k string, seq long, amount decimal(37,12), cap decimal(37,12)"
 
@@ -98,4 +101,87 @@ def test_refunds_in_every_chunk_take_few_rounds(spark, chunks):
         jobs = len(tracker.getJobIdsForGroup(f"refunds-{chunks}"))
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert jobs <= 20 + 12 * chunks.bit_length()
+    assert jobs <= 60  # however many chunks
+
+
+@pytest.mark.parametrize("unit", [1, 10**30])
+@pytest.mark.parametrize("seed", range(30))
+def test_room_tables_equal_a_loop(seed, unit):
+    rng = random.Random(seed)
+    low, high = -rng.randint(0, 20) * unit, rng.randint(0, 300) * unit
+    amounts = [rng.choice([rng.randint(-60, 60), rng.randint(0, 200), 0, 25, -25]) * unit for _ in range(rng.randint(0, 40))]
+    starts, shifts = room_table(amounts, low, high)
+    least, largest = reach(amounts, low, high)
+    assert starts[0] == low and starts == sorted(set(starts))
+    for room in range(low, high + 1, unit):
+        after = accept_in_order(amounts, room)[1]
+        assert room + shifts[bisect_right(starts, room) - 1] == after
+        assert least <= after <= largest
+
+
+def test_a_table_of_too_many_stretches_is_not_kept():
+    amounts = [64, 32, 16, 8, 4, 2, 1]
+    assert room_table(amounts, 0, 127, most=4) is None
+    assert room_table(amounts, 0, 127) == ([*range(0, 128)], [-r for r in range(128)])
+
+
+def most_rows_walked(spark, monkeypatch, rows, **sizes):
+    """Most rows that one walk of a key goes through, and whether the flags are right."""
+    walked = spark.sparkContext.accumulator([], payments_longest)
+    plain = payments._walk
+
+    def counting(batches):
+        seen = {}
+
+        def counted():
+            for batch in batches:
+                for key in batch["_key"]:
+                    seen[key] = seen.get(key, 0) + 1
+                yield batch
+
+        yield from plain(counted())
+        walked.add(list(seen.values()))
+
+    monkeypatch.setattr(payments, "_walk", counting)
+    assert accepted(spark, rows, **sizes) == one_by_one(rows)
+    return max(walked.value)
+
+
+class Longest(AccumulatorParam):
+    def zero(self, value):
+        return []
+
+    def addInPlace(self, a, b):
+        return [max([0, *a, *b])]
+
+
+payments_longest = Longest()
+
+
+def refunds_everywhere(size):
+    return [("x", i, Decimal(300 if i % 2 == 0 else -300), Decimal(512)) for i in range(size)]
+
+
+def test_no_walk_is_longer_than_two_chunks(spark, monkeypatch):
+    """All of 64 chunks are open, and the room before each one follows from tables. Chunks come from a sampled range
+    partitioning, so that one may have half as many rows again."""
+    assert most_rows_walked(spark, monkeypatch, refunds_everywhere(2048), fold_rows=0, chunk_rows=32) <= 2 * 33 + 32
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_refunds_of_all_sizes(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    caps = {"a": Decimal(900), "b": Decimal(-4), "c": Decimal(0)}
+    rows = []
+    for i in range(1500):
+        k = rng.choice("aaabc")
+        rows.append((k, i, Decimal(rng.choice([rng.randint(-700, 700), rng.randint(-30, 60), 512, -512])), caps[k]))
+    assert most_rows_walked(spark, monkeypatch, rows, fold_rows=0, chunk_rows=50) <= 200
+
+
+@pytest.mark.parametrize("most", [0, 2])
+def test_chunks_without_a_table_are_walked(spark, monkeypatch, most):
+    monkeypatch.setattr(payments, "STRETCHES", most)
+    monkeypatch.setattr(payments.room_table, "__defaults__", (most,))
+    rows = refunds_everywhere(600)
+    assert accepted(spark, rows, fold_rows=0, chunk_rows=30) == one_by_one(rows)
