@@ -1,9 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import joins
+from ledgerloom.operators import joins, keys
 from ledgerloom.operators.inventory import apply_deltas
-from ledgerloom.operators.keys import assign_keys
+from ledgerloom.operators.keys import assign_by_position, assign_keys
 
 
 def facts(spark):
@@ -60,6 +60,50 @@ def test_keys_of_an_empty_table(spark):
     assert assign_keys(df, "key", ["o"]).count() == 0
 
 
+def sequence_frame(spark, kind):
+    """70,000 rows over several bitmaps, with gaps, in no order; one source is NULL and one number negative."""
+    number = (F.col("id") * 48_271 % 70_001) * 3 - 5
+    position = {
+        "number": number,
+        "split": F.struct(F.format_string("part-%d", F.col("id") % 2).alias("file"), (F.col("id") % 3 * 1000).alias("offset"), number.alias("row")),
+        "text": F.lpad(number.cast("string"), 9, "0"),
+        "sparse": number * 100_000,
+        "repeated": F.floor(number / 40),
+    }[kind]
+    source = F.when(F.col("id") % 5 > 0, F.format_string("s%d", F.col("id") % 5))
+    return spark.range(1, 70_001, numPartitions=7).select(source.alias("source"), position.alias("seq"), F.col("id").alias("note"))
+
+
+@pytest.mark.parametrize("broadcast", [keys.BROADCAST_BYTES, 0])
+@pytest.mark.parametrize("kind", ["number", "split", "text", "sparse"])
+def test_keys_by_position_equal_sorted_keys(spark, monkeypatch, kind, broadcast):
+    monkeypatch.setattr(keys, "BROADCAST_BYTES", broadcast)
+    rows = sequence_frame(spark, kind)
+    got = assign_by_position(rows, "key", ["source"], "seq", first=7)
+    assert got.columns == ["key", "source", "seq", "note"]
+    assert got.join(assign_keys(rows, "key", ["source", "seq"], first=7), ["key", "note"]).count() == 70_000
+
+
+def test_positions_that_repeat_or_are_missing_still_get_keys_of_their_own(spark):
+    rows = sequence_frame(spark, "repeated").withColumn("seq", F.when(F.col("note") % 9 > 0, F.col("seq")))
+    got = [r.key for r in assign_by_position(rows, "key", ["source"], "seq").collect()]
+    assert sorted(got) == list(range(1, 70_001))
+
+
+@pytest.mark.parametrize("broadcast", [keys.BROADCAST_BYTES, 0])
+def test_dense_positions_are_not_range_sorted(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(keys, "BROADCAST_BYTES", broadcast)
+    got = assign_by_position(sequence_frame(spark, "split"), "key", ["source"], "seq")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    assert ("ShuffledHashJoin" in plan) == (broadcast == 0)
+
+
+def test_positions_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "a string, o int")
+    assert assign_by_position(df, "key", ["a"], "o").count() == 0
+
+
 def test_every_stock_row_of_a_key_changes(spark):
     stock = spark.createDataFrame([(1, 7, 1, 50), (2, 7, 1, 60), (3, 7, 2, 70)], "id int, p int, w int, qty int")
     deltas = spark.createDataFrame([(7, 1, -25), (7, 1, 15), (9, 9, 5)], "p int, w int, d int")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import events as ev
-from ledgerloom.operators.keys import assign_keys
+from ledgerloom.operators.keys import assign_by_position
 from ledgerloom.plans import conform as job
 from ledgerloom.plans.publish import KEYS, REFERENCES, build_table, current, export_pending, publish, resolve, write_quality
 from ledgerloom.plans.staging import accepted, staged_types
@@ -138,8 +138,8 @@ SUPPLIER_KEYS = """
        FROM invoices_ WHERE reject IS NULL"""))
 def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
     rows = accepted(_conformed(spark, folder, "Invoices"))
-    keyed = assign_keys(rows.select("invoice_number", "source_system", "source_id", "_seq"), KEYS["Invoices"],
-                        ["source_system", "_seq"])
+    keyed = assign_by_position(rows.select("invoice_number", "source_system", "source_id", "_seq"), KEYS["Invoices"],
+                               ["source_system"], "_seq")
     return keyed.drop("_seq")
 
 
@@ -151,7 +151,7 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
         WHERE p.reject IS NULL"""))
 def fk_resolve(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = accepted(_conformed(spark, folder, "Suppliers")).select("source_system", "source_id", "_seq")
-    keyed = assign_keys(suppliers, "supplier_id", ["source_system", "_seq"])
+    keyed = assign_by_position(suppliers, "supplier_id", ["source_system"], "_seq")
     products = accepted(_conformed(spark, folder, "Products")).select("source_system", "source_id", "supplier_code")
     return resolve(products, keyed, "supplier_id", "supplier_code")
 
