@@ -84,15 +84,19 @@ def check_payments(payments: DataFrame, invoices: DataFrame, **sizes: int) -> Da
 
 
 PARENT = {"Invoices": "Customers", "InvoiceLines": "Invoices", "Payments": "Invoices"}
+# What the checks of other tables read of a parent.
+CHECKED = {"Customers": [*IDENTITY, "_reject"], "Invoices": [*IDENTITY, SEQUENCE, "total_amount", "_reject"]}
 
 
 def conform(raw: dict[str, DataFrame], tables: tuple[str, ...] = TABLES,
             stage_to: str | None = None) -> dict[str, DataFrame]:
-    """Staged rows of the wanted tables and of those they depend on, with verdict and events.
+    """Staged rows of the wanted tables, with verdict and events.
 
-    With ``stage_to`` each table is written there and read back, so every extract is scanned
-    once and a lost executor costs at most one table's work. Otherwise only the tables that
-    others depend on are written, to the shared folder.
+    With ``stage_to`` each table, and each that it depends on, is written there and read back,
+    so every extract is scanned once and a lost executor costs at most one table's work.
+    Otherwise only the tables that others depend on are written, to the shared folder; of
+    those that are not wanted themselves, just the columns that the checks read, so that their
+    other values are not cleaned.
     """
     wanted = set(tables)
     for child in reversed(TABLES):
@@ -109,12 +113,14 @@ def conform(raw: dict[str, DataFrame], tables: tuple[str, ...] = TABLES,
             rows = require_parent(rows, done["Invoices"], "invoice_code", ev.ORPHAN_LINE)
         elif table == "Payments":
             rows = check_payments(rows, done["Invoices"])
-        if stage_to is None:
+        if stage_to is None and table not in tables:
+            done[table] = cut(rows.select(*CHECKED[table]))
+        elif stage_to is None:
             done[table] = cut(rows) if table in PARENT.values() else rows
         else:
             rows.write.mode("overwrite").parquet(f"{stage_to}/{table}")
             done[table] = rows.sparkSession.read.schema(rows.schema).parquet(f"{stage_to}/{table}")
-    return done
+    return {t: rows for t, rows in done.items() if t in tables}
 
 
 def quality_events(staged: dict[str, DataFrame]) -> DataFrame:
