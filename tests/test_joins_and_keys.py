@@ -110,3 +110,13 @@ def test_every_stock_row_of_a_key_changes(spark):
     got = apply_deltas(stock, deltas, ["p", "w"], "qty", "d")
     assert sorted((r.id, r.qty) for r in got.collect()) == [(1, 40), (2, 50), (3, 70)]
     assert got.schema["qty"].dataType == stock.schema["qty"].dataType
+
+
+def test_parents_of_some_megabytes_are_not_broadcast(spark, tmp_path):
+    """The driver would hold them as hash table, many times the size of their file."""
+    spark.range(1_500_000).selectExpr("id AS k", "xxhash64(id) AS v").write.parquet(f"{tmp_path}/parents")
+    parents = spark.read.parquet(f"{tmp_path}/parents")
+    found = joins.lookup(spark.range(10).select(F.col("id").alias("k")), parents, {"k": "k"}, {"v": "v"})
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert not joins.fits_broadcast(parents)
+    assert found.where("v IS NOT NULL").count() == 10
