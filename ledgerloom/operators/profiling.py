@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.cleaning import DAY_FIRST_DATE, ISO_DATE, clean_text
-from ledgerloom.operators.joins import lookup
+from ledgerloom.operators.joins import fits_broadcast, lookup
+from ledgerloom.session import cut
 
 TOLERANCE = "0.01"
 # The texts that a type-inferring reader of CSV takes for no value.
@@ -101,19 +102,21 @@ def column_types(df: DataFrame) -> DataFrame:
 def repeated_rows(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Later occurrences of a key (or of a whole row): rows minus distinct keys. Missing
     values equal each other. Counts are combined map-side before the shuffle. Of whole rows
-    only a hash is shuffled first, and only rows whose hash comes again are compared."""
+    only a hash is shuffled, and only rows whose hash comes again are compared: the hashes that
+    do are written first, so their number is known, and without any no row is read again."""
     if keys is not None:
         groups = df.groupBy(*keys).agg(F.count("*").alias("n"))
         return groups.agg(F.sum("n").alias("row_count"), F.sum(F.col("n") - 1).alias("repeated_rows"))
-    row = F.struct(*df.columns).alias("row")
-    hashed = df.select(F.xxhash64(*df.columns).alias("hash"), row)
-    sizes = hashed.groupBy("hash").agg(F.count("*").alias("n"))
-    again = hashed.join(sizes.where("n > 1").select("hash"), "hash", "left_semi").select("row.*")
+    hashed = F.xxhash64(*df.columns)
+    often = cut(df.select(hashed.alias("hash")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
+    total = df.agg(F.nullif(F.count("*"), F.lit(0)).alias("row_count"))
+    if often.isEmpty():
+        return total.withColumn("repeated_rows", F.lit(0).cast("bigint"))
+    # Beyond a broadcast, all rows are dealt out by value, rather than by hash and then by value.
+    again = df.join(F.broadcast(often), hashed == F.col("hash"), "left_semi") if fits_broadcast(often) else df
     repeats = again.groupBy(*df.columns).agg(F.count("*").alias("n")).agg(
-        F.lit(None).cast("bigint").alias("row_count"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated_rows"))
-    total = sizes.agg(F.sum("n").alias("row_count"), F.lit(None).cast("bigint").alias("repeated_rows"))
-    return total.unionByName(repeats).agg(
-        F.max("row_count").alias("row_count"), F.max("repeated_rows").alias("repeated_rows"))
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("repeated_rows"))
+    return total.crossJoin(repeats)  # a row each
 
 
 def whitespace_profile(df: DataFrame) -> DataFrame:

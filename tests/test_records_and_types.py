@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.cleaning import DAY_FIRST_DATE, ISO_DATE
 from ledgerloom.operators import keysets as k
 from ledgerloom.operators import profiling as p
+from ledgerloom.operators.profiling import DATE, DAY_FIRST_SHAPE, ISO_SHAPE, repeated_rows, value_type
 from ledgerloom.plans import profile as job
 from ledgerloom.sources.records import parsed, read_records
 from workload.raw_extracts import RawExtracts
@@ -109,3 +111,39 @@ def test_key_sets_answer_orphans_overlaps_and_repeats(spark):
 def test_findings_scan_every_extract_once(spark):
     plan = job.findings(RawExtracts(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") <= 15
+
+
+def test_only_what_looks_like_a_date_is_parsed_as_one(spark):
+    texts = ["2024-02-29", "2023-02-29", "2024-1-5", "+12345-01-01", "-0044-03-15", "0044-03-15", " 2024-01-01", "2024-01-01 ", "2024-01-01\n",
+             "5/3/2024", "0005/03/2024", "-5/3/2024", "31/2/2024", "5/3/24", "5/3/+12024", "5/3/-2024", "a/b/2024", "2024-01-xx", "", "text"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = [F.try_to_date("t", f).isNotNull() for f in (ISO_DATE, DAY_FIRST_DATE)]
+    found = rows.select((plain[0] | plain[1]).alias("plain"), (value_type("t") == DATE).alias("typed"), "t").collect()
+    assert [r.t for r in found if r.plain != r.typed] == []
+    assert sum(r.typed for r in found) >= 4
+    plan = rows.select(value_type("t"))._jdf.queryExecution().optimizedPlan().toString()
+    assert ISO_SHAPE in plan and DAY_FIRST_SHAPE in plan
+
+
+def test_rows_that_do_not_repeat_are_not_compared(spark):
+    once, twice = spark.range(50).selectExpr("id % 7 AS a", "id AS b"), spark.range(50).selectExpr("id % 7 AS a", "id % 3 AS b")
+    found = repeated_rows(once)
+    assert "Join LeftSemi" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in found.collect()] == [(50, 0)]
+    assert [tuple(r) for r in repeated_rows(twice).collect()] == [(50, 29)]
+    assert [tuple(r) for r in repeated_rows(once.limit(0)).collect()] == [(None, 0)]
+
+
+def test_lines_of_a_split_are_not_shuffled(spark, tmp_path):
+    """Only the records of several lines are, and the row that each split has."""
+    (tmp_path / "r.csv").write_text("a,b\n1,x\n" + "".join(f'{i},"p\nq,""{i}"""\n\n{i},y\n' for i in range(500)) + '7,"never closed\n')
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("lines", "")
+    try:
+        found = read_records(spark, str(tmp_path / "r.csv"))
+        assert "text" not in "".join(l for l in found._jdf.queryExecution().executedPlan().toString().split("\n") if "Window" in l)
+        assert found.count() == 1002
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    first = min(tracker.getJobIdsForGroup("lines"))  # the cut of the lines
+    assert len(tracker.getJobInfo(first).stageIds) == 1
