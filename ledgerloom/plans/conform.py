@@ -37,7 +37,7 @@ def _reject(rows: DataFrame, condition: Column, reason: str, event: Column, keep
 def require_parent(rows: DataFrame, parents: DataFrame, code: str, reason: str) -> DataFrame:
     """Exclude rows whose parent was not accepted. Their own cleaning is not reported."""
     on = {"source_system": "source_system", code: "source_id"}
-    flagged = flag_known(rows, accepted(parents), on, "_known")
+    flagged = flag_known(rows, accepted(parents), on, "_known", deal=["source_id", SEQUENCE])
     event = ev.event(ev.EXCLUDED, reason, code, F.col(code))
     return _reject(flagged, ~F.col("_known"), reason, event, keep_events=False).drop("_known")
 

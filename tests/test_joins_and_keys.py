@@ -120,3 +120,11 @@ def test_parents_of_some_megabytes_are_not_broadcast(spark, tmp_path):
     assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
     assert not joins.fits_broadcast(parents)
     assert found.where("v IS NOT NULL").count() == 10
+
+
+def test_salting_needs_only_the_columns_it_deals_by(spark):
+    wide = facts(spark).selectExpr("k", "i", "concat('never ', 'asked ', i) AS wide")
+    parents = spark.createDataFrame([("hot", 1), ("x3", 2)], "pk string, v int")
+    found = joins.lookup(wide, parents, {"k": "pk"}, {"v": "v"}, False, 100, deal=["i"]).select("k", "i", "v")
+    assert "never" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.where("v = 1").count() == 2000 and found.count() == 3600
