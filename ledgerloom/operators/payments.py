@@ -12,6 +12,7 @@ from __future__ import annotations
 import sys
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import groupby
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ledgerloom.operators.joins import lookup
+from ledgerloom.operators.joins import HOT_ROWS, lookup, survey
 from ledgerloom.session import cut, fresh_path
 
 # One digit less than Spark has, so that the sum of two amounts is exact.
@@ -35,15 +36,35 @@ FOLD_ROWS = 4096
 CHUNK_ROWS = 1_000_000
 
 
-def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: bool | None = None) -> DataFrame:
+def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: bool | None = None,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """Flag the first row of every key; keys are not NULL and ``order`` is unique.
 
-    One aggregate, combined map-side, finds the repeated keys and their first rows. The rows
-    themselves are not shuffled unless those keys are too many to broadcast.
+    The rows are dealt out by key once, and not at all if they lie by a part of the key
+    already. The rows of hot keys stay where they are: one aggregate, combined map-side,
+    finds their first rows, which meet them by ``lookup`` (``small`` is told to that).
     """
-    repeated = rows.groupBy(*keys).agg(F.count("*").alias("_n"), F.min(order).alias("_earliest")).filter("_n > 1")
-    found = lookup(rows, cut(repeated.drop("_n")), {k: k for k in keys}, {"_earliest": "_earliest"}, small)
-    return found.withColumn(flag, F.col("_earliest").isNull() | (F.col("_earliest") == F.col(order))).drop("_earliest")
+    same = Window.partitionBy(*keys)
+    earliest = F.when(F.count("*").over(same) > 1, F.min(order).over(same))
+    is_first = F.col("_earliest").isNull() | (F.col("_earliest") == F.col(order))
+    unknown = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    known = rows
+    hot, unknown_keys = survey(rows, keys, hot_rows)
+    if unknown_keys:
+        known = rows.where(~unknown)
+    found = []
+    if hot:
+        schema = T.StructType([T.StructField(f"_hot_{k}", rows.schema[k].dataType) for k in keys])
+        listed = F.broadcast(rows.sparkSession.createDataFrame([key[:-1] for key in hot], schema))
+        on = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
+        crowded, known = known.join(listed, on, "left_semi"), known.join(listed, on, "left_anti")
+        firsts = crowded.groupBy(*keys).agg(F.min(order).alias("_earliest"))
+        found.append(lookup(crowded, cut(firsts), {k: k for k in keys}, {"_earliest": "_earliest"}, small, hot_rows, [order]))
+    found.append(known.withColumn("_earliest", earliest))
+    marked = reduce(DataFrame.unionByName, found).withColumn(flag, is_first).drop("_earliest")
+    if unknown_keys:
+        marked = marked.unionByName(rows.where(unknown).withColumn(flag, F.lit(True)))
+    return marked
 
 
 def accept_within_cap(rows: DataFrame, keys: list[str], order: str, amount: str, cap: str, flag: str,
@@ -66,7 +87,7 @@ def accept_within_cap(rows: DataFrame, keys: list[str], order: str, amount: str,
     )
     tight = cut(tight)
     long_rows = tight.filter(F.col("_group_rows") > fold_rows).agg(F.sum("_group_rows")).first()[0]
-    sized = lookup(rows, tight, {k: k for k in keys}, {"_group_rows": "_group_rows", "_limit": "_limit"}, small)
+    sized = lookup(rows, tight, {k: k for k in keys}, {"_group_rows": "_group_rows", "_limit": "_limit"}, small, deal=[order])
 
     whole = sized.filter(F.col("_group_rows").isNull()).drop("_group_rows", "_limit").withColumn(flag, F.lit(True))
     short = _accept_short(sized.filter(F.col("_group_rows") <= fold_rows), keys, order, amount, flag)

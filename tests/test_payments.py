@@ -185,3 +185,18 @@ def test_chunks_without_a_table_are_walked(spark, monkeypatch, most):
     monkeypatch.setattr(payments.room_table, "__defaults__", (most,))
     rows = refunds_everywhere(600)
     assert accepted(spark, rows, fold_rows=0, chunk_rows=30) == one_by_one(rows)
+
+
+@pytest.mark.parametrize("hot_rows", [100, 10**6])
+def test_rows_meet_their_firsts_by_one_shuffle(spark, hot_rows):
+    """Not by one for the first rows and one more for all rows."""
+    rows = spark.range(4000).selectExpr("if(id % 3 = 0, 'hot', 'k' || id % 900) AS k", "cast(id AS int) AS seq").where("k <> 'k1' OR seq > 1")
+    rows = rows.unionByName(spark.createDataFrame([(None, 1), (None, 2)], "k string, seq int"))
+    marked = mark_first(rows, ["k"], "seq", "first", False, hot_rows)
+    got = marked.where("first AND k IS NOT NULL").groupBy("k").agg(F.count("*").alias("n"), F.min("seq").alias("s"))
+    want = {r.k: r.s for r in rows.dropna().groupBy("k").agg(F.min("seq").alias("s")).collect()}
+    assert {r.k: r.s for r in got.collect()} == want and got.where("n > 1").count() == 0
+    assert marked.count() == rows.count() and marked.where("k IS NULL AND first").count() == 2
+    if hot_rows > 4000:
+        plan = marked._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1

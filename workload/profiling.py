@@ -414,7 +414,7 @@ PAYMENTS_SQL = f"({PAYMENTS.format(lineitem='lineitem')})"
 
 
 def _payments(spark: SparkSession, folder: str) -> DataFrame:
-    """Written once: both payment rules go over their rows several times."""
+    """Written once: the cap goes over its rows several times."""
     return cut(spark.sql(PAYMENTS, lineitem=spread(tables.table(spark, folder, "lineitem"))))
 
 
@@ -422,7 +422,8 @@ def _payments(spark: SparkSession, folder: str) -> DataFrame:
 SELECT invoice, seq, row_number() OVER (PARTITION BY invoice, paid_on, amount, method ORDER BY seq) = 1 AS first
 FROM {PAYMENTS_SQL}""")
 def dedupe_exact(spark: SparkSession, folder: str) -> DataFrame:
-    return mark_first(_payments(spark, folder), ["invoice", "paid_on", "amount", "method"], "seq", "first").select(
+    rows = spark.sql(PAYMENTS, lineitem=spread(tables.table(spark, folder, "lineitem")))
+    return mark_first(rows, ["invoice", "paid_on", "amount", "method"], "seq", "first").select(
         "invoice", "seq", "first")
 
 
