@@ -6,7 +6,8 @@ does not fit its left neighbour, or ends where covering has failed before (a bit
 shorter one, and if none is left the neighbour is taken back.
 
 Words can be encoded alone: no piece has a space mark after another character, and a character that occurs in no longer
-piece never merges. Each worker keeps the ids of short words it met lately, up to a fixed size.
+piece never merges. Each worker keeps the ids of short words it met lately, in two tables of a fixed size: a full one becomes
+the older one, and words that come again are taken over from there.
 """
 
 import hashlib
@@ -31,7 +32,7 @@ NOTHING = -2
 PAIR_BITS = 20
 MAX_PAIRS = 300_000  # pairs whose compatibility a worker remembers
 CACHED_WORD = 64  # characters of the longest words whose ids a worker remembers
-CACHE_CHARS = 6 << 20  # characters and bytes of the words and ids that it remembers; beyond them it starts anew
+CACHE_CHARS = 6 << 20  # characters and bytes of the words and ids in each of the two tables that it remembers
 
 
 @dataclass
@@ -88,6 +89,7 @@ class Encoder:
         self.fitting: set[int] = set()
         self.unfit: set[int] = set()
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.room = CACHE_CHARS
 
     def merged(self, word: str) -> list[str]:
@@ -208,11 +210,13 @@ class Encoder:
         """A word's ids as 32-bit numbers; long words are not kept."""
         found = self.known.get(word)
         if found is None:
-            found = array("i", self.encode_word(word)).tobytes()
+            found = self.older.get(word)
+            if found is None:
+                found = array("i", self.encode_word(word)).tobytes()
             if len(word) <= CACHED_WORD:
                 self.room -= len(word) + len(found)
                 if self.room < 0:
-                    self.known.clear()
+                    self.older, self.known = self.known, {}
                     self.room = CACHE_CHARS
                 self.known[word] = found
         return found

@@ -4,12 +4,13 @@ import hashlib
 import random
 import re
 import string
+from collections import Counter
 
 import pytest
 import sentencepiece
 
 from ledgerloom.llm import lz_fingerprint as lz
-from ledgerloom.llm import queries, secrets
+from ledgerloom.llm import piece_bpe, queries, secrets
 from ledgerloom.llm.common import tokenizer
 from ledgerloom.llm.piece_bpe import Encoder, encode_column, encode_digests, read_model
 from tests.llm.cases import awkward, empty, table
@@ -36,6 +37,24 @@ def test_encoder_equals_the_library(library):
         assert encoder.decode(ids) == library.decode(ids), text
 
 
+def test_words_outlast_a_full_table(library, monkeypatch):
+    """Words that come again and again are encoded once, however many others come between them."""
+    monkeypatch.setattr(piece_bpe, "CACHE_CHARS", 2000)
+    encoder = Encoder(read_model(MODEL))
+    encoded, encode_word = Counter(), encoder.encode_word
+
+    def counted(word):
+        encoded[word] += 1
+        return encode_word(word)
+
+    encoder.encode_word, encoder.room = counted, 2000
+    for i in range(400):
+        text = f"again once w{chr(97 + i // 26)}{chr(97 + i % 26)}q"
+        assert encoder.encode_cached(text).tolist() == library.encode(text)
+    assert encoded["▁again"] == encoded["▁once"] == 1
+    assert sum(len(w) + len(i) for t in (encoder.known, encoder.older) for w, i in t.items()) < 2 * 2000 + 100
+
+
 def check_digests(rows, texts, library):
     want = []
     for doc_id, text in texts:
