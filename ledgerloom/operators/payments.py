@@ -37,19 +37,20 @@ CHUNK_ROWS = 1_000_000
 
 
 def mark_first(rows: DataFrame, keys: list[str], order: str, flag: str, small: bool | None = None,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+               hot_rows: int = HOT_ROWS, surveyed: DataFrame | None = None) -> DataFrame:
     """Flag the first row of every key; keys are not NULL and ``order`` is unique.
 
     The rows are dealt out by key once, and not at all if they lie by a part of the key
     already. The rows of hot keys stay where they are: one aggregate, combined map-side,
     finds their first rows, which meet them by ``lookup`` (``small`` is told to that).
+    ``surveyed`` is a frame with the same keys that is read with less work than ``rows``.
     """
     same = Window.partitionBy(*keys)
     earliest = F.when(F.count("*").over(same) > 1, F.min(order).over(same))
     is_first = F.col("_earliest").isNull() | (F.col("_earliest") == F.col(order))
     unknown = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     known = rows
-    hot, unknown_keys = survey(rows, keys, hot_rows)
+    hot, unknown_keys = survey(rows if surveyed is None else surveyed, keys, hot_rows)
     if unknown_keys:
         known = rows.where(~unknown)
     found = []
@@ -100,8 +101,10 @@ def accept_within_cap(rows: DataFrame, keys: list[str], order: str, amount: str,
 
 
 def _accept_short(rows: DataFrame, keys: list[str], order: str, amount: str, flag: str) -> DataFrame:
+    # What the group or the entry has already is not collected with every row.
     columns = [c for c in rows.columns if c not in ("_group_rows", "_limit")]
-    entry = F.struct(F.col(order).alias("o"), F.col(amount).cast(MONEY).alias("a"), F.struct(*columns).alias("r"))
+    rest = [c for c in columns if c not in (*keys, order)]
+    entry = F.struct(F.col(order).alias("o"), F.col(amount).cast(MONEY).alias("a"), F.struct(*rest).alias("r"))
     groups = rows.groupBy(*keys, "_limit").agg(F.array_sort(F.collect_list(entry)).alias("_e"))
 
     def step(state: Column, e: Column) -> Column:
@@ -112,8 +115,9 @@ def _accept_short(rows: DataFrame, keys: list[str], order: str, amount: str, fla
 
     start = F.struct(F.lit(0).cast(MONEY).alias("paid"), F.array().cast("array<boolean>").alias("flags"))
     flags = F.aggregate("_e", start, step, lambda s: s["flags"])
-    pairs = F.arrays_zip(F.col("_e.r").alias("r"), flags.alias("ok"))
-    return groups.select(F.explode(pairs).alias("p")).select("p.r.*", F.col("p.ok").alias(flag))
+    pairs = F.arrays_zip(F.col("_e.o").alias("o"), F.col("_e.r").alias("r"), flags.alias("ok"))
+    rows = groups.select(*keys, F.explode(pairs).alias("p"))
+    return rows.select(*keys, F.col("p.o").alias(order), "p.r.*", F.col("p.ok").alias(flag)).select(*columns, flag)
 
 
 # Groups too long for one task
