@@ -4,13 +4,18 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import events as ev
+from ledgerloom.operators.keys import assign_by_position
 from ledgerloom.operators.payments import mark_first
 from ledgerloom.plans import conform as job
 from ledgerloom.plans import profile, publish
+from ledgerloom.plans.publish import counted
 from ledgerloom.plans.staging import accepted
+from ledgerloom.session import cut, fresh_path, run_folder, scratch
 from ledgerloom.sources import files
 from ledgerloom.sources.extracts import by_source
 from ledgerloom.sources.schemas import not_null_violations, star_schema
+from ledgerloom.sources.storage import Folder
 from tests.extract_files import write_files
 
 
@@ -235,6 +240,65 @@ def test_payments_are_cleaned_once_for_their_checks(spark, folder, monkeypatch):
         seen[0].count()
 
 
+def payment_rows(spark, count=300):
+    """Payments of 20 invoices, the last two of which do not exist; most come again, and two orphans have one position."""
+    rows = [("S", f"P{n}", f"I{n % 20}", date(2026, 1, 1), Decimal(n // 40), str(n // 40), None, f"R{n // 40}",
+             119 if n == 118 else n) for n in range(count)]
+    payments = spark.createDataFrame(rows, "source_system string, source_id string, invoice_code string, payment_date date, "
+                                           "amount decimal(38,12), amount_text string, payment_method string, reference_number string, _seq long")
+    payments = payments.withColumns({"_reject": F.lit(None).cast("string"), "_events": ev.no_events()})
+    invoices = spark.createDataFrame([("S", f"I{n}", n, Decimal(3 * n), None) for n in range(18)],
+                                     "source_system string, source_id string, _seq long, total_amount decimal(38,12), _reject string")
+    return payments, invoices
+
+
+def test_payments_judged_in_slices_get_the_same_verdicts(spark, monkeypatch):
+    payments, invoices = payment_rows(spark)
+
+    def judged(**sizes):
+        return sorted((r.source_id, str(r._reject), str(r._events)) for r in job.check_payments(payments, invoices, **sizes).collect())
+
+    whole = judged()
+    assert len(whole) == 300
+    assert {r[1] for r in whole} == {"None", ev.ORPHAN_PAYMENT, ev.DUPLICATE_PAYMENT, ev.OVER_CAP}
+    calls = []
+    monkeypatch.setattr(job, "mark_first", lambda rows, *a: calls.append(1) or mark_first(rows, *a))
+    assert judged(slice_bytes=3000) == whole
+    assert len(calls) > 2
+
+
+def kept_folders(spark):
+    return set(Folder(spark, run_folder(spark)).folders())
+
+
+def test_checks_of_payments_keep_totals_and_verdicts_only(spark):
+    payments, invoices = payment_rows(spark)
+    before = kept_folders(spark)
+    checked = job.check_payments(payments, invoices)
+    assert len(kept_folders(spark) - before) == 2
+    assert checked.count() == 300
+
+
+def test_publishing_keeps_no_other_files(spark, staged, tmp_path):
+    before = kept_folders(spark)
+    publish.publish(staged, str(tmp_path / "star"), "v1", datetime(2026, 1, 1))
+    assert kept_folders(spark) == before
+
+
+def test_only_published_columns_are_written_on_the_way(spark, staged, monkeypatch):
+    seen = []
+    monkeypatch.setattr(publish, "assign_by_position", lambda rows, *a: seen.append(rows.columns) or assign_by_position(rows, *a))
+    assert publish.build_table("Suppliers", staged["Suppliers"], {}, datetime(2026, 1, 1)).count() > 0
+    assert "_events" not in seen[0] and "table" not in seen[0] and files.SEQUENCE in seen[0]
+
+
+def test_pending_payments_are_written_once_and_first(spark, staged, tmp_path, monkeypatch):
+    order = []
+    monkeypatch.setattr(publish, "counted", lambda name, *a: order.append(name) or counted(name, *a))
+    counts = publish.export_pending(staged, str(tmp_path))
+    assert order[0] == "Payments" and list(counts) == [f"{t}_pending_rows" for t in job.TABLES]
+
+
 def test_written_log_is_the_log_without_the_cleaning(spark, folder):
     staged = job.conform(files.read_all(spark, folder))
     log, written = job.quality_events(staged), job.written_events(staged)
@@ -274,6 +338,18 @@ def test_profile_tables_build(spark, folder):
     assert repeated[("SOURCE_A", "customers")] == 1
 
 
+def test_scratch_deletes_what_is_cut_inside(spark):
+    kept = fresh_path(spark)
+    with scratch(spark):
+        inner = cut(spark.range(5))
+        with scratch(spark):
+            cut(inner)
+        outer = cut(inner, kept)
+    assert outer.count() == 5
+    with pytest.raises(Exception, match="does not exist|FILE_NOT_EXIST"):
+        inner.count()
+
+
 def test_tables_without_rows_are_not_written(spark, staged, tmp_path):
     without = staged | {"Payments": staged["Payments"].limit(0)}
     out = str(tmp_path / "star")
