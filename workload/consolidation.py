@@ -47,10 +47,6 @@ for _table, _name in (("Customers", "customers"), ("Suppliers", "suppliers"), ("
     _register(_table, _name)
 
 
-def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return job.quality_events(job.conform(RawExtracts(spark, folder)))
-
-
 def _written_events(spark: SparkSession, folder: str) -> DataFrame:
     return job.written_events(job.conform(RawExtracts(spark, folder)))
 
@@ -63,12 +59,12 @@ def quality_events(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("quality_by_action", consolidation(f"SELECT e.action, count(*) AS events FROM {ALL_EVENTS} GROUP BY ALL"))
 def quality_by_action(spark: SparkSession, folder: str) -> DataFrame:
-    return ev.totals_by(_events(spark, folder), "action")
+    return ev.totals_by(_written_events(spark, folder), "action")
 
 
 @query("quality_by_table", consolidation(f'SELECT "table", count(*) AS events FROM {ALL_EVENTS} GROUP BY ALL'))
 def quality_by_table(spark: SparkSession, folder: str) -> DataFrame:
-    return ev.totals_by(_events(spark, folder), "table")
+    return ev.totals_by(_written_events(spark, folder), "table")
 
 
 @query("quality_log_roundtrip", consolidation(
