@@ -13,6 +13,8 @@ from ledgerloom.operators import keysets as k
 from ledgerloom.operators import profiling as p
 from ledgerloom.operators.profiling import DATE, DAY_FIRST_SHAPE, ISO_SHAPE, repeated_rows, value_type
 from ledgerloom.plans import profile as job
+from ledgerloom.session import cut
+from ledgerloom.sources import records
 from ledgerloom.sources.records import parsed, read_records
 from workload.raw_extracts import RawExtracts
 
@@ -63,6 +65,14 @@ def test_records_cross_splits(spark, tmp_path, small_splits, quoting, end, size)
     assert [[v or "" for v in r["values"]] for r in rows] == [*random_rows(0), *random_rows(1)]
 
 
+def test_lines_are_not_shuffled_to_learn_their_state(spark, tmp_path, monkeypatch):
+    (tmp_path / "x.csv").write_text('a,b,c,d\n1,"x\ny",2,3\n4,5,6,7\n')
+    plans = []
+    monkeypatch.setattr(records, "cut", lambda df, *a, **k: plans.append(df._jdf.queryExecution().toString()) or cut(df, *a, **k))
+    assert read_records(spark, str(tmp_path)).count() == 2
+    assert "Window" not in plans[0] and "Exchange" not in plans[0]
+
+
 def test_quotes_inside_plain_values_and_blank_lines(spark, tmp_path, small_splits):
     (tmp_path / "x.csv").write_text('"a",b,c,d\n1,27" wide,"x\ny",\n\n   \n2,,"p ""q"" \n\nr","s"\n"unclosed",1,2,3\n')
     for size in (10, 1 << 20):
